@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hubbub.plans import queries_stats  # noqa: F401
+from hubbub.plans import queries_recommend, queries_stats  # noqa: F401
 from hubbub.plans.registry import ORACLES, QUERIES
 
 
