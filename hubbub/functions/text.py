@@ -6,6 +6,8 @@ classes are spelled out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,22 +115,27 @@ def language_tag(message: Column, cleaned: Column | None = None) -> Column:
     text = clean_message(message) if cleaned is None else cleaned
     bare = strip_emojis(strip_hashtags(strip_urls(text)))
     tokens = F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+"))
-    hits = F.array(
-        *[
+
+    def best(words: Column) -> Column:
+        scored = [
             F.struct(
-                F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))).alias("hits"),
+                F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in known]))).alias("hits"),
                 F.lit(-rank).alias("rank"),
                 F.lit(language).alias("language"),
             )
-            for rank, (language, words) in enumerate(STOP_WORDS.items())
+            for rank, (language, known) in enumerate(STOP_WORDS.items())
         ]
-    )
-    best = F.array_max(hits)
-    return (
-        F.when(has_thai(message), F.lit("th"))
-        .when(best["hits"] > 0, best["language"])
-        .otherwise(F.lit(UNKNOWN_LANGUAGE))
-    )
+        return F.array_max(F.array(*scored))
+
+    def named(winner: Column) -> Column:
+        return F.when(winner["hits"] > 0, winner["language"]).otherwise(F.lit(UNKNOWN_LANGUAGE))
+
+    return F.when(has_thai(message), F.lit("th")).otherwise(_once(_once(tokens, best), named))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def token_count(text: Column) -> Column:

@@ -23,6 +23,7 @@ from hubbub.operators.upsert import consume, update_only
 
 _USER = "seen_credential"
 _ROW_KEYS = [_USER, "first_seen_at", "last_seen_at"]
+MAX_FOLDS = 1_000
 
 
 def reading_times(feeditems: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
@@ -151,10 +152,20 @@ def _distance(features: Sequence[str], mean: Column, component: Column) -> Colum
     return F.sqrt(sum((c - projection * a) * (c - projection * a) for c, a in zip(centred, along)))
 
 
-def _by_fold(models: DataFrame) -> Column:
-    """The models as one fold -> model map: as many entries as there are folds."""
-    entry = F.struct("fold", F.struct(*[c for c in models.columns if c != "fold"]))
-    return models.agg(F.map_from_entries(F.collect_list(entry)).alias("models")).scalar()
+def _with_fold_row(rows: DataFrame, per_fold: DataFrame) -> DataFrame:
+    """Join rows to their fold's single row.
+
+    ``MAX_FOLDS`` bounds the right side, so Catalyst knows its size and broadcasts it; a row
+    beyond the bound fails the query instead of being lost.
+    """
+    bounded = per_fold.limit(MAX_FOLDS + 1).withColumn(
+        "fold",
+        F.when(
+            F.row_number().over(Window.orderBy("fold")) > MAX_FOLDS,
+            F.raise_error(F.lit(f"more than {MAX_FOLDS} folds")).cast("int"),
+        ).otherwise(F.col("fold")),
+    )
+    return rows.join(F.broadcast(bounded), "fold")
 
 
 def fit_one_class_pca(
@@ -189,12 +200,13 @@ def fit_one_class_pca(
     axes = spread.mapInPandas(
         principal, "fold int, mean array<double>, component array<double>"
     )
-    axis = _by_fold(axes)[F.col("fold")]
     bounds = (
-        data.withColumn("_distance", _distance(names, axis["mean"], axis["component"]))
+        _with_fold_row(data, axes)
+        .withColumn("_distance", _distance(names, F.col("mean"), F.col("component")))
         .groupBy("fold")
         .agg(
-            F.first(axis).alias("axis"),
+            F.first("mean").alias("mean"),
+            F.first("component").alias("component"),
             F.count(F.lit(1)).alias("rows"),
             F.min("_distance").alias("low"),
             F.max("_distance").alias("high"),
@@ -205,8 +217,8 @@ def fit_one_class_pca(
         "fold",
         F.lit(ONE_CLASS_MODEL).alias("model"),
         F.array(*[F.lit(name) for name in names]).alias("features"),
-        F.col("axis.mean").alias("mean"),
-        F.col("axis.component").alias("component"),
+        "mean",
+        "component",
         (F.col("low") - margin).alias("lower_bound"),
         (F.col("high") + margin).alias("upper_bound"),
         "rows",
@@ -220,17 +232,17 @@ def predict_one_class(
     rows: DataFrame, models: DataFrame, features: Sequence[str] = CREDENTIAL_FEATURES
 ) -> DataFrame:
     """Adds ``distance`` and ``predicted``: 1 (human) outside the bounds, else 0 (bot)."""
-    fold = F.col("fold") if "fold" in rows.columns else F.lit(0)
-    columns = ["fold", "mean", "component", "lower_bound", "upper_bound"]
-    scored = rows.withColumn("_model", _by_fold(models.select(*columns))[fold])
+    data = rows if "fold" in rows.columns else rows.withColumn("fold", F.lit(0))
+    parts = ["mean", "component", "lower_bound", "upper_bound"]
     model = F.col("_model")
+    scored = _with_fold_row(data, models.select("fold", F.struct(*parts).alias("_model")))
     outside = (F.col("distance") > model["upper_bound"]) | (
         F.col("distance") < model["lower_bound"]
     )
     return (
         scored.withColumn("distance", _distance(features, model["mean"], model["component"]))
         .withColumn("predicted", F.when(outside, HUMAN_CLASS).otherwise(BOT_CLASS))
-        .drop("_model")
+        .select(*rows.columns, "distance", "predicted")
     )
 
 

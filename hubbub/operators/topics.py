@@ -91,51 +91,49 @@ def topic_taxonomy(paths: DataFrame, existing: DataFrame) -> DataFrame:
     merged = touched.join(existing, "slug", "left").select(
         "slug",
         F.coalesce("topic_id", new_topic_id(F.col("slug"))).alias("topic_id"),
+        "parents",
+        "children",
         F.array_sort(
             F.array_union(F.coalesce("parents_slug", no_slugs), "_parents")
         ).alias("parents_slug"),
         F.array_sort(
             F.array_union(F.coalesce("children_slug", no_slugs), "_children")
         ).alias("children_slug"),
-        "parents",
-        "children",
         F.coalesce("created_at", "_first").alias("created_at"),
         F.col("_latest").alias("updated_at"),
     )
-    ids = merged.select("slug", "topic_id").union(
-        existing.select("slug", "topic_id").join(merged.select("slug"), "slug", "left_anti")
-    )
+
+    def ends(slugs: str, up: bool) -> Column:
+        return F.transform(slugs, lambda s: F.struct(F.lit(up).alias("up"), s.alias("to")))
+
     links = merged.select(
-        "slug",
-        F.explode(
-            F.concat(
-                F.transform("parents_slug", lambda s: F.struct(F.lit(True).alias("up"), s.alias("to"))),
-                F.transform("children_slug", lambda s: F.struct(F.lit(False).alias("up"), s.alias("to"))),
-            )
-        ).alias("link"),
-    ).select("slug", "link.up", "link.to")
-    ends = ids.select(F.col("slug").alias("to"), F.col("topic_id").alias("_id"))
-    node = F.struct(F.col("_id"), F.col("to").alias("slug"))
-    resolved = links.join(ends, "to").groupBy("slug").agg(
-        F.collect_set(F.when(F.col("up"), node)).alias("_up"),
-        F.collect_set(F.when(~F.col("up"), node)).alias("_down"),
+        "*",
+        F.explode_outer(F.concat(ends("parents_slug", True), ends("children_slug", False))).alias(
+            "_link"
+        ),
+    ).select("*", F.col("_link.up").alias("_up"), F.col("_link.to").alias("_to"))
+    # A slug that is not stored has the id made from it, so only stored ids are looked up.
+    stored = existing.select(F.col("slug").alias("_to"), F.col("topic_id").alias("_stored"))
+    node = F.struct(
+        F.coalesce("_stored", new_topic_id(F.col("_to"))).alias("_id"), F.col("_to").alias("slug")
     )
     no_nodes = F.array().cast("array<struct<_id:string,slug:string>>")
 
-    def joined(stored: str, found: str) -> Column:
+    def joined(column: str, found: Column) -> Column:
+        linked = F.collect_set(F.when(found, node))
         return F.array_sort(
-            F.array_union(F.coalesce(stored, no_nodes), F.coalesce(found, no_nodes))
-        ).alias(stored)
+            F.array_union(F.coalesce(F.first(column), no_nodes), linked)
+        ).alias(column)
 
-    return merged.join(resolved, "slug", "left").select(
-        "topic_id",
-        "slug",
-        joined("parents", "_up"),
-        joined("children", "_down"),
-        "parents_slug",
-        "children_slug",
-        "created_at",
-        "updated_at",
+    kept = ("parents_slug", "children_slug", "created_at", "updated_at")
+    return (
+        links.join(stored, "_to", "left")
+        .groupBy("topic_id", "slug")
+        .agg(
+            joined("parents", F.col("_up")),
+            joined("children", ~F.col("_up")),
+            *[F.first(c).alias(c) for c in kept],
+        )
     )
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from hubbub.plans import queries_recommend, queries_stats  # noqa: F401
+from hubbub.plans import (  # noqa: F401
+    queries_fraud,
+    queries_recommend,
+    queries_stats,
+    queries_text,
+)
 from hubbub.plans.registry import ORACLES, QUERIES
 
 

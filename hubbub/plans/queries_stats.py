@@ -9,7 +9,7 @@ from hubbub.operators import engagement, feed, stats, upsert
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
 
-AGE = "exp(-ln(2) / 24 * (epoch_ms(@t0) - epoch_ms({0})) / 3600000.0)"
+AGE = "exp(-ln(2) / 24 * (epoch_us(@t0) // 1000 - epoch_us({0}) // 1000) / 3600000.0)"
 
 
 def age(column: str) -> str:

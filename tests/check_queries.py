@@ -28,16 +28,22 @@ def main() -> int:
         try:
             df = run(spark, sf_dir)
             if name in oracles:
+                df = df.cache()
+                df.count()
+                spark_time = time.time() - start
                 outcome = differences(df, con, oracles[name])
+                df.unpersist()
                 n = con.execute(f"SELECT count(*) FROM ({oracles[name]})").fetchone()[0]
             else:
-                n, outcome = df.count(), None
+                n, outcome = len(df.collect()), None
+                spark_time = time.time() - start
         except Exception as error:  # report and go on with the next query
             outcome, n = f"{type(error).__name__}: {str(error)[:600]}", -1
+            spark_time = 0.0
         bad += outcome is not None
         mark = "ok " if outcome is None else "BAD"
         kind = "" if name in oracles else " (rows only)"
-        print(f"{mark} {name}{kind} rows={n} {time.time() - start:.1f}s {outcome or ''}", flush=True)
+        print(f"{mark} {name}{kind} rows={n} spark {spark_time:.1f}s all {time.time() - start:.1f}s {outcome or ''}", flush=True)
     print("bad:", bad)
     return bad
 
