@@ -12,9 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters counted as white space.
-SPACES = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+ASCII_SPACES = r"\t\n\x0B\f\r\x1C-\x1F"
+WIDE_SPACES = r"\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SPACES = rf"{ASCII_SPACES} {WIDE_SPACES}"
 SPACE_CHARS = "".join(
     chr(code)
     for code in (
@@ -22,21 +22,30 @@ SPACE_CHARS = "".join(
         *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
     )
 )
+
+
+def beyond_ascii(ranges: str) -> str:
+    """Non-ASCII ranges for use inside a class, passed over with one test by ASCII characters."""
+    return rf"[\x{{80}}-\x{{10FFFF}}&&[{ranges}]]"
+
+
 WORD = r"[\p{L}\p{N}_]"
 URL = rf"http[^{SPACES}]+"
 
-# Symbol ranges removed from messages (emoji blocks, dingbats, enclosed and CJK
-# blocks between U+24C2 and U+1F251, everything outside the basic plane), and Thai letters.
-SYMBOLS = (
-    r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
-    r"\x{2500}-\x{2BEF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}\x{1F926}-\x{1F937}"
-    r"\x{10000}-\x{10FFFF}\x{2640}-\x{2642}\x{2600}-\x{2B55}"
-    r"\x{200D}\x{23CF}\x{23E9}\x{231A}\x{FE0F}\x{3030}"
-)
-UNWANTED = rf"[{SYMBOLS}]+|{URL}|[\x{{0E00}}-\x{{0E7F}}']"
+# Characters removed from messages. The listed emoji, dingbat and symbol blocks all
+# fall in U+24C2..U+10FFFF, a range that is removed whole, CJK included; besides them four single
+# characters, Thai letters and the apostrophe.
+SYMBOLS = r"\x{200D}\x{231A}\x{23CF}\x{23E9}\x{24C2}-\x{10FFFF}"
+THAI_LETTERS = r"\x{0E00}-\x{0E7F}"
+UNWANTED = rf"['{beyond_ascii(SYMBOLS + THAI_LETTERS)}]+|{URL}"
 
 # Punctuation and bullets turned into a space.
-PUNCTUATION = r"[\n!@#$%^&*\-+:;.,\x{2022}\x{2023}\x{25E6}\x{2043}\x{2219}]"
+PUNCTUATION = r"\n!@#$%^&*\-+:;.,"
+BULLETS = r"\x{2022}\x{2023}\x{25E6}\x{2043}\x{2219}"
+# A run of punctuation and white space becomes one space. Single spaces, most of a text, are not
+# matched at all.
+_BREAK = rf"{PUNCTUATION}{ASCII_SPACES}{beyond_ascii(BULLETS + WIDE_SPACES)}"
+BREAKS = rf"[{_BREAK}][ {_BREAK}]*| [ {_BREAK}]+"
 
 # Characters of URL-like tokens.
 URL_TOKEN = r"a-zA-Z0-9./?:@\-_=#"
@@ -45,12 +54,12 @@ URL_TOKEN = r"a-zA-Z0-9./?:@\-_=#"
 URL_LIKE = rf"(?<![{URL_TOKEN}])[{URL_TOKEN}]+\.[a-zA-Z]{{2,6}}[{URL_TOKEN}&]*+"
 
 # Faces that end a digit run to be removed.
-FACES = r"\x{263A}\x{1F645}"
+FACES = "\u263a\U0001f645"
 
 # Characters removed by the stand-alone emoji cleaner.
 EMOJI_PLANE = r"[\x{00A9}\x{00AE}\x{2000}-\x{3300}]"
 
-THAI = r"[\x{0E00}-\x{0E7F}]"
+THAI = f"[{THAI_LETTERS}]"
 
 # Frequent function words per language; ties go to the earlier language.
 STOP_WORDS = {
@@ -68,21 +77,21 @@ UNKNOWN_LANGUAGE = "n/a"
 
 
 def clean_message(message: Column) -> Column:
-    """Drop symbols, links and Thai letters; punctuation and ``r/`` become single spaces."""
+    """Drop symbols, links and Thai letters; punctuation, ``r/`` and space runs become one space."""
     text = F.regexp_replace(message, UNWANTED, "")
-    text = F.regexp_replace(text, PUNCTUATION, " ")
-    text = F.regexp_replace(text, "r/", " ")
-    return F.trim(F.regexp_replace(text, rf"[{SPACES}]+", " "))
+    text = F.replace(text, F.lit("r/"), F.lit(" "))
+    return F.trim(F.regexp_replace(text, BREAKS, " "))
 
 
 def clean_message_v2(message: Column) -> Column:
     """Drop URL-like tokens, hashtags, line breaks and digit-to-face runs; squeeze spaces."""
     text = F.regexp_replace(message, URL_LIKE, "")
     text = F.regexp_replace(text, rf"#{WORD}+", "")
-    text = F.regexp_replace(text, r"\n+", "")
+    text = F.replace(text, F.lit("\n"), F.lit(""))
+    has_face = F.contains(text, F.lit(FACES[0])) | F.contains(text, F.lit(FACES[1]))
     without_faces = F.regexp_replace(text, rf"(?s)\p{{Nd}}++.*?[{FACES}]", "")
-    text = F.when(text.rlike(f"[{FACES}]"), without_faces).otherwise(text)
-    return F.btrim(F.regexp_replace(text, " +", " "), F.lit(SPACE_CHARS))
+    text = F.when(has_face, without_faces).otherwise(text)
+    return F.btrim(F.regexp_replace(text, " {2,}", " "), F.lit(SPACE_CHARS))
 
 
 def strip_urls(message: Column) -> Column:
@@ -113,7 +122,7 @@ def language_tag(message: Column, cleaned: Column | None = None) -> Column:
     with no hit is ``n/a``.
     """
     text = clean_message(message) if cleaned is None else cleaned
-    bare = strip_emojis(strip_hashtags(strip_urls(text)))
+    bare = F.regexp_replace(text, rf"{URL}|{EMOJI_PLANE}", "")  # cleaned text has no hashtags
     tokens = F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+"))
 
     def best(words: Column) -> Column:

@@ -18,9 +18,18 @@ def _replace(expression: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({expression}, {_quoted(pattern)}, '{by}', 'g')"
 
 
+# The symbol ranges one by one, where the Spark form has their union.
+_SYMBOL_BLOCKS = (
+    r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
+    r"\x{2500}-\x{2BEF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}\x{1F926}-\x{1F937}"
+    r"\x{10000}-\x{10FFFF}\x{2640}-\x{2642}\x{2600}-\x{2B55}"
+    r"\x{200D}\x{23CF}\x{23E9}\x{231A}\x{FE0F}\x{3030}"
+)
+
+
 def _clean(column: str) -> str:
-    step = _replace(column, text.UNWANTED)
-    step = _replace(step, text.PUNCTUATION, " ")
+    step = _replace(column, rf"[{_SYMBOL_BLOCKS}]+|{text.URL}|[\x{{0E00}}-\x{{0E7F}}']")
+    step = _replace(step, f"[{text.PUNCTUATION}{text.BULLETS}]", " ")
     step = _replace(step, "r/", " ")
     return f"trim({_replace(step, f'[{text.SPACES}]+', ' ')})"
 
