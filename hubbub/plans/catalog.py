@@ -6,6 +6,7 @@ from hubbub.plans import (  # noqa: F401
     queries_fraud,
     queries_recommend,
     queries_stats,
+    queries_streaming,
     queries_text,
 )
 from hubbub.plans.registry import ORACLES, QUERIES

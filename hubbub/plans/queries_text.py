@@ -45,21 +45,26 @@ def _clean_v2(column: str) -> str:
     return _replace(step, rf"\A[{spaces}]+|[{spaces}]+\z")
 
 
-def _language(message: str, clean: str) -> str:
-    bare = _replace(clean, text.URL)
-    bare = _replace(bare, rf"#{text.WORD}+[{text.SPACES}]*")
+_HITS = ", ".join(
+    f"len(list_intersect(tokens, {list(words)!r})) AS hits_{language}"
+    for language, words in text.STOP_WORDS.items()
+)
+_BEST = f"greatest({', '.join(f'hits_{language}' for language in text.STOP_WORDS)})"
+_CASES = " ".join(f"WHEN hits_{name} = {_BEST} THEN '{name}'" for name in text.STOP_WORDS)
+
+
+def _tagged(source: str) -> str:
+    """Common tables from ``source`` to ``l``, which adds ``cleaned`` and ``tag``."""
+    bare = _replace(_replace("cleaned", text.URL), rf"#{text.WORD}+[{text.SPACES}]*")
     bare = _replace(bare, text.EMOJI_PLANE)
     tokens = f"list_distinct(regexp_split_to_array(lower({bare}), '[^\\p{{L}}]+'))"
-    hits = {
-        language: f"len(list_intersect({tokens}, {list(words)!r}))"
-        for language, words in text.STOP_WORDS.items()
-    }
-    best = f"greatest({', '.join(hits.values())})"
-    cases = " ".join(f"WHEN {count} = {best} THEN '{name}'" for name, count in hits.items())
-    return (
-        f"CASE WHEN regexp_matches({message}, {_quoted(text.THAI)}) THEN 'th' "
-        f"WHEN {best} = 0 THEN 'n/a' {cases} END"
-    )
+    return f"""
+c AS MATERIALIZED (SELECT *, {_clean('message')} AS cleaned FROM {source}),
+tk AS MATERIALIZED (SELECT *, {tokens} AS tokens FROM c),
+hs AS MATERIALIZED (SELECT * EXCLUDE (tokens), {_HITS} FROM tk),
+l AS (
+  SELECT *, CASE WHEN regexp_matches(message, {_quoted(text.THAI)}) THEN 'th'
+    WHEN {_BEST} = 0 THEN 'n/a' {_CASES} END AS tag FROM hs)"""
 
 
 def _one_column(expression: str, name: str) -> str:
@@ -96,12 +101,7 @@ def strip_emojis(v):
 
 
 @query(
-    duckdb_sql(
-        f"""
-WITH c AS (SELECT content_id, message, {_clean('message')} AS cleaned FROM fx_messages)
-SELECT content_id, {_language('message', 'cleaned')} AS language FROM c""",
-        "messages",
-    )
+    duckdb_sql(f"WITH {_tagged('fx_messages')} SELECT content_id, tag AS language FROM l", "messages")
 )
 def language_tag(v):
     return _apply(v, text.language_tag, "language")
@@ -146,10 +146,8 @@ def topic_slugs(v):
 
 
 _TAGGED = f"""
-c AS (
-  SELECT *, {_clean('message')} AS cleaned, {_clean('translated_en')} AS translation
-  FROM fx_messages),
-l AS (SELECT *, {_language('message', 'cleaned')} AS tag FROM c),
+tr AS (SELECT *, {_clean('translated_en')} AS translation FROM fx_messages),
+{_tagged('tr')},
 r AS (
   SELECT *, tag = 'en' AS own, CASE WHEN tag = 'en' THEN len(string_split(cleaned, ' ')) >= 21
     ELSE coalesce(len(string_split(translation, ' ')) >= 21, FALSE) END AS ready FROM l),
@@ -233,24 +231,21 @@ def topic_taxonomy(v):
     )
 
 
-_CONTENT_TOPICS = duckdb_sql(
+CONTENT_TOPICS_SQL = duckdb_sql(
     f"""
-WITH {_TAXONOMY}
-SELECT content_id, language, translated_en, @t0 AS updated_at,
-  array_to_string(list_transform(slugs, s -> coalesce(
-    (SELECT any_value(topic_id) FROM ids WHERE ids.slug = s), '?')), ',') AS topics
-FROM tm""",
+WITH {_TAXONOMY},
+pt AS (
+  SELECT u.content_id, string_agg(ids.topic_id, ',' ORDER BY u.i) AS topics
+  FROM (SELECT content_id, slugs, unnest(range(1, len(slugs) + 1)) AS i FROM tm) u
+  JOIN ids ON ids.slug = u.slugs[u.i] GROUP BY u.content_id)
+SELECT tm.content_id, language, pt.topics, translated_en, @t0 AS updated_at
+FROM tm LEFT JOIN pt ON tm.content_id = pt.content_id""",
     "messages",
     "topics",
-).replace(
-    """array_to_string(list_transform(slugs, s -> coalesce(
-    (SELECT any_value(topic_id) FROM ids WHERE ids.slug = s), '?')), ',')""",
-    """(SELECT string_agg(ids.topic_id, ',' ORDER BY u.i)
-    FROM (SELECT unnest(range(1, len(tm.slugs) + 1)) AS i) u JOIN ids ON ids.slug = tm.slugs[u.i])""",
 )
 
 
-@query(_CONTENT_TOPICS)
+@query(CONTENT_TOPICS_SQL)
 def content_topics(v):
     tagged = topics.tag_messages(v.messages)
     taxonomy = topics.topic_taxonomy(tagged, _stored_topics(v)).select("slug", "topic_id")

@@ -140,6 +140,11 @@ def _fill(text: str, values: dict[str, str]) -> str:
     return text
 
 
+def view_over(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
+    """One derived table over the given source tables, which may be streams."""
+    return spark.sql(_fill(VIEWS[f"fx_{name}"], _SPARK), **tables)
+
+
 class Views:
     """The derived tables of one sample folder as Spark DataFrames, built when first used."""
 
@@ -159,10 +164,9 @@ class Views:
         view = f"fx_{name}"
         if view not in VIEWS:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        text = _fill(VIEWS[view], _SPARK)
-        tables = {t: getattr(self, t) for t in SOURCE_TABLES if f"{{{t}}}" in text}
+        tables = {t: getattr(self, t) for t in SOURCE_TABLES if f"{{{t}}}" in VIEWS[view]}
         tables |= {v: getattr(self, v[3:]) for v in _REFERS_TO.get(view, ())}
-        return self.spark.sql(text, **tables)
+        return view_over(self.spark, name, **tables)
 
 
 def duckdb_sql(body: str, *views: str, recursive: bool = False) -> str:
