@@ -114,16 +114,21 @@ def fit_per_key(
     )
 
 
-def base_model_fallback(models: DataFrame, all_keys: DataFrame, base: str = "th") -> DataFrame:
+def base_model_fallback(
+    models: DataFrame, all_keys: DataFrame, base: str = "th", stored: DataFrame | None = None
+) -> DataFrame:
     """Every key without a model gets a copy of the base key's model.
 
-    ``all_keys`` has one column ``account``. Nothing is added when the base has no model.
+    ``all_keys`` has one column ``account``. The base model is looked for in ``stored`` when given,
+    else in ``models``; nothing is added when there is none. ``models`` is read more than once, so
+    pass saved rows rather than a fit to be repeated.
     """
     untrained = all_keys.select("account").distinct().join(
         models.select("account"), "account", "left_anti"
     )
-    donor = F.struct(*[F.col(c) for c in models.columns if c != "account"])
-    base_row = models.where(F.col("account") == base).agg(F.first(donor).alias("model"))
+    donor = F.struct(*[c for c in models.columns if c != "account"])
+    donors = models if stored is None else stored
+    base_row = donors.where(F.col("account") == base).agg(F.first(donor).alias("model"))
     copied = untrained.select("account", base_row.scalar().alias("donor"))
     return models.unionByName(copied.where(F.col("donor").isNotNull()).select("account", "donor.*"))
 

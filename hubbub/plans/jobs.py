@@ -142,13 +142,22 @@ def country_models_job(
     min_rows: int = 3,
     base: str = "th",
 ) -> None:
-    """A model per country; ``countries`` (one column ``account``) without one get the base's."""
+    """A model per country; ``countries`` (one column ``account``) without one get the base's.
+
+    The base model is the one just fitted, or the stored one when the base was not trainable.
+    """
+    ensure_checkpoint_dir(spark)
     rows = features.country_engagement(
         spark.table(engagements), spark.table(users), spark.table(accounts), as_of, days
     )
     fitted = _fit(spark, rows, "country_code", content_stats, creator_stats, as_of,
-                  features.eligible_keys(rows, "country_code", min_rows))
-    merge_rows(models.base_model_fallback(fitted, countries, base), target, ["account", "model"])
+                  features.eligible_keys(rows, "country_code", min_rows)).checkpoint()
+    keys = ["account", "model"]
+    stored = fitted
+    if spark.catalog.tableExists(target):
+        stored = upsert.upsert_replace(spark.table(target), fitted, keys)
+    every = models.base_model_fallback(fitted, countries, base, stored)
+    merge_rows(every, target, keys)
 
 
 def account_models_job(
