@@ -85,12 +85,19 @@ def clean_message(message: Column) -> Column:
 
 def clean_message_v2(message: Column) -> Column:
     """Drop URL-like tokens, hashtags, line breaks and digit-to-face runs; squeeze spaces."""
-    text = F.regexp_replace(message, URL_LIKE, "")
+    # No URL-like token without a dot before two letters: most texts skip the longer pattern.
+    text = F.when(message.rlike(r"\.[a-zA-Z]{2}"), F.regexp_replace(message, URL_LIKE, "")).otherwise(
+        message
+    )
     text = F.regexp_replace(text, rf"#{WORD}+", "")
     text = F.replace(text, F.lit("\n"), F.lit(""))
-    has_face = F.contains(text, F.lit(FACES[0])) | F.contains(text, F.lit(FACES[1]))
-    without_faces = F.regexp_replace(text, rf"(?s)\p{{Nd}}++.*?[{FACES}]", "")
-    text = F.when(has_face, without_faces).otherwise(text)
+
+    def without_faces(line: Column) -> Column:
+        has_face = F.contains(line, F.lit(FACES[0])) | F.contains(line, F.lit(FACES[1]))
+        removed = F.regexp_replace(line, rf"(?s)\p{{Nd}}++.*?[{FACES}]", "")
+        return F.when(has_face, removed).otherwise(line)
+
+    text = _once(text, without_faces)
     return F.btrim(F.regexp_replace(text, " {2,}", " "), F.lit(SPACE_CHARS))
 
 
@@ -123,7 +130,11 @@ def language_tag(message: Column, cleaned: Column | None = None) -> Column:
     """
     text = clean_message(message) if cleaned is None else cleaned
     bare = F.regexp_replace(text, rf"{URL}|{EMOJI_PLANE}", "")  # cleaned text has no hashtags
-    tokens = F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+"))
+    # One pass over the tokens leaves the few function words of any language.
+    every = sorted({word for words in STOP_WORDS.values() for word in words})
+    tokens = F.array_intersect(
+        F.split(F.lower(bare), r"[^\p{L}]+"), F.array(*[F.lit(w) for w in every])
+    )
 
     def best(words: Column) -> Column:
         scored = [
@@ -149,7 +160,7 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def token_count(text: Column) -> Column:
     """Number of pieces between single spaces, empty pieces included."""
-    return F.size(F.split(text, " "))
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
 
 
 def classifiable(cleaned: Column, min_tokens: int = 21) -> Column:

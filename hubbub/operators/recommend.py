@@ -101,57 +101,63 @@ def min_interaction_users(pairs: DataFrame, min_contents: int = 4) -> DataFrame:
     return pairs.join(active.select("person_id"), "person_id", "left_semi")
 
 
-def popularity(pairs: DataFrame, article_rows: DataFrame, by: str) -> DataFrame:
-    """Strength, latest time and 0-1 score of each content, per value of ``by``.
+def content_strength(pairs: DataFrame, article_rows: DataFrame) -> DataFrame:
+    """One row per content with its attributes, summed strength and latest interaction.
 
     Interactions are summed per content before the join, so a popular content is one row by
-    then. The score is scaled by the overall minimum and maximum; it is 0 when they are equal.
+    then. ``article_rows`` has one row per content.
     """
     per_content = pairs.groupBy("content_id").agg(
         F.max("timestamp").alias("timestamp"), F.sum("event_strength").alias("event_strength")
     )
-    ranked = (
-        per_content.join(article_rows.select("content_id", "title", by, "author"), "content_id")
-        .where(F.col(by).isNotNull())
-        .groupBy("content_id", "title", by)
-        .agg(
-            F.max("author").alias("author"),
-            F.max("timestamp").alias("timestamp"),
-            F.sum("event_strength").alias("event_strength"),
-        )
-    )
-    bounds = ranked.agg(
-        F.struct(
-            F.min("event_strength").alias("low"), F.max("event_strength").alias("high")
-        ).alias("bounds")
+    attributes = ("content_id", "title", "author", "country_code", "continent_code", "language")
+    return per_content.join(article_rows.select(*attributes), "content_id")
+
+
+def _scaled(contents: DataFrame, by: str) -> Column:
+    """Strength scaled to 0-1 over the contents that have a ``by``; 0 when all are equal."""
+    strength = F.col("event_strength")
+    bounds = contents.where(F.col(by).isNotNull()).agg(
+        F.struct(F.min(strength).alias("low"), F.max(strength).alias("high"))
     )
     limits = bounds.scalar()
-    scaled = F.try_divide(
-        F.col("event_strength") - limits["low"], limits["high"] - limits["low"]
+    scaled = F.try_divide(strength - limits["low"], limits["high"] - limits["low"])
+    return F.coalesce(scaled, F.lit(0.0))
+
+
+def popularity(contents: DataFrame, by: str) -> DataFrame:
+    """Contents of ``content_strength`` with a 0-1 score, listed by country or language.
+
+    ``contents`` is read twice, for its bounds and its rows: pass saved rows.
+    """
+    columns = ("content_id", "title", by, "author", "timestamp", "event_strength")
+    return contents.where(F.col(by).isNotNull()).select(
+        *columns, _scaled(contents, by).alias("score")
     )
-    return ranked.withColumn("score", F.coalesce(scaled, F.lit(0.0)))
 
 
-def default_feed(pairs: DataFrame, article_rows: DataFrame) -> DataFrame:
-    """Country ranking, then language ranking; the first row of each content is kept.
+def default_feed(contents: DataFrame) -> DataFrame:
+    """Country ranking followed by language ranking, the first row of each content kept.
 
-    Rows of the country list come first, stronger rows before weaker ones.
+    A content is in each list at most once, so its first row is the country one, or the language
+    one where it has no country. That is decided row by row, without joining the lists.
     """
-    shared = ["content_id", "title", "timestamp", "event_strength", "score", "author"]
-    lists = [
-        popularity(pairs, article_rows, by).select(
-            *shared,
-            F.lit(by).alias("model_key"),
-            F.col(by).alias("model_value"),
-            F.lit(place).alias("list_order"),
-        )
-        for place, by in enumerate(("country_code", "language"))
-    ]
-    both = lists[0].unionByName(lists[1])
-    order = F.struct("list_order", -F.col("event_strength"), "model_value", "title")
-    row = F.struct(*[c for c in both.columns if c not in ("content_id", "list_order")])
-    kept = both.groupBy("content_id").agg(F.min_by(row, order).alias("row"))
-    return kept.select("content_id", "row.*").withColumn("score", half_even(F.col("score"), 4))
+    keys = ("country_code", "language")
+
+    def first(values: dict[str, Column]) -> Column:
+        return F.coalesce(*[F.when(F.col(by).isNotNull(), values[by]) for by in keys])
+
+    listed = contents.where(F.col(keys[0]).isNotNull() | F.col(keys[1]).isNotNull())
+    return listed.select(
+        "content_id",
+        "title",
+        "timestamp",
+        "event_strength",
+        first({by: F.lit(by) for by in keys}).alias("model_key"),
+        first({by: F.col(by) for by in keys}).alias("model_value"),
+        half_even(first({by: _scaled(contents, by) for by in keys}), 4).alias("score"),
+        "author",
+    )
 
 
 def session_features(pairs: DataFrame) -> DataFrame:

@@ -45,10 +45,13 @@ def tag_messages(messages: DataFrame) -> DataFrame:
     least 21 tokens after cleaning. Slugs are null otherwise.
     """
     tagged = messages.withColumns(
-        {"_clean": clean_message(F.col("message")), "_english": F.col("translated_en")}
+        {
+            "_clean": clean_message(F.col("message")),
+            "_translation": clean_message(F.col("translated_en")),
+        }
     ).withColumn("_language", language_tag(F.col("message"), F.col("_clean")))
     own = F.col("_language") == "en"
-    translation = clean_message(F.col("_english"))
+    translation = F.col("_translation")
     ready = F.when(own, classifiable(F.col("_clean"))).otherwise(
         F.coalesce(classifiable(translation), F.lit(False))
     )
@@ -76,9 +79,10 @@ def topic_taxonomy(paths: DataFrame, existing: DataFrame) -> DataFrame:
     stored links are kept and new ones added, ids are resolved against stored and new topics.
     The arrays are as long as the taxonomy is wide, not as the data is long.
     """
-    steps = paths.where(F.col("slugs").isNotNull()).select(
-        F.posexplode("slugs").alias("position", "slug"), "slugs", "updated_at"
-    )
+    # The outer form keeps the optimizer from evaluating ``slugs`` a second time as a filter.
+    steps = paths.select(
+        F.posexplode_outer("slugs").alias("position", "slug"), "slugs", "updated_at"
+    ).where(F.col("slug").isNotNull())
     parent = F.when(F.col("position") > 0, F.get("slugs", F.col("position") - 1))
     child = F.get("slugs", F.col("position") + 1)
     touched = steps.groupBy("slug").agg(

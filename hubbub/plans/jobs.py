@@ -26,7 +26,7 @@ from hubbub.operators import (
     topics,
     upsert,
 )
-from hubbub.session import ensure_checkpoint_dir
+from hubbub.session import saved
 from hubbub.sources.sinks import append_rows, merge_rows, reload_table, rewrite_table
 
 
@@ -146,12 +146,13 @@ def country_models_job(
 
     The base model is the one just fitted, or the stored one when the base was not trainable.
     """
-    ensure_checkpoint_dir(spark)
-    rows = features.country_engagement(
-        spark.table(engagements), spark.table(users), spark.table(accounts), as_of, days
+    rows = saved(
+        features.country_engagement(
+            spark.table(engagements), spark.table(users), spark.table(accounts), as_of, days
+        )
     )
-    fitted = _fit(spark, rows, "country_code", content_stats, creator_stats, as_of,
-                  features.eligible_keys(rows, "country_code", min_rows)).checkpoint()
+    fitted = saved(_fit(spark, rows, "country_code", content_stats, creator_stats, as_of,
+                  features.eligible_keys(rows, "country_code", min_rows)))
     keys = ["account", "model"]
     stored = fitted
     if spark.catalog.tableExists(target):
@@ -179,7 +180,7 @@ def account_models_job(
         or spark.table(creator_stats).isEmpty()
     ):
         return
-    rows = features.account_engagement(spark.table(engagements), spark.table(users))
+    rows = saved(features.account_engagement(spark.table(engagements), spark.table(users)))
     fitted = _fit(spark, rows, "account_id", recent, creator_stats, as_of,
                   features.eligible_accounts(rows, min_rows))
     merge_rows(fitted, target, ["account", "model"])
@@ -210,9 +211,10 @@ def default_feed_job(
     min_contents: int = 4,
 ) -> None:
     listed = recommend.articles(*[spark.table(t) for t in (contents, users, accounts, filtering)])
-    pairs = recommend.interactions(spark.table(engagements), listed, as_of)
+    pairs = saved(recommend.interactions(spark.table(engagements), listed, as_of))
     frequent = recommend.min_interaction_users(pairs, min_contents)
-    reload_table(recommend.default_feed(frequent, listed), target)
+    contents_seen = saved(recommend.content_strength(frequent, listed))
+    reload_table(recommend.default_feed(contents_seen), target)
 
 
 def member_recommendations_job(
@@ -309,12 +311,11 @@ def train_one_class_job(
 ) -> bool:
     """Evaluate over folds, fit on all bots, append the artifact. False when bots are too few.
 
-    The data set is at most ``n`` rows; it is checkpointed because every later step reads it.
+    The data set is at most ``n`` rows; it is saved because every later step reads it.
     """
-    ensure_checkpoint_dir(spark)
     key = F.concat_ws("|", "seen_credential", "first_seen_at", "last_seen_at")
     dataset = fraud.one_class_dataset(spark.table(credentials), n).withColumn("row_id", key)
-    labelled = fraud.with_label(dataset, bot_status).checkpoint()
+    labelled = saved(fraud.with_label(dataset, bot_status))
     if not fraud.train_gate(labelled, folds, bot_status).first()["trainable"]:
         return False
     splits = fraud.stratified_splits(labelled, "row_id", folds)

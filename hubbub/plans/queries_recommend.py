@@ -9,6 +9,7 @@ from hubbub.operators import clusters, engagement, features, models, ordering, r
 from hubbub.plans.queries_stats import age
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
+from hubbub.session import saved
 
 _KINDS = ("like", "comment", "recast", "quote")
 _COUNT_KINDS = ", ".join(f"count(*) FILTER (type = '{k}') AS \"{k}\"" for k in _KINDS)
@@ -163,7 +164,7 @@ def eligible_accounts(v):
 
 
 def _country_training(v):
-    rows = _country_rows(v)
+    rows = saved(_country_rows(v))
     trainable = features.eligible_keys(rows, "country_code", 3).select("country_code")
     labelled = features.weighted_label(
         rows.join(trainable, "country_code", "left_semi"), "country_code"
@@ -245,7 +246,7 @@ def country_models(v):
 
 @query()
 def account_models(v):
-    rows = features.account_engagement(v.engagements, v.users)
+    rows = saved(features.account_engagement(v.engagements, v.users))
     trainable = features.eligible_accounts(rows).select("account_id")
     labelled = features.weighted_label(
         rows.join(trainable, "account_id", "left_semi"), "account_id"
@@ -340,18 +341,19 @@ FROM g""",
     )
 
 
+def _strength(v):
+    frequent = recommend.min_interaction_users(saved(_pairs(v)))
+    return saved(recommend.content_strength(frequent, _articles(v)))
+
+
 @query(_popularity_sql("country_code"))
 def popularity_by_country(v):
-    return recommend.popularity(
-        recommend.min_interaction_users(_pairs(v)), _articles(v), "country_code"
-    )
+    return recommend.popularity(_strength(v), "country_code")
 
 
 @query(_popularity_sql("language"))
 def popularity_by_language(v):
-    return recommend.popularity(
-        recommend.min_interaction_users(_pairs(v)), _articles(v), "language"
-    )
+    return recommend.popularity(_strength(v), "language")
 
 
 def _ranking(by: str, place: int) -> str:
@@ -377,7 +379,7 @@ SELECT * EXCLUDE (list_order, place) FROM s WHERE place = 1""",
     )
 )
 def default_feed(v):
-    return recommend.default_feed(recommend.min_interaction_users(_pairs(v)), _articles(v))
+    return recommend.default_feed(_strength(v))
 
 
 @query(
@@ -409,7 +411,7 @@ def person_dictionary(v):
 
 @query()
 def member_recommendations(v):
-    scores, people, items = recommend.member_recommendations(_pairs(v), k=10)
+    scores, people, items = recommend.member_recommendations(saved(_pairs(v)), k=10)
     return scores.join(people, "user").join(items, "content").select(
         "person_id", "content_id", "score"
     )
@@ -448,5 +450,5 @@ def user_topic_matrix(v):
 
 @query()
 def user_clusters(v):
-    matrix = clusters.user_topic_matrix(_topic_counts(v), _taxonomy(v))
+    matrix = clusters.user_topic_matrix(saved(_topic_counts(v)), _taxonomy(v))
     return clusters.user_clusters(matrix, AS_OF)

@@ -8,6 +8,7 @@ from hubbub.functions import text
 from hubbub.operators import topics
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
+from hubbub.session import saved
 
 
 def _quoted(pattern: str) -> str:
@@ -247,7 +248,7 @@ FROM tm LEFT JOIN pt ON tm.content_id = pt.content_id""",
 
 @query(CONTENT_TOPICS_SQL)
 def content_topics(v):
-    tagged = topics.tag_messages(v.messages)
+    tagged = saved(topics.tag_messages(v.messages))
     taxonomy = topics.topic_taxonomy(tagged, _stored_topics(v)).select("slug", "topic_id")
     found = topics.content_topics(tagged, taxonomy, AS_OF)
     return found.withColumn("topics", F.array_join("topics", ","))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Joins are left to Catalyst and AQE: a side is broadcast only when its
 # measured size is under the threshold, and a partition held by one hot key is split.
@@ -48,6 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named or tempfile.mkdtemp(prefix="hubbub-")
 
 
+def saved(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared folder and read back.
+
+    For results several later steps read: they are computed a single time, survive the loss of
+    executors, and come back with a known size. The cluster's policy for that folder removes them.
+    """
+    path = f"{shared_dir(rows.sparkSession)}/saved-{uuid.uuid4()}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative fits a place to cut lineage."""
     context = spark.sparkContext

@@ -228,11 +228,14 @@ def test_fallback_without_base(spark):
 def test_popularity_of_equal_strengths_is_zero(spark):
     pairs = spark.createDataFrame([("p", "1", NOW, 1.0), ("p", "2", NOW, 1.0)],
                                   "person_id string, content_id string, timestamp timestamp, event_strength double")
-    listed = spark.createDataFrame([("1", "x", "us", "en", "a"), ("2", "y", "us", "en", "a")],
-                                   "content_id string, title string, country_code string, language string, author string")
-    assert {r["score"] for r in recommend.popularity(pairs, listed, "language").collect()} == {0.0}
-    best = recommend.default_feed(pairs, listed).collect()
-    assert {r["model_key"] for r in best} == {"country_code"} and len(best) == 2
+    listed = spark.createDataFrame([("1", "x", "us", "as", "en", "a"), ("2", "y", None, None, "en", "a")],
+                                   "content_id string, title string, country_code string, continent_code string, "
+                                   "language string, author string")
+    seen = recommend.content_strength(pairs, listed)
+    assert {r["score"] for r in recommend.popularity(seen, "language").collect()} == {0.0}
+    assert recommend.popularity(seen, "country_code").count() == 1
+    best = {r["content_id"]: r["model_key"] for r in recommend.default_feed(seen).collect()}
+    assert best == {"1": "country_code", "2": "language"}
 
 
 def test_interaction_strengths(spark):
