@@ -152,19 +152,21 @@ def _distance(features: Sequence[str], mean: Column, component: Column) -> Colum
     return F.sqrt(sum((c - projection * a) * (c - projection * a) for c, a in zip(centred, along)))
 
 
-def _with_fold_row(rows: DataFrame, per_fold: DataFrame) -> DataFrame:
-    """Join rows to their fold's single row.
+def _with_model(rows: DataFrame, models: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Adds the parts of a row's model as ``_model``.
 
-    ``MAX_FOLDS`` bounds the right side, so Catalyst knows its size and broadcasts it; a row
-    beyond the bound fails the query instead of being lost.
+    Rows without a ``fold`` share one model, a scalar subquery that fails on several. Rows of
+    folds are joined: at most ``MAX_FOLDS`` rows are broadcast, and one fold more fails the query
+    instead of being lost.
     """
-    bounded = per_fold.limit(MAX_FOLDS + 1).withColumn(
-        "fold",
-        F.when(
-            F.row_number().over(Window.orderBy("fold")) > MAX_FOLDS,
-            F.raise_error(F.lit(f"more than {MAX_FOLDS} folds")).cast("int"),
-        ).otherwise(F.col("fold")),
-    )
+    model = models.select("fold", F.struct(*parts).alias("_model"))
+    if "fold" not in rows.columns:
+        return rows.withColumn("_model", model.select("_model").scalar())
+    number = F.row_number().over(Window.orderBy("fold"))
+    checked = F.when(
+        number > MAX_FOLDS, F.raise_error(F.lit(f"more than {MAX_FOLDS} folds")).cast("int")
+    ).otherwise(F.col("fold"))
+    bounded = model.limit(MAX_FOLDS + 1).withColumn("fold", checked)
     return rows.join(F.broadcast(bounded), "fold")
 
 
@@ -178,9 +180,9 @@ def fit_one_class_pca(
     then distance bounds. Only a features-by-features matrix per fold reaches Python.
     """
     names = list(features)
-    data = rows if "fold" in rows.columns else rows.withColumn("fold", F.lit(0))
+    fold = F.col("fold") if "fold" in rows.columns else F.lit(0).alias("fold")
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    spread = data.groupBy("fold").agg(
+    spread = rows.groupBy(fold).agg(
         F.array(*[F.avg(name) for name in names]).alias("mean"),
         F.array(*[F.covar_pop(names[i], names[j]) for i, j in pairs]).alias("covariance"),
     )
@@ -200,13 +202,14 @@ def fit_one_class_pca(
     axes = spread.mapInPandas(
         principal, "fold int, mean array<double>, component array<double>"
     )
+    model = F.col("_model")
     bounds = (
-        _with_fold_row(data, axes)
-        .withColumn("_distance", _distance(names, F.col("mean"), F.col("component")))
-        .groupBy("fold")
+        _with_model(rows, axes, ["mean", "component"])
+        .withColumn("_distance", _distance(names, model["mean"], model["component"]))
+        .groupBy(fold)
         .agg(
-            F.first("mean").alias("mean"),
-            F.first("component").alias("component"),
+            F.first(model["mean"]).alias("mean"),
+            F.first(model["component"]).alias("component"),
             F.count(F.lit(1)).alias("rows"),
             F.min("_distance").alias("low"),
             F.max("_distance").alias("high"),
@@ -231,17 +234,18 @@ def fit_one_class_pca(
 def predict_one_class(
     rows: DataFrame, models: DataFrame, features: Sequence[str] = CREDENTIAL_FEATURES
 ) -> DataFrame:
-    """Adds ``distance`` and ``predicted``: 1 (human) outside the bounds, else 0 (bot)."""
-    data = rows if "fold" in rows.columns else rows.withColumn("fold", F.lit(0))
-    parts = ["mean", "component", "lower_bound", "upper_bound"]
+    """Adds ``distance`` and ``predicted``: 1 (human) outside the bounds, 0 (bot) inside.
+
+    Both are null where there is no model.
+    """
     model = F.col("_model")
-    scored = _with_fold_row(data, models.select("fold", F.struct(*parts).alias("_model")))
+    scored = _with_model(rows, models, ["mean", "component", "lower_bound", "upper_bound"])
     outside = (F.col("distance") > model["upper_bound"]) | (
         F.col("distance") < model["lower_bound"]
     )
     return (
         scored.withColumn("distance", _distance(features, model["mean"], model["component"]))
-        .withColumn("predicted", F.when(outside, HUMAN_CLASS).otherwise(BOT_CLASS))
+        .withColumn("predicted", F.when(outside, HUMAN_CLASS).when(~outside, BOT_CLASS))
         .select(*rows.columns, "distance", "predicted")
     )
 

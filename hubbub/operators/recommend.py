@@ -27,34 +27,31 @@ def strength(kind: Column, unknown_as: str | None = None) -> Column:
     return value
 
 
+def listed_contents(contents: DataFrame, filtering: DataFrame) -> DataFrame:
+    """Published contents with a title and a filtering row."""
+    listed = contents.where((F.col("visibility") == "publish") & F.col("message").isNotNull())
+    return listed.join(filtering.select("content_id"), "content_id", "left_semi")
+
+
 def articles(
     contents: DataFrame, users: DataFrame, accounts: DataFrame, filtering: DataFrame
 ) -> DataFrame:
-    """Published contents with a title and a filtering row, with place, language and class."""
+    """Listed contents with title, place, language and class."""
     owners = users.select(F.col("user_id").alias("author_id"), "owner_account")
     places = accounts.select(
         F.col("account_id").alias("owner_account"), "country_code", "continent_code"
     )
     homes = owners.join(places, "owner_account", "left").drop("owner_account")
-    published = contents.where(
-        (F.col("visibility") == "publish") & F.col("message").isNotNull()
-    ).select(
-        "content_id",
-        "author_id",
-        F.col("type").alias("content_type"),
-        "created_at",
-        F.col("message").alias("title"),
-    )
-    screened = filtering.select("content_id", "language", "class")
+    listed = contents.where((F.col("visibility") == "publish") & F.col("message").isNotNull())
     return (
-        published.join(screened, "content_id")
+        listed.join(filtering.select("content_id", "language", "class"), "content_id")
         .join(homes, "author_id", "left")
         .select(
             "content_id",
             F.col("author_id").alias("author"),
-            "content_type",
+            F.col("type").alias("content_type"),
             "created_at",
-            "title",
+            F.col("message").alias("title"),
             F.coalesce("country_code", F.lit(DEFAULT_COUNTRY)).alias("country_code"),
             F.coalesce("continent_code", F.lit(DEFAULT_COUNTRY)).alias("continent_code"),
             F.coalesce("language", F.lit(DEFAULT_LANGUAGE)).alias("language"),
@@ -65,7 +62,7 @@ def articles(
 
 def interactions(
     engagements: DataFrame,
-    article_rows: DataFrame,
+    listed: DataFrame,
     as_of: datetime,
     months: int = 4,
     unknown_as: str | None = None,
@@ -73,7 +70,7 @@ def interactions(
     """Latest time and summed strength per (person, content) over the last months.
 
     Reports are left out. Engagements of an unknown type are ignored, or counted as the type
-    ``unknown_as``. Rows are combined per pair before they meet the article list.
+    ``unknown_as``. Only ``listed`` contents count; rows are combined per pair before that join.
     """
     recent = engagements.where(
         newer_than_months(engagements, "created_at", as_of, months)
@@ -88,7 +85,7 @@ def interactions(
     pairs = scored.groupBy("person_id", "content_id").agg(
         F.max("timestamp").alias("timestamp"), F.sum("event_strength").alias("event_strength")
     )
-    return pairs.join(article_rows.select("content_id"), "content_id", "left_semi")
+    return pairs.join(listed.select("content_id"), "content_id", "left_semi")
 
 
 def min_interaction_users(pairs: DataFrame, min_contents: int = 4) -> DataFrame:
@@ -174,6 +171,7 @@ def session_features(pairs: DataFrame) -> DataFrame:
 def member_recommendations(
     pairs: DataFrame,
     k: int = 10,
+    people_wanted: DataFrame | None = None,
     rank: int = 5,
     iterations: int = 10,
     regularisation: float = 0.1,
@@ -182,6 +180,8 @@ def member_recommendations(
     """Best ``k`` contents per person from a low-rank model, with the two id dictionaries.
 
     Returns ``(scores, person_dict, content_dict)``; scores are ``(user, content, score)``.
+    ``people_wanted`` (one column ``person_id``) limits the scoring to some people, such as those
+    with new interactions. ``pairs`` is read several times: pass saved rows.
     """
     ensure_checkpoint_dir(pairs.sparkSession)
     people = dense_ids(pairs, "person_id", "user")
@@ -195,7 +195,10 @@ def member_recommendations(
             F.col("event_strength").cast("float").alias("rating"),
         )
     )
+    blocks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         userCol="user",
         itemCol="content",
         ratingCol="rating",
@@ -205,7 +208,12 @@ def member_recommendations(
         seed=seed,
         coldStartStrategy="drop",
     )
-    best = als.fit(coded).recommendForAllUsers(k)
+    fitted = als.fit(coded)
+    if people_wanted is None:
+        best = fitted.recommendForAllUsers(k)
+    else:
+        wanted = people.join(people_wanted.select("person_id"), "person_id", "left_semi")
+        best = fitted.recommendForUserSubset(wanted.select(F.col("user").cast("int")), k)
     scores = best.select("user", F.explode("recommendations").alias("r")).select(
         F.col("user").cast("bigint").alias("user"),
         F.col("r.content").cast("bigint").alias("content"),

@@ -211,7 +211,8 @@ def default_feed_job(
     min_contents: int = 4,
 ) -> None:
     listed = recommend.articles(*[spark.table(t) for t in (contents, users, accounts, filtering)])
-    pairs = saved(recommend.interactions(spark.table(engagements), listed, as_of))
+    countable = recommend.listed_contents(spark.table(contents), spark.table(filtering))
+    pairs = saved(recommend.interactions(spark.table(engagements), countable, as_of))
     frequent = recommend.min_interaction_users(pairs, min_contents)
     contents_seen = saved(recommend.content_strength(frequent, listed))
     reload_table(recommend.default_feed(contents_seen), target)
@@ -230,7 +231,8 @@ def member_recommendations_job(
 ) -> None:
     """Scores, the two id dictionaries, the content list and the session features."""
     listed = recommend.articles(*[spark.table(t) for t in (contents, users, accounts, filtering)])
-    pairs = recommend.interactions(spark.table(engagements), listed, as_of, unknown_as="like")
+    countable = recommend.listed_contents(spark.table(contents), spark.table(filtering))
+    pairs = recommend.interactions(spark.table(engagements), countable, as_of, unknown_as="like")
     reload_table(recommend.session_features(pairs), f"{prefix}member_interactions")
     saved = spark.table(f"{prefix}member_interactions")
     scores, people, items = recommend.member_recommendations(saved, k)
@@ -318,7 +320,7 @@ def train_one_class_job(
     labelled = saved(fraud.with_label(dataset, bot_status))
     if not fraud.train_gate(labelled, folds, bot_status).first()["trainable"]:
         return False
-    splits = fraud.stratified_splits(labelled, "row_id", folds)
+    splits = saved(fraud.stratified_splits(labelled, "row_id", folds))
     by_fold = fraud.fit_one_class_pca(
         splits.where(F.col("is_train") & (F.col("label") == 0)), as_of
     )
@@ -347,6 +349,8 @@ def predict_suspicious_job(
     if not spark.catalog.tableExists(artifacts):
         return
     artifact = models.latest_artifact(spark.table(artifacts), ONE_CLASS_MODEL)
+    if artifact.isEmpty():
+        return
     rows = spark.table(credentials)
     predicted = fraud.predict_one_class(fraud.latest_unverified(rows), artifact)
     found = fraud.suspicious_users(predicted, fraud.last_verified(rows), as_of, cooldown_hours)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hubbub.operators import fraud, models
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
+from hubbub.session import saved
 
 _TIMES = """
 rt AS (
@@ -103,8 +104,12 @@ sp AS (
   FROM lb CROSS JOIN (SELECT unnest(range(5)) AS fold))"""
 
 
+def _dataset(v):
+    return saved(fraud.with_label(fraud.one_class_dataset(v.credentials)))
+
+
 def _splits(v):
-    labelled = fraud.with_label(fraud.one_class_dataset(v.credentials))
+    labelled = _dataset(v)
     return fraud.stratified_splits(labelled, "id")
 
 
@@ -158,7 +163,7 @@ FROM md""",
     digits=5,
 )
 def one_class_model(v):
-    bots = fraud.one_class_dataset(v.credentials).where(~F.col("verification_status"))
+    bots = _dataset(v).where(F.col("label") == 0)
     model = fraud.fit_one_class_pca(bots, AS_OF)
     return model.select("fold", "rows", "lower_bound", "upper_bound")
 
@@ -172,7 +177,7 @@ pd AS (
 
 
 def _predictions(v):
-    splits = _splits(v)
+    splits = saved(_splits(v))
     models_by_fold = fraud.fit_one_class_pca(
         splits.where(F.col("is_train") & (F.col("label") == 0)), AS_OF
     )
@@ -266,7 +271,7 @@ WHERE lv.verified_at IS NULL OR @t0 - lv.verified_at >= INTERVAL 1 HOUR""",
     )
 )
 def suspicious_users(v):
-    bots = fraud.one_class_dataset(v.credentials).where(~F.col("verification_status"))
+    bots = _dataset(v).where(F.col("label") == 0)
     model = fraud.fit_one_class_pca(bots, AS_OF)
     predicted = fraud.predict_one_class(fraud.latest_unverified(v.credentials), model)
     return fraud.suspicious_users(predicted, fraud.last_verified(v.credentials), AS_OF)

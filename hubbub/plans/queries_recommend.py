@@ -122,7 +122,7 @@ _COUNTRY_LABEL = _label_sql(_COUNTRY, "ce", "country_code")
     )
 )
 def country_labels(v):
-    return features.weighted_label(_country_rows(v), "country_code")
+    return features.weighted_label(saved(_country_rows(v)), "country_code")
 
 
 @query(
@@ -134,9 +134,8 @@ def country_labels(v):
     )
 )
 def account_labels(v):
-    return features.weighted_label(
-        features.account_engagement(v.engagements, v.users), "account_id"
-    )
+    rows = saved(features.account_engagement(v.engagements, v.users))
+    return features.weighted_label(rows, "account_id")
 
 
 @query(
@@ -269,9 +268,8 @@ WHERE m.account = 'c3' AND k.account NOT IN (SELECT account FROM m)"""
 
 @query(duckdb_sql(_TRAINED, *_ALL[1:]))
 def base_model_fallback(v):
-    trained = features.eligible_keys(_country_rows(v), "country_code", 3).withColumnRenamed(
-        "country_code", "account"
-    )
+    eligible = features.eligible_keys(_country_rows(v), "country_code", 3)
+    trained = saved(eligible.withColumnRenamed("country_code", "account"))
     keys = v.customer.select(
         F.concat(F.lit("c"), F.col("c_nationkey").cast("string")).alias("account")
     ).union(v.nation.select(F.concat(F.lit("x"), F.col("n_nationkey").cast("string"))))
@@ -307,8 +305,12 @@ def _articles(v):
     return recommend.articles(v.contents, v.users, v.accounts, v.filtering)
 
 
+def _listed(v):
+    return recommend.listed_contents(v.contents, v.filtering)
+
+
 def _pairs(v):
-    return recommend.interactions(v.engagements, _articles(v), AS_OF)
+    return recommend.interactions(v.engagements, _listed(v), AS_OF)
 
 
 @query(duckdb_sql(f"WITH {_ARTICLES} SELECT * FROM ar", *_REC[:4]))
@@ -392,7 +394,7 @@ SELECT *, CASE WHEN hour(timestamp) > 6 AND hour(timestamp) < 20 THEN 1 ELSE 0 E
     )
 )
 def session_features(v):
-    pairs = recommend.interactions(v.engagements, _articles(v), AS_OF, unknown_as="like")
+    pairs = recommend.interactions(v.engagements, _listed(v), AS_OF, unknown_as="like")
     return recommend.session_features(pairs)
 
 
@@ -406,7 +408,7 @@ FROM d""",
     )
 )
 def person_dictionary(v):
-    return ordering.dense_ids(_pairs(v), "person_id", "user")
+    return ordering.dense_ids(saved(_pairs(v)), "person_id", "user")
 
 
 @query()

@@ -65,8 +65,7 @@ def topic_stream(
     """
 
     def tag(batch: DataFrame, number: int) -> None:
-        known = contentinfo.current(before=number).select("content_id")
-        fresh = batch.join(known, "content_id", "left_anti")
+        fresh = batch.join(contentinfo.known(batch, number), "content_id", "left_anti")
         tagged = tag_messages(fresh).persist()
         try:
             stored = topics.current(before=number)

@@ -317,6 +317,13 @@ def test_one_class_model_matches_numpy(spark):
     assert sorted(r["predicted"] for r in fraud.predict_one_class(far, model).collect()) == [0] * 80 + [1]
 
 
+def test_no_model_predicts_nothing(spark):
+    names = list(fraud.CREDENTIAL_FEATURES)
+    frame = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)], ", ".join(f"{n} double" for n in names))
+    model = fraud.fit_one_class_pca(frame.limit(0), NOW)
+    assert fraud.predict_one_class(frame, model).first()["predicted"] is None
+
+
 def test_splits_are_stratified_and_repeatable(spark):
     frame = spark.createDataFrame([(i, 0 if i < 50 else 1) for i in range(80)], "id int, label int")
     counts = fraud.stratified_splits(frame, "id").groupBy("fold", "label").agg(
