@@ -26,7 +26,7 @@ _ROW_KEYS = [_USER, "first_seen_at", "last_seen_at"]
 MAX_FOLDS = 1_000
 
 
-def reading_times(feeditems: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def reading_times(feeditems: DataFrame) -> DataFrame:
     """Seconds on screen, and seconds since the user's previous seen item, per feed item.
 
     The previous item is taken before invalid rows (left the screen before being seen) are
@@ -35,7 +35,7 @@ def reading_times(feeditems: DataFrame, bucket_seconds: int = 3600) -> DataFrame
     complete = feeditems.where(
         F.col(_USER).isNotNull() & F.col("seen_at").isNotNull() & F.col("off_screen_at").isNotNull()
     ).select(_USER, "id", "seen_at", "off_screen_at")
-    lagged = previous_time(complete, _USER, "seen_at", "id", "_previous", bucket_seconds)
+    lagged = previous_time(complete, _USER, "seen_at", "id", "_previous")
     timed = lagged.select(
         _USER,
         "id",

@@ -255,16 +255,16 @@ def test_dense_ids_have_no_gaps(spark):
     assert sorted(r["n"] for r in rows) == list(range(500))
 
 
-@pytest.mark.parametrize("bucket", [1, 3600, 10**7])
-def test_previous_time_equals_plain_lag(spark, bucket):
-    """One user owns most rows; gaps skip buckets and times repeat."""
+@pytest.mark.parametrize("bucket, heavy_rows", [(1, 1), (3600, 1), (3600, 200), (10**7, 1), (60, 10**6)])
+def test_previous_time_equals_plain_lag(spark, bucket, heavy_rows):
+    """One user owns most rows; gaps skip buckets and times repeat; all, one or no user is heavy."""
     dice = random.Random(5)
     rows = [("hot" if dice.random() < 0.7 else f"u{dice.randrange(9)}", i,
              NOW + timedelta(seconds=dice.choice([0, 1, 3000, 90_000]) * dice.randrange(40)))
             for i in range(600)]
     frame = spark.createDataFrame(rows, "who string, id int, at timestamp")
     got = {r["id"]: r["before"] for r in ordering.previous_time(
-        frame, "who", "at", "id", "before", bucket).collect()}
+        frame, "who", "at", "id", "before", bucket, heavy_rows).collect()}
     expected, last = {}, {}
     for who, i, at in sorted(rows, key=lambda r: (r[2], r[1])):
         expected[i] = last.get(who)
