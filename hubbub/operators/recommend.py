@@ -98,6 +98,27 @@ def min_interaction_users(pairs: DataFrame, min_contents: int = 4) -> DataFrame:
     return pairs.join(active.select("person_id"), "person_id", "left_semi")
 
 
+def scaled_strength(pairs: DataFrame) -> DataFrame:
+    """Adds ``scaled``: strength scaled to 0-1 per content over all people.
+
+    People without an interaction count as strength 0, so the minimum is 0 unless everyone
+    interacted. They are counted, not materialised.
+    """
+    ranges = pairs.groupBy("content_id").agg(
+        F.count(F.lit(1)).alias("_people"),
+        F.min("event_strength").alias("_least"),
+        F.max("event_strength").alias("_most"),
+    )
+    everyone = pairs.agg(F.countDistinct("person_id").alias("n")).scalar()
+    low = F.when(F.col("_people") == everyone, F.col("_least")).otherwise(F.lit(0.0))
+    scaled = F.try_divide(F.col("event_strength") - low, F.col("_most") - low)
+    return (
+        pairs.join(ranges, "content_id")
+        .withColumn("scaled", F.coalesce(scaled, F.lit(0.0)))
+        .drop("_people", "_least", "_most")
+    )
+
+
 def content_strength(pairs: DataFrame, article_rows: DataFrame) -> DataFrame:
     """One row per content with its attributes, summed strength and latest interaction.
 

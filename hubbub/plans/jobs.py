@@ -27,7 +27,7 @@ from hubbub.operators import (
     upsert,
 )
 from hubbub.session import saved
-from hubbub.sources.sinks import append_rows, merge_rows, reload_table, rewrite_table
+from hubbub.sources.sinks import append_rows, merge_rows, reload_table, rewrite_table, settle
 
 
 def content_stats_job(
@@ -42,6 +42,7 @@ def content_stats_job(
     source = spark.table(contents)
     if source.isEmpty():
         return
+    settle(spark, target)
     rows = stats.content_stats(source, as_of, days=days, **parameters)
     if spark.catalog.tableExists(target):
         rewrite_table(

@@ -343,6 +343,23 @@ FROM g""",
     )
 
 
+@query(
+    duckdb_sql(
+        f"""
+WITH {_PAIRS},
+m AS (
+  SELECT content_id, max(event_strength) AS most, CASE WHEN count(*) = (
+      SELECT count(DISTINCT person_id) FROM pr) THEN min(event_strength) ELSE 0 END AS low
+  FROM pr GROUP BY content_id)
+SELECT pr.*, round(coalesce((event_strength - low) / nullif(most - low, 0), 0), 6) AS scaled
+FROM pr JOIN m ON pr.content_id = m.content_id""",
+        *_REC,
+    )
+)
+def scaled_strength(v):
+    return recommend.scaled_strength(saved(_pairs(v)))
+
+
 def _strength(v):
     frequent = recommend.min_interaction_users(saved(_pairs(v)))
     return saved(recommend.content_strength(frequent, _articles(v)))

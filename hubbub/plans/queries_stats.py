@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hubbub.functions import scores
 from hubbub.functions.scores import Weights
+from hubbub.functions.times import moment
 from hubbub.operators import engagement, feed, stats, upsert
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
@@ -16,6 +18,32 @@ def age(column: str) -> str:
     return AGE.replace("{0}", column)
 
 
+@query(
+    duckdb_sql(
+        f"SELECT id, round({age('updated_at').replace('/ 24', '/ 240')}, 6) AS age_score "
+        "FROM fx_engagements",
+        "engagements",
+    )
+)
+def age_score(v):
+    now = moment(v.engagements, "updated_at", AS_OF)
+    return v.engagements.select("id", scores.age_score(F.col("updated_at"), now, 240).alias("age_score"))
+
+
+@query(
+    duckdb_sql(
+        """
+SELECT content_id, round(coalesce(like_count, 0) * 1.5 + comment_count * 0.5 + recast_count * 2
+  + quote_count * 3, 6) AS engagement_score FROM fx_contents""",
+        "contents",
+    )
+)
+def engagement_score(v):
+    counts = [F.col(f"{k}_count") for k in ("like", "comment", "recast", "quote")]
+    score = scores.engagement_score(*counts, Weights(1.5, 0.5, 2, 3))
+    return v.contents.select("content_id", score.alias("engagement_score"))
+
+
 @query(
     duckdb_sql(
         """

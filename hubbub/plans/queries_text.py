@@ -254,6 +254,16 @@ def content_topics(v):
     return found.withColumn("topics", F.array_join("topics", ","))
 
 
+@query(
+    duckdb_sql(
+        "SELECT content_id, language FROM fx_filtering WHERE class IS NULL LIMIT 100000",
+        "filtering",
+    )
+)
+def untagged(v):
+    return topics.untagged(v.filtering).select("content_id", "language")
+
+
 @query(
     duckdb_sql(
         """

@@ -19,19 +19,36 @@ def append_rows(rows: DataFrame, table: str) -> None:
     rows.write.mode("append").saveAsTable(table)
 
 
+def _staging(table: str) -> str:
+    return f"{table}__next"
+
+
+def settle(spark: SparkSession, table: str) -> None:
+    """Finish a rewrite that stopped after the old table was dropped.
+
+    A staging table is registered only when it is completely written, so one without its table is
+    the next state of that table.
+    """
+    staging = _staging(table)
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staging):
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+
+
 def rewrite_table(
     spark: SparkSession, table: str, next_state: Callable[[DataFrame], DataFrame]
 ) -> None:
     """Write ``next_state(current)`` beside the table, then put it in the table's place.
 
-    The current table is only dropped once the new one is complete, so a job that loses
-    executors or fails half-way leaves it untouched.
+    The current table is only dropped once the new one is complete; ``settle`` covers a stop
+    between the two. Other sessions that have read the table need ``REFRESH TABLE`` to see the
+    new files.
     """
-    staging = f"{table}__next"
+    settle(spark, table)
+    staging = _staging(table)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     next_state(spark.table(table)).write.saveAsTable(staging)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    settle(spark, table)
 
 
 def merge_rows(
@@ -50,6 +67,7 @@ def merge_rows(
     the table format's own MERGE is used; otherwise the next state of the table is written.
     """
     spark = source.sparkSession
+    settle(spark, table)
     if not spark.catalog.tableExists(table):
         if kind == "update":
             return

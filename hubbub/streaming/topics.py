@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hubbub.operators.topics import content_topics, tag_messages, topic_taxonomy
 from hubbub.sources.schemas import CHANGE_EVENT
 from hubbub.streaming.changelog import ChangeLog
+from hubbub.streaming.refresh import drain
 
 TOPIC_SCHEMA = (
     "topic_id string, slug string, parents array<struct<_id:string,slug:string>>, "
@@ -82,16 +83,3 @@ def topic_stream(
         ["content_id"]
     )
     return drain(unique, tag, checkpoint)
-
-
-def drain(stream: DataFrame, apply, checkpoint: str) -> StreamingQuery:
-    """Run ``apply(batch, number)`` over everything available now, then stop.
-
-    Scheduled this way a batch job becomes incremental: each run sees only new input.
-    """
-    return (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

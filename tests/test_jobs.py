@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from hubbub.plans import jobs
 from hubbub.plans.sample_views import AS_OF, Views
-from hubbub.sources import collections, sinks
+from hubbub.sources import collections, documents, sinks
+from hubbub.streaming import refresh
 from hubbub.streaming import topics as stream
 from hubbub.streaming.changelog import ChangeLog
 
@@ -43,6 +44,26 @@ def test_statistics_jobs_repeat(spark, tables):
     assert {name: rows(spark, name) for name in names} == before
 
 
+def test_rewrite_stopped_between_drop_and_rename(spark, tables):
+    users = spark.table("users").select("user_id", "display_id")
+    sinks.reload_table(users, "half__next")
+    assert not spark.catalog.tableExists("half")
+    more = spark.createDataFrame([(10**9, "new")], "user_id bigint, display_id string")
+    sinks.merge_rows(more, "half", ["user_id"])
+    assert spark.table("half").count() == users.count() + 1
+
+
+def test_merge_kinds_on_tables(spark, tables):
+    new = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
+    for kind, expected in (("replace", {1: "a", 2: "B", 3: "C"}), ("set", {1: "a", 2: "B", 3: "C"}),
+                           ("insert", {1: "a", 2: "b", 3: "C"}), ("update", {1: "a", 2: "B"})):
+        sinks.merge_rows(new, f"never_{kind}", ["k"], kind, ["v"])
+        assert spark.catalog.tableExists(f"never_{kind}") == (kind != "update")
+        sinks.reload_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), f"kind_{kind}")
+        sinks.merge_rows(new, f"kind_{kind}", ["k"], kind, ["v"])
+        assert {r["k"]: r["v"] for r in spark.table(f"kind_{kind}").collect()} == expected
+
+
 def test_content_stats_purges(spark, tables):
     jobs.content_stats_job(spark, AS_OF, target="aging")
     jobs.content_stats_job(spark, AS_OF + timedelta(days=400), target="aging")
@@ -141,6 +162,43 @@ def test_documents_flatten(spark, tmp_path):
         assert collections.flatten(name, empty).isEmpty()
 
 
+def test_results_as_documents(spark, tables):
+    for run in (jobs.content_stats_job, jobs.creator_stats_job, jobs.hashtag_stats_job,
+                jobs.user_stats_job, jobs.user_engagement_job, jobs.feed_performance_job):
+        run(spark, AS_OF)
+    tables_of = {"contentStats": "content_stats", "creatorStats": "creator_stats",
+                 "hashtagStats": "hashtag_stats", "hashtagContributions": "hashtag_contributions",
+                 "userStats": "user_stats", "userHashtagSummary": "user_hashtag_summary",
+                 "userEngagementStats": "user_engagement_stats", "feedperformances": "feed_performances",
+                 "credentialfeatures": "credentialfeatures"}
+    for collection, table in tables_of.items():
+        rows_ = spark.table(table)
+        found = documents.to_documents(collection, rows_)
+        assert found.columns == list(documents.LAYOUTS[collection]) and found.count() == rows_.count()
+    creator = documents.to_documents("creatorStats", spark.table("creator_stats")).first()
+    assert creator["summary"][0]["aggregator"]["followedScore"] == creator["aggregator"]["followedScore"]
+
+
+def test_content_stats_refresh_by_new_files(spark, tables, tmp_path):
+    inbox, state = str(tmp_path / "in"), str(tmp_path / "state")
+    contents = tables.contents.orderBy("content_id")
+    contents.where("content_id < 50").write.mode("append").parquet(inbox)
+
+    def run():
+        stream_ = spark.readStream.schema(contents.schema).parquet(inbox)
+        refresh.refresh_content_stats(stream_, AS_OF, state, "fresh_stats").awaitTermination()
+        spark.catalog.refreshTable("fresh_stats") if spark.catalog.tableExists("fresh_stats") else None
+        return spark.table("fresh_stats")
+
+    first = run().count()
+    assert run().count() == first > 0
+    more = contents.where("content_id >= 40 AND content_id < 100").withColumn("like_count", F.lit(99).cast("bigint"))
+    more.write.mode("append").parquet(inbox)
+    found = run()
+    assert found.count() > first and found.where("content_id = 46 AND like_count = 99").count() == 1
+    assert found.count() == found.select("content_id").distinct().count()
+
+
 def event(key, message, category, at="2024-01-30T00:00:00Z"):
     return json.dumps({"detail": {"operationType": "insert", "fullDocument": {
         "_id": key, "payload": {"message": message}, "updatedAt": at, "category": category}}})
