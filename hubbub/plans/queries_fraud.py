@@ -101,7 +101,7 @@ sp AS (
   SELECT lb.*, fold, row_number() OVER (
       PARTITION BY fold, label ORDER BY md5(concat_ws(':', '0', fold, id)), id) - 1
     < floor(count(*) OVER (PARTITION BY fold, label) * 0.8) AS is_train
-  FROM lb CROSS JOIN (SELECT unnest(range(5)) AS fold))"""
+  FROM lb CROSS JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS fold))"""
 
 
 def _dataset(v):

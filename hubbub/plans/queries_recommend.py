@@ -29,8 +29,8 @@ ae AS (
 _FEATURES = f"""
 cs AS (
   SELECT content_id, author_id, like_count, comment_count, recast_count, quote_count,
-    coalesce(len(photos), 0) AS photo_count,
-    length(coalesce(message, '-')) AS character_length, {age('updated_at')} AS age_score
+    CAST(coalesce(len(photos), 0) AS INTEGER) AS photo_count,
+    CAST(length(coalesce(message, '-')) AS INTEGER) AS character_length, {age('updated_at')} AS age_score
   FROM fx_contents WHERE created_at >= @t0 - INTERVAL 30 DAY AND visibility = 'publish'),
 cr AS (
   SELECT author_id, count(*) AS n, sum(coalesce(like_count, 0)) AS l, sum(comment_count) AS c,

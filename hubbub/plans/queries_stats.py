@@ -33,8 +33,8 @@ def age_score(v):
 @query(
     duckdb_sql(
         """
-SELECT content_id, round(coalesce(like_count, 0) * 1.5 + comment_count * 0.5 + recast_count * 2
-  + quote_count * 3, 6) AS engagement_score FROM fx_contents""",
+SELECT content_id, CAST(coalesce(like_count, 0) * 1.5 + comment_count * 0.5 + recast_count * 2
+  + quote_count * 3 AS DOUBLE) AS engagement_score FROM fx_contents""",
         "contents",
     )
 )
@@ -57,7 +57,8 @@ def purge_old(v):
 
 _CONTENT_STATS = f"""
 SELECT content_id, author_id, updated_at, like_count, comment_count, recast_count, quote_count,
-  coalesce(len(photos), 0) AS photo_count, length(coalesce(message, '-')) AS character_length,
+  CAST(coalesce(len(photos), 0) AS INTEGER) AS photo_count,
+  CAST(length(coalesce(message, '-')) AS INTEGER) AS character_length,
   {age('updated_at')} AS age_score,
   CAST(coalesce(like_count, 0) * {{l}} + comment_count * {{c}} + recast_count * {{r}}
     + quote_count * {{q}} AS DOUBLE) AS engagement_score
@@ -97,7 +98,7 @@ a AS (
   SELECT author_id, sum(n) AS n, sum(l) AS l, sum(c) AS c, sum(r) AS r, sum(q) AS q, max(u) AS u,
     max(age) AS age, @all_eng AS eng FROM s GROUP BY author_id),
 j AS (
-  SELECT a.*, w.*, p.country_code, p.continent_code, w.followed_count * 0.01 AS followed
+  SELECT a.*, w.*, p.country_code, p.continent_code, w.followed_count * CAST(0.01 AS DOUBLE) AS followed
   FROM a JOIN fx_users w ON a.author_id = w.user_id AND w.visibility = 'publish'
   JOIN fx_accounts p ON w.owner_account = p.account_id)"""
 _DOCUMENTED = {"@type_eng": "l + c + r + q + 1", "@all_eng": "sum(l + c + r + q) + 1"}
@@ -116,15 +117,15 @@ def _creator_rows(counts: str, bias: str) -> str:
 SELECT author_id AS creator_id, owner_account, display_id, created_at AS user_created_at,
   u AS last_content_updated_at, followed_count, follower_count, country_code, continent_code,
   CAST(n AS BIGINT) AS content_count, {counts}, round(age, 6) AS age_score,
-  round(eng, 6) AS engagement_score, round(followed, 6) AS followed_score,
+  CAST(eng AS DOUBLE) AS engagement_score, round(followed, 6) AS followed_score,
   round(eng / n * age + (followed + {bias}), 6) AS score
 FROM j"""
 
 
 _FULL_COUNTS = """CAST(l AS BIGINT) AS creator_liked_count, CAST(c AS BIGINT) AS creator_commented_count,
   CAST(r AS BIGINT) AS creator_recasted_count, CAST(q AS BIGINT) AS creator_quoted_count"""
-_ZERO_COUNTS = """0 AS creator_liked_count, 0 AS creator_commented_count,
-  0 AS creator_recasted_count, 0 AS creator_quoted_count"""
+_ZERO_COUNTS = """0::BIGINT AS creator_liked_count, 0::BIGINT AS creator_commented_count,
+  0::BIGINT AS creator_recasted_count, 0::BIGINT AS creator_quoted_count"""
 
 
 @query(_creator_sql(_creator_rows(_FULL_COUNTS, "1"), _DOCUMENTED))
@@ -143,7 +144,7 @@ def creator_stats_as_coded(v):
     _creator_sql(
         """
 SELECT j.author_id AS creator_id, s.type, s.n AS type_count, round(s.n / j.n, 6) AS type_weight,
-  round(s.age, 6) AS age_score, round(s.eng, 6) AS engagement_score,
+  round(s.age, 6) AS age_score, CAST(s.eng AS DOUBLE) AS engagement_score,
   round(j.followed, 6) AS followed_score, j.u AS last_content_updated_at,
   round(s.n / j.n * ((s.eng + 1) / (j.eng + 1)) * s.age + j.followed, 6) AS score
 FROM j JOIN s ON j.author_id = s.author_id""",

@@ -111,7 +111,7 @@ def language_tag(v):
 @query(
     duckdb_sql(
         f"""
-SELECT content_id, len(string_split({_clean('message')}, ' ')) AS tokens,
+SELECT content_id, CAST(len(string_split({_clean('message')}, ' ')) AS INTEGER) AS tokens,
   len(string_split({_clean('message')}, ' ')) >= 21 AS classifiable FROM fx_messages""",
         "messages",
     )
