@@ -39,27 +39,49 @@ def moments(rows: DataFrame, key: str, features: Sequence[str], label: str) -> D
     )
 
 
-def _ridge(batch: pd.DataFrame, width: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    """Intercepts and coefficients of every row's standardised ridge regression at once."""
-    n = batch["rows"].to_numpy(dtype=float)
-    mean_x = np.stack(batch["sum_x"].to_numpy()) / n[:, None]
-    mean_y = batch["sum_y"].to_numpy(dtype=float) / n
-    second = np.zeros((len(n), width, width))
-    rows, cols = np.triu_indices(width)
-    second[:, rows, cols] = np.stack(batch["sum_xx"].to_numpy()) / n[:, None]
-    second[:, cols, rows] = second[:, rows, cols]
-    covariance = second - mean_x[:, :, None] * mean_x[:, None, :]
-    cross = np.stack(batch["sum_xy"].to_numpy()) / n[:, None] - mean_x * mean_y[:, None]
-
-    variance = np.clip(np.diagonal(covariance, axis1=1, axis2=2), 0.0, None)
-    varies = variance > 1e-12 * (1.0 + mean_x**2)
-    scale = np.where(varies, np.sqrt(np.where(varies, variance, 1.0)), 1.0)
-    both = varies[:, :, None] & varies[:, None, :]
-    correlation = np.where(both, covariance / (scale[:, :, None] * scale[:, None, :]), 0.0)
-    system = correlation + penalty * np.eye(width)
-    target = np.where(varies, cross / scale, 0.0)
-    coefficients = np.linalg.solve(system, target[:, :, None])[:, :, 0] / scale
-    return mean_y - (coefficients * mean_x).sum(axis=1), coefficients
+def _solver(key: str, width: int, penalty: float):
+    """A batch function solving every row's standardised ridge regression at once.
+
+    Everything it calls is nested in it, so it travels to the workers whole and they need no copy
+    of this package.
+    """
+
+    def ridge(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        n = batch["rows"].to_numpy(dtype=float)
+        mean_x = np.stack(batch["sum_x"].to_numpy()) / n[:, None]
+        mean_y = batch["sum_y"].to_numpy(dtype=float) / n
+        second = np.zeros((len(n), width, width))
+        rows, cols = np.triu_indices(width)
+        second[:, rows, cols] = np.stack(batch["sum_xx"].to_numpy()) / n[:, None]
+        second[:, cols, rows] = second[:, rows, cols]
+        covariance = second - mean_x[:, :, None] * mean_x[:, None, :]
+        cross = np.stack(batch["sum_xy"].to_numpy()) / n[:, None] - mean_x * mean_y[:, None]
+
+        variance = np.clip(np.diagonal(covariance, axis1=1, axis2=2), 0.0, None)
+        varies = variance > 1e-12 * (1.0 + mean_x**2)
+        scale = np.where(varies, np.sqrt(np.where(varies, variance, 1.0)), 1.0)
+        both = varies[:, :, None] & varies[:, None, :]
+        correlation = np.where(both, covariance / (scale[:, :, None] * scale[:, None, :]), 0.0)
+        system = correlation + penalty * np.eye(width)
+        target = np.where(varies, cross / scale, 0.0)
+        coefficients = np.linalg.solve(system, target[:, :, None])[:, :, 0] / scale
+        return mean_y - (coefficients * mean_x).sum(axis=1), coefficients
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            intercepts, coefficients = ridge(batch)
+            yield pd.DataFrame(
+                {
+                    "account": batch[key],
+                    "intercept": intercepts,
+                    "coefficients": list(coefficients),
+                    "rows": batch["rows"],
+                }
+            )
+
+    return solve
 
 
 def fit_per_key(
@@ -88,22 +110,8 @@ def fit_per_key(
         ]
     )
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            intercepts, coefficients = _ridge(batch, len(names), penalty)
-            yield pd.DataFrame(
-                {
-                    "account": batch[key],
-                    "intercept": intercepts,
-                    "coefficients": list(coefficients),
-                    "rows": batch["rows"],
-                }
-            )
-
     trained = F.lit(utc(as_of).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    return sums.mapInPandas(solve, solved).select(
+    return sums.mapInPandas(_solver(key, len(names), penalty), solved).select(
         "account",
         F.lit(model).alias("model"),
         F.array(*[F.lit(name) for name in names]).cast(ArrayType(StringType())).alias("features"),
