@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hubbub.llm import decontaminate
+from hubbub.llm import bpe, decontaminate
 from hubbub.llm.common import table
 from hubbub.session import tune
 
 SQL: dict[str, str] = {}
 
 
+def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
