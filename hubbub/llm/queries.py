@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hubbub.llm import bpe, decontaminate
+from hubbub.llm import bpe, chat, decontaminate
 from hubbub.llm.common import table
 from hubbub.session import tune
 
@@ -19,6 +19,31 @@ def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN).drop("text")
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.read_back(chat.formatted(rows.unionByName(extra), path), path)
+
+
+SQL["op3_chat_formatting"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|turn|><|text|><|end|>')
+        + length(replace(replace(role, '\', '\\'), '<|', '\l'))
+        + length(replace(replace(text, '\', '\\'), '<|', '\l'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
