@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate
-from hubbub.llm.common import table
+from hubbub.llm import bpe, chat, decontaminate, langid
+from hubbub.llm.common import held_out, table
 from hubbub.session import tune
 
 SQL: dict[str, str] = {}
@@ -82,6 +83,14 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN counted USING (r) LEFT JOIN items USING (r)
 """
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fitted(docs.where(~held_out(F.col("doc_id"))))
+    found = langid.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 
 
