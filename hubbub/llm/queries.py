@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, langid
+from hubbub.llm import bpe, chat, decontaminate, langid, quality
 from hubbub.llm.common import held_out, table
 from hubbub.session import tune
 
 SQL: dict[str, str] = {}
+QUALITY_CUT = 0.3
 
 
 def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,17 @@ FROM rows GROUP BY conv_id
 """
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    out = held_out(F.col("doc_id"))
+    found = quality.scored(docs, quality.fitted(docs, labels, ~out))
+    return found.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted")
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
