@@ -83,7 +83,7 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces of bytes; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 500_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; the root is node 0
@@ -237,7 +237,7 @@ class Transducer:
 class Encoder(dict):
     """Token ids of texts. The mapping holds the ids of up to ``max_pieces`` known pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 500_000):
         super().__init__()
         self.machine, self.split, self.max_pieces = Transducer(ranks), compiled(pattern), max_pieces
 
