@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, langid, quality
+from hubbub.llm import bpe, chat, decontaminate, langid, quality, toxicity
 from hubbub.llm.common import held_out, table
 from hubbub.session import tune
 
 SQL: dict[str, str] = {}
 QUALITY_CUT = 0.3
+TOXIC_CUT = 0.5
 
 
 def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,20 @@ FROM rows GROUP BY conv_id
 """
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    out = held_out(F.col("doc_id"))
+    found = toxicity.scored(docs, toxicity.fitted(docs, labels, ~out))
+    return found.select(
+        "doc_id",
+        out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC_CUT).cast("int").alias("predicted"),
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
