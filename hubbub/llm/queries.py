@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, langid, quality, toxicity
+from hubbub.llm import bpe, chat, decontaminate, langid, quality, shards, toxicity
 from hubbub.llm.common import held_out, table
 from hubbub.session import tune
 
@@ -110,6 +110,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN counted USING (r) LEFT JOIN items USING (r)
 """
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    found = shards.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
