@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, langid, quality, shards, toxicity
-from hubbub.llm.common import held_out, table
+from hubbub.llm import bpe, chat, decontaminate, langid, quality, shards, toxicity, warc
+from hubbub.llm.common import held_out, shared_folder, table
 from hubbub.session import tune
 
 SQL: dict[str, str] = {}
@@ -72,6 +72,27 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    path = shared_folder(spark)
+    warc.write_archives(pages, path)
+    return warc.read_archives(spark, path, dict(pages.dtypes)["page_id"])
+
+
+SQL["op6_warc"] = """
+WITH p AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
+t AS (SELECT *, payload_bytes >= 100 AND first IS NOT NULL AND (page_id IS NULL OR page_id > first) AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN first END AS refers_to
+FROM t
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
