@@ -56,6 +56,21 @@ def tokenizer_of(raw: str) -> Tokenizer:
     return tokenizer
 
 
+class SharedTokenizer:
+    """A tokenizer file; a worker builds the tokenizer once and keeps it over tasks."""
+
+    def __init__(self, path: str):
+        self.raw, self.made = Path(path).read_text(), None
+
+    def __getstate__(self) -> dict:
+        return {"raw": self.raw, "made": None}
+
+    def get(self) -> Tokenizer:
+        if self.made is None:
+            self.made = tokenizer_of(self.raw)
+        return self.made
+
+
 def token_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """1 for each token that shares a character with a span; both lists are sorted."""
     edges = np.zeros(len(starts) + 1, np.int64)
@@ -77,7 +92,7 @@ def formatted(rows: DataFrame, tokenizer_file: str, loss_role: str = "assistant"
 
     Parts of one conversation follow each other in one partition.
     """
-    raw = rows.sparkSession.sparkContext.broadcast(Path(tokenizer_file).read_text())
+    raw = rows.sparkSession.sparkContext.broadcast(SharedTokenizer(tokenizer_file))
     kind = dict(rows.dtypes)["conv_id"]
     sorted_rows = (
         rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -106,7 +121,7 @@ def formatted(rows: DataFrame, tokenizer_file: str, loss_role: str = "assistant"
             yield key, part, "".join(pieces), spans
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(raw.value)
+        tokenizer = raw.value.get()
         ready: list = []
 
         def flushed() -> pa.RecordBatch:
@@ -156,13 +171,13 @@ def read_back(written: DataFrame, tokenizer_file: str) -> DataFrame:
 
     ``written`` is the output of ``formatted``, with its parts still in their order.
     """
-    raw = written.sparkSession.sparkContext.broadcast(Path(tokenizer_file).read_text())
+    raw = written.sparkSession.sparkContext.broadcast(SharedTokenizer(tokenizer_file))
     kind = dict(written.dtypes)["conv_id"]
     schema = DIGESTS.format(kind=kind)
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(raw.value)
+        tokenizer = raw.value.get()
         done, kinds, state = [], None, None
 
         def closed() -> tuple:
