@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, langid, quality, shards, toxicity, warc
+from hubbub.llm import bpe, chat, decontaminate, fingerprints, langid, quality, shards, toxicity, warc
 from hubbub.llm.common import held_out, shared_folder, table
 from hubbub.session import tune
 
@@ -131,6 +131,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN counted USING (r) LEFT JOIN items USING (r)
 """
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    found = fingerprints.compared(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     found = shards.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
