@@ -29,9 +29,9 @@ from tokenizers import Tokenizer, processors
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Characters after which a conversation goes on in a further part.
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 18
 #: Characters of all parts that are encoded together.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 19
 
 
 def escaped(text: str) -> str:
