@@ -183,9 +183,14 @@ def ascii_lowered() -> np.ndarray:
     return out
 
 
+def odd_weights(n: int) -> np.ndarray:
+    """Odd multipliers without any simple relation between them."""
+    return mixed((np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+
+
 def run_names(names: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit name for the ``length`` words that begin at each place of ``at``."""
     total = np.full(len(at), length, np.uint64)
-    for k in range(length):
-        total += names[at + k] * np.uint64((2 * k + 1) * 0xD1342543DE82EF95 % (1 << 64) | 1)
+    for k, weight in enumerate(odd_weights(length)):
+        total += names[at + k] * weight
     return mixed(total)

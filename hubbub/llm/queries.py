@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubbub.llm import bpe, chat, decontaminate, fingerprints, langid, quality, shards, toxicity, warc
+from hubbub.llm import bpe, chat, decontaminate, fingerprints, langid, minhash, quality, shards, toxicity, warc
 from hubbub.llm.common import held_out, shared_folder, table
 from hubbub.session import tune
 
@@ -15,6 +15,33 @@ QUALITY_CUT = 0.3
 TOXIC_CUT = 0.5
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return minhash.clustered(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+SQL["op1_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (k) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT node, b FROM reach JOIN ways ON a = seen),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
