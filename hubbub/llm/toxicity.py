@@ -264,6 +264,7 @@ def fitted(
         )
     )
     fit = docs.where(F.octet_length(text) <= most_bytes).select(key, text)
+    chosen = F.broadcast(chosen.limit(2 * most_texts))  # so the join moves ids, not texts
     rows = fit.join(chosen, key).select(text, "toxic").limit(2 * most_texts).toArrow()
     texts = rows[text].to_pylist()
     toxic = rows["toxic"].to_numpy().astype(float)
