@@ -197,7 +197,8 @@ def fitted(
             return np.zeros((0, N_FEATURES))
         return got.values.to_numpy().reshape(-1, N_FEATURES).astype(float)
 
-    positive = matrix(texts.join(_sample(trusted, key, most_positive), key, "left_semi").limit(2 * most_positive))
+    chosen = F.broadcast(_sample(trusted, key, most_positive))  # bounded, so texts are not moved
+    positive = matrix(texts.join(chosen, key, "left_semi").limit(2 * most_positive))
     unlabelled = matrix(_sample(texts, key, most_unlabelled))
     if not len(positive) or not len(unlabelled):
         return None
