@@ -26,7 +26,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
 from hubbub.llm.common import added
 
@@ -327,6 +327,24 @@ def decoded(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: st
     return added(rows, step, [StructField(text, StringType())])
 
 
+def encoded_checked(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", intact: str = "intact"
+) -> DataFrame:
+    """As ``encoded``, with ``intact``: whether the ids decode to the text's bytes."""
+    tools = _tools(docs, path, pattern)
+
+    def step(batch: pa.RecordBatch) -> list[pa.Array]:
+        encoder, decoder = tools()
+        found, same = [], []
+        for value in batch.column(batch.schema.get_field_index(text)):
+            value = value.as_py() or ""
+            found.append(list(chain.from_iterable(encoder.blocks(value))))
+            same.append(decoder.bytes(found[-1]) == value.encode())
+        return [pa.array(found, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+
+    return added(docs, step, [StructField(ids, ArrayType(IntegerType())), StructField(intact, BooleanType())])
+
+
 #: Columns of ``round_trip``.
 DIGESTS = [
     StructField("n_tokens", LongType()),

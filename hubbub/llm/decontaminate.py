@@ -114,8 +114,12 @@ def contaminated(
     item: str = "item_id",
     item_text: str = "text",
     slice_words: int = SLICE_WORDS,
+    prefix: str = "",
 ) -> DataFrame:
-    """All columns of ``docs`` with ``n_words``, ``hit_spans``, ``hit_words`` and ``hit_items``."""
+    """All columns of ``docs`` with ``n_words``, ``hit_spans``, ``hit_words`` and ``hit_items``.
+
+    ``prefix`` goes before the new names; a column that has one of them already is replaced.
+    """
     context = docs.sparkSession.sparkContext
     parts = [context.broadcast(s) for s in _slices(benchmark, width, slice_words, item, item_text)]
     schema = pa.schema(
@@ -166,21 +170,22 @@ def contaminated(
         columns = (n_words, spans, items, counts)
         return [pa.array(c, t.type) for c, t in zip(columns, schema)]
 
-    return added(docs, step, RESULT)
+    return added(docs, step, [StructField(prefix + f.name, f.dataType) for f in RESULT])
 
 
-def cleaned(marked: DataFrame, drop_share: float = 0.5, text: str = "text") -> DataFrame:
+def cleaned(marked: DataFrame, drop_share: float = 0.5, text: str = "text", prefix: str = "") -> DataFrame:
     """Documents of ``contaminated`` without the hit spans.
 
     A document of whose words at least ``drop_share`` are hit goes; others lose their spans and the
-    columns that ``contaminated`` added.
+    columns that ``contaminated`` added. Texts without hits stay as they are.
     """
-    n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda x, y: x + y)
-    keep = marked.where((F.size("hit_items") == 0) | (n_hit < F.lit(drop_share) * F.col("n_words")))
+    own = [prefix + f.name for f in RESULT]
+    n_hit = F.aggregate(prefix + "hit_words", F.lit(0).cast("long"), lambda x, y: x + y)
+    keep = marked.where((n_hit == 0) | (n_hit < F.lit(drop_share) * F.col(prefix + "n_words")))
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
         column = batch.column(batch.schema.get_field_index(text))
-        spans = batch.column(batch.schema.get_field_index("hit_spans"))
+        spans = batch.column(batch.schema.get_field_index(prefix + "hit_spans"))
         out = column.to_pylist()
         for i in np.flatnonzero(np.diff(spans.offsets.to_numpy()) > 0).tolist():
             raw, parts, at = out[i].encode(), [], 0
@@ -190,8 +195,9 @@ def cleaned(marked: DataFrame, drop_share: float = 0.5, text: str = "text") -> D
             out[i] = b"".join([*parts, raw[at:]]).decode()
         return [pa.array(out, pa.string())]
 
-    done = added(keep, step, [StructField(text, StringType())])
-    return done.drop("n_words", "hit_spans", "hit_items", "hit_words")
+    return added(keep, step, [StructField(text, StringType())]).drop(*own).select(
+        *[c for c in marked.columns if c not in own]
+    )
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
