@@ -46,6 +46,8 @@ WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 60, 6
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+#: Size of the filter that spares most texts the shuffle: 4 MB.
+FILTER_BITS = 1 << 25
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -235,10 +237,40 @@ def verified(tasks: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+def _key_filter(members: DataFrame) -> np.ndarray:
+    """A bit for each hash of a member's key; FILTER_BITS of them, whatever the number of members."""
+    words = (
+        members.select(F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("slot"))
+        .selectExpr("slot DIV 64 AS word", "shiftleft(1L, CAST(slot % 64 AS INT)) AS bit")
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
 def _sets(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """The shingles of one text of each member node, beside its cluster."""
+    """The shingles of one text of each member node, beside its cluster.
+
+    A filter of fixed size leaves out most texts of non-members before anything is shuffled; the join
+    decides.
+    """
     kind = word_kind()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(members, "key")
+    sent = docs.sparkSession.sparkContext.broadcast(_key_filter(members))
+    key_type = dict(docs.dtypes)[key]
+
+    def maybe(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slot = batch.column(2).to_numpy()
+        mask = (sent.value[slot >> 6] >> (slot & 63)) & 1
+        kept = batch.filter(pa.array(mask == 1))
+        return pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["key", "text"])
+
+    hashed = docs.select(
+        F.col(key).alias("key"), F.col(text).alias("text"), F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("slot")
+    )
+    rows = arrow_map(hashed, maybe, f"key {key_type}, text string").join(members, "key")
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         data, offsets = text_bytes(batch.column(0))
