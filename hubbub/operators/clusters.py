@@ -5,63 +5,80 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from hubbub.functions.constants import TOPIC_MAP_TYPES
 from hubbub.functions.times import utc
+from hubbub.operators.ordering import dense_ids
 
-MAX_TOPICS = 2_000
 
-
-def topic_columns(topics: DataFrame, max_topics: int = MAX_TOPICS) -> list[str]:
-    """Topic ids of the taxonomy in order; refused when there are more than ``max_topics``."""
-    rows = (
-        topics.select(F.col("topic_id").cast("string"))
-        .distinct()
-        .orderBy("topic_id")
-        .limit(max_topics + 1)
-        .collect()
-    )
-    if len(rows) > max_topics:
-        raise ValueError(f"more than {max_topics} topics: too wide for one matrix")
-    return [row[0] for row in rows]
+def topic_places(counts: DataFrame, topics: DataFrame) -> DataFrame:
+    """A number for each topic of the taxonomy and any other that was counted."""
+    names = [df.select(F.col("topic_id").cast("string")) for df in (topics, counts)]
+    return dense_ids(names[0].union(names[1]), "topic_id", "place")
 
 
-def user_topic_matrix(counts: DataFrame, topics: DataFrame | list[str]) -> DataFrame:
-    """One row per user, one column per (engagement type, topic), 0 where nothing was counted.
+def user_topic_vectors(counts: DataFrame, places: DataFrame) -> DataFrame:
+    """One sparse vector per user: a count for each (engagement type, topic).
 
-    Topics are those of the taxonomy and any other that was counted, or exactly the list given.
+    The cell of a type and topic is ``type number * number of topics + place``. A user has at most
+    as many entries as there are cells.
     """
-    if isinstance(topics, list):
-        names = topics
-    else:
-        used = counts.select(F.col("topic_id").cast("string"))
-        names = topic_columns(topics.select(F.col("topic_id").cast("string")).union(used))
-    known = counts.where(F.col("type").isin(*TOPIC_MAP_TYPES))
-    cells = [f"{kind}.{topic}" for kind in TOPIC_MAP_TYPES for topic in names]
-    matrix = (
-        known.withColumn("_cell", F.concat_ws(".", "type", F.col("topic_id").cast("string")))
+    size = places.agg(F.count(F.lit(1))).scalar()
+    kinds = F.array(*[F.lit(kind) for kind in TOPIC_MAP_TYPES])
+    cell = (F.array_position(kinds, F.col("type")) - 1) * F.col("_topics") + F.col("place")
+    entries = (
+        counts.where(F.col("type").isin(*TOPIC_MAP_TYPES))
+        .withColumn("topic_id", F.col("topic_id").cast("string"))
+        .join(places, "topic_id")
+        .withColumn("_topics", size)
+        .groupBy("user_id", cell.cast("int").alias("cell"))
+        .agg(F.sum("count").cast("double").alias("count"))
         .groupBy("user_id")
-        .pivot("_cell", cells)
-        .agg(F.sum("count"))
+        .agg(F.array_sort(F.collect_list(F.struct("cell", "count"))).alias("entries"))
     )
-    return matrix.select(
-        "user_id", *[F.coalesce(F.col(f"`{cell}`"), F.lit(0)).alias(cell) for cell in cells]
+    sparse = entries.select(
+        "user_id",
+        F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            (size * len(TOPIC_MAP_TYPES)).cast("int").alias("size"),
+            F.col("entries.cell").alias("indices"),
+            F.col("entries.count").alias("values"),
+        ).alias("features"),
+    )
+    vectors = StructType([sparse.schema["user_id"], StructField("features", VectorUDT())])
+    return sparse.mapInArrow(lambda batches: batches, vectors)
+
+
+def user_topic_matrix(vectors: DataFrame, places: DataFrame) -> DataFrame:
+    """The matrix of ``user_topic_vectors`` as (user_id, cell, count) rows, zeros included."""
+    size = places.agg(F.count(F.lit(1))).scalar()
+    kinds = F.array(*[F.lit(kind) for kind in TOPIC_MAP_TYPES])
+    rows = vectors.select(
+        "user_id", F.posexplode(vector_to_array("features")).alias("number", "count")
+    ).withColumn("_topics", size)
+    kind = F.get(kinds, F.floor(F.col("number") / F.col("_topics")).cast("int"))
+    return (
+        rows.withColumn("place", (F.col("number") % F.col("_topics")).cast("long"))
+        .join(places, "place")
+        .select(
+            "user_id",
+            F.concat_ws(".", kind, F.col("topic_id")).alias("cell"),
+            F.col("count").cast("long").alias("count"),
+        )
     )
 
 
 def user_clusters(
-    matrix: DataFrame, as_of: datetime, k: int = 7, seed: int = 1, model: str = "kmeans"
+    vectors: DataFrame, as_of: datetime, k: int = 7, seed: int = 1, model: str = "kmeans"
 ) -> DataFrame:
-    """A cluster label per user."""
-    renamed = matrix.toDF("user_id", *[f"f{i}" for i in range(len(matrix.columns) - 1)])
-    assembled = VectorAssembler(inputCols=renamed.columns[1:], outputCol="features").transform(
-        renamed
-    )
-    fitted = KMeans(k=k, seed=seed).fit(assembled)
-    return fitted.transform(assembled).select(
+    """A cluster label per user, from the sparse ``features`` of each."""
+    fitted = KMeans(k=k, seed=seed).fit(vectors)
+    return fitted.transform(vectors).select(
         "user_id",
         F.col("prediction").alias("user_class"),
         F.lit(model).alias("model"),

@@ -12,16 +12,21 @@ from hubbub.functions.times import utc
 
 
 def user_topic_engagement(engagements: DataFrame, contentinfo: DataFrame) -> DataFrame:
-    """Count of content engagements per (user, type, topic)."""
-    on_content = engagements.where(F.col("target_ref") == "content").select(
-        "user_id", "type", "content_id"
+    """Count of content engagements per (user, type, topic).
+
+    Engagements are counted per content before they meet its topics.
+    """
+    on_content = (
+        engagements.where(F.col("target_ref") == "content")
+        .groupBy("user_id", "type", "content_id")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     tagged = contentinfo.where(F.col("topics").isNotNull()).select("content_id", "topics")
     return (
         on_content.join(tagged, "content_id")
-        .select("user_id", "type", F.explode("topics").alias("topic_id"))
+        .select("user_id", "type", "n", F.explode("topics").alias("topic_id"))
         .groupBy("user_id", "type", "topic_id")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("n").alias("count"))
     )
 
 

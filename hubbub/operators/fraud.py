@@ -23,7 +23,6 @@ from hubbub.operators.upsert import consume, update_only
 
 _USER = "seen_credential"
 _ROW_KEYS = [_USER, "first_seen_at", "last_seen_at"]
-MAX_FOLDS = 1_000
 
 
 def reading_times(feeditems: DataFrame) -> DataFrame:
@@ -156,18 +155,12 @@ def _with_model(rows: DataFrame, models: DataFrame, parts: Sequence[str]) -> Dat
     """Adds the parts of a row's model as ``_model``.
 
     Rows without a ``fold`` share one model, a scalar subquery that fails on several. Rows of
-    folds are joined: at most ``MAX_FOLDS`` rows are broadcast, and one fold more fails the query
-    instead of being lost.
+    folds are joined on it.
     """
     model = models.select("fold", F.struct(*parts).alias("_model"))
     if "fold" not in rows.columns:
         return rows.withColumn("_model", model.select("_model").scalar())
-    number = F.row_number().over(Window.orderBy("fold"))
-    checked = F.when(
-        number > MAX_FOLDS, F.raise_error(F.lit(f"more than {MAX_FOLDS} folds")).cast("int")
-    ).otherwise(F.col("fold"))
-    bounded = model.limit(MAX_FOLDS + 1).withColumn("fold", checked)
-    return rows.join(F.broadcast(bounded), "fold")
+    return rows.join(model, "fold")
 
 
 def fit_one_class_pca(

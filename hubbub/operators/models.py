@@ -26,16 +26,16 @@ from hubbub.functions.times import utc
 
 
 def moments(rows: DataFrame, key: str, features: Sequence[str], label: str) -> DataFrame:
-    """Sums per key: row count, features, label, feature products, feature-label products."""
+    """Means and covariances per key, from which no large sums have to be subtracted."""
     x = [F.col(name).cast("double") for name in features]
     y = F.col(label).cast("double")
     upper = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
     return rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.array(*[F.sum(a) for a in x]).alias("sum_x"),
-        F.sum(y).alias("sum_y"),
-        F.array(*[F.sum(x[i] * x[j]) for i, j in upper]).alias("sum_xx"),
-        F.array(*[F.sum(a * y) for a in x]).alias("sum_xy"),
+        F.array(*[F.avg(a) for a in x]).alias("mean_x"),
+        F.avg(y).alias("mean_y"),
+        F.array(*[F.covar_pop(x[i], x[j]) for i, j in upper]).alias("covariance"),
+        F.array(*[F.covar_pop(a, y) for a in x]).alias("cross"),
     )
 
 
@@ -47,18 +47,16 @@ def _solver(key: str, width: int, penalty: float):
     """
 
     def ridge(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        n = batch["rows"].to_numpy(dtype=float)
-        mean_x = np.stack(batch["sum_x"].to_numpy()) / n[:, None]
-        mean_y = batch["sum_y"].to_numpy(dtype=float) / n
-        second = np.zeros((len(n), width, width))
+        mean_x = np.stack(batch["mean_x"].to_numpy())
+        mean_y = batch["mean_y"].to_numpy(dtype=float)
+        covariance = np.zeros((len(batch), width, width))
         rows, cols = np.triu_indices(width)
-        second[:, rows, cols] = np.stack(batch["sum_xx"].to_numpy()) / n[:, None]
-        second[:, cols, rows] = second[:, rows, cols]
-        covariance = second - mean_x[:, :, None] * mean_x[:, None, :]
-        cross = np.stack(batch["sum_xy"].to_numpy()) / n[:, None] - mean_x * mean_y[:, None]
+        covariance[:, rows, cols] = np.stack(batch["covariance"].to_numpy())
+        covariance[:, cols, rows] = covariance[:, rows, cols]
+        cross = np.stack(batch["cross"].to_numpy())
 
         variance = np.clip(np.diagonal(covariance, axis1=1, axis2=2), 0.0, None)
-        varies = variance > 1e-12 * (1.0 + mean_x**2)
+        varies = variance > 1e-24 * (1.0 + mean_x**2)
         scale = np.where(varies, np.sqrt(np.where(varies, variance, 1.0)), 1.0)
         both = varies[:, :, None] & varies[:, None, :]
         correlation = np.where(both, covariance / (scale[:, :, None] * scale[:, None, :]), 0.0)
@@ -122,6 +120,40 @@ def fit_per_key(
     )
 
 
+def normal_residuals(
+    models: DataFrame,
+    rows: DataFrame,
+    key: str,
+    features: Sequence[str],
+    label: str,
+    penalty: float = 0.1,
+) -> DataFrame:
+    """``models`` with ``residual``: how far each is from solving its rows' normal equations.
+
+    The largest over the features, relative to the spread of the feature and of the label.
+    """
+    own = models.select(F.col("account").alias("_account"), F.col("coefficients").alias("_b"))
+    joined = rows.join(own, F.col(key) == F.col("_account"))
+    x = {name: F.col(name).cast("double") for name in features}
+    y = F.col(label).cast("double")
+    fitted = sum((F.get("_b", F.lit(i)) * x[name] for i, name in enumerate(x)), F.lit(0.0))
+    sums = joined.withColumn("_fitted", fitted).groupBy("_account").agg(
+        *[F.covar_pop(x[n], F.col("_fitted")).alias(f"_f{i}") for i, n in enumerate(x)],
+        *[F.covar_pop(x[n], y).alias(f"_c{i}") for i, n in enumerate(x)],
+        *[F.var_pop(x[n]).alias(f"_v{i}") for i, n in enumerate(x)],
+        F.var_pop(y).alias("_vy"),
+    )
+    rest = [
+        F.abs(F.col(f"_f{i}") + penalty * F.col(f"_v{i}") * F.get("coefficients", F.lit(i)) - F.col(f"_c{i}"))
+        / (F.sqrt(F.col(f"_v{i}") * F.col("_vy")) + F.lit(1e-9))
+        for i in range(len(x))
+    ]
+    largest = F.greatest(*rest, F.lit(0.0))
+    return models.join(sums, F.col("account") == F.col("_account")).select(
+        *models.columns, F.when(F.col("_vy") > 0, largest).otherwise(0.0).alias("residual")
+    )
+
+
 def base_model_fallback(
     models: DataFrame, all_keys: DataFrame, base: str = "th", stored: DataFrame | None = None
 ) -> DataFrame:
@@ -142,7 +174,10 @@ def base_model_fallback(
 
 
 def latest_artifact(artifacts: DataFrame, model: str) -> DataFrame:
-    """The most recently trained artifact of a model, as at most one row."""
-    return (
-        artifacts.where(F.col("model") == model).orderBy(F.col("trained_at").desc()).limit(1)
-    )
+    """The most recently trained artifact of a model, as at most one row.
+
+    Artifacts trained at the same moment are told apart by a hash of their content.
+    """
+    tie_break = F.xxhash64(F.to_json(F.struct(*artifacts.columns)))
+    order = [F.col("trained_at").desc(), tie_break]
+    return artifacts.where(F.col("model") == model).orderBy(*order).limit(1)

@@ -26,51 +26,29 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return ranked.where(F.col("_row") <= n).drop("_row")
 
 
-# A key is heavy when it owns this fraction of all rows, so there are at most as many heavy keys.
-HEAVY_KEYS = 10_000
-# Below this many rows a key is never heavy.
-HEAVY_ROWS = 100_000
-
-
-def heavy_keys(df: DataFrame, key: str, least_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys that own at least one in ``HEAVY_KEYS`` of all rows: never more than that many."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    is_heavy = (F.col("_n") >= least_rows) & (F.col("_n") * HEAVY_KEYS >= total)
-    return counts.where(is_heavy).select(key)
-
-
 def previous_time(
-    df: DataFrame,
-    key: str,
-    time: str,
-    tie_break: str,
-    result: str,
-    bucket_seconds: int = 600,
-    heavy_rows: int = HEAVY_ROWS,
+    df: DataFrame, key: str, time: str, tie_break: str, result: str, bucket_seconds: int = 600
 ) -> DataFrame:
-    """Each row's previous ``time`` within ``key``, without one task for all rows of a heavy key.
+    """Each row's previous ``time`` within ``key``, without one task for all rows of a key.
 
-    Rows of ordinary keys are partitioned by key, as for a plain lag. Those of heavy keys are
-    partitioned by (key, time bucket): the first row of a bucket takes the last time of the key's
-    previous non-empty bucket, found from one summary row per heavy key and bucket.
+    Rows are partitioned by (key, time bucket). The first row of a bucket takes the last time of
+    the key's previous non-empty bucket, found from one summary row per key and bucket.
     """
-    heavy = F.broadcast(heavy_keys(df, key, heavy_rows).withColumn("_heavy", F.lit(True)))
     bucket = F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(bucket_seconds))
-    bucketed = df.join(heavy, key, "left").withColumn("_bucket", F.when(F.col("_heavy"), bucket))
+    bucketed = df.withColumn("_bucket", bucket)
     within = Window.partitionBy(key, "_bucket").orderBy(time, tie_break)
     ends = (
-        bucketed.where(F.col("_heavy"))
-        .groupBy(key, "_bucket")
+        bucketed.groupBy(key, "_bucket")
         .agg(F.max(time).alias("_last"))
         .withColumn("_carried", F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")))
-        .drop("_last")
+        .select(F.col(key).alias("_key"), F.col("_bucket").alias("_of"), "_carried")
     )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_of"))
     return (
         bucketed.withColumn("_within", F.lag(time).over(within))
-        .join(ends, [key, "_bucket"], "left")
+        .join(ends, same, "left")
         .withColumn(result, F.coalesce("_within", "_carried"))
-        .drop("_heavy", "_bucket", "_within", "_carried")
+        .drop("_bucket", "_within", "_carried", "_key", "_of")
     )
 
 

@@ -34,19 +34,9 @@ def purge_old(target: DataFrame, as_of: datetime, days: float = 30.0) -> DataFra
     return target.where(F.col("updated_at") > moment(target, "updated_at", as_of - timedelta(days=days)))
 
 
-def content_stats(
-    contents: DataFrame,
-    as_of: datetime,
-    days: float = 30.0,
-    weights: Weights = Weights(),
-    half_life_hours: float = 24.0,
-    bias: float = 1.0,
-) -> DataFrame:
-    """Features and decayed score of each published content created in the window."""
-    recent = contents.where(
-        newer_than(contents, "created_at", as_of, days) & (F.col("visibility") == "publish")
-    )
-    scored = recent.select(
+def content_facts(contents: DataFrame, weights: Weights = Weights()) -> DataFrame:
+    """What the statistics of a published content have that does not depend on the time."""
+    return contents.where(F.col("visibility") == "publish").select(
         "content_id",
         "author_id",
         "updated_at",
@@ -56,14 +46,35 @@ def content_stats(
         "quote_count",
         F.coalesce(F.size("photos"), F.lit(0)).alias("photo_count"),
         F.length(F.coalesce("message", F.lit("-"))).alias("character_length"),
-        age_score(
-            F.col("updated_at"), moment(contents, "updated_at", as_of), half_life_hours
-        ).alias("age_score"),
         engagement_score(*[F.col(c) for c in _COUNTS], weights).alias("engagement_score"),
+        "created_at",
     )
-    return scored.withColumn(
-        "score", (F.col("engagement_score") + F.lit(float(bias))) * F.col("age_score")
-    )
+
+
+def scored_contents(
+    facts: DataFrame,
+    as_of: datetime,
+    days: float = 30.0,
+    half_life_hours: float = 24.0,
+    bias: float = 1.0,
+) -> DataFrame:
+    """``content_facts`` created in the window, with age and decayed score."""
+    age = age_score(F.col("updated_at"), moment(facts, "updated_at", as_of), half_life_hours)
+    recent = facts.where(newer_than(facts, "created_at", as_of, days))
+    score = (F.col("engagement_score") + F.lit(float(bias))) * F.col("age_score")
+    return recent.withColumn("age_score", age).withColumn("score", score).drop("created_at")
+
+
+def content_stats(
+    contents: DataFrame,
+    as_of: datetime,
+    days: float = 30.0,
+    weights: Weights = Weights(),
+    half_life_hours: float = 24.0,
+    bias: float = 1.0,
+) -> DataFrame:
+    """Features and decayed score of each published content created in the window."""
+    return scored_contents(content_facts(contents, weights), as_of, days, half_life_hours, bias)
 
 
 def creator_stats(

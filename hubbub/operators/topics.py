@@ -20,7 +20,7 @@ from hubbub.functions.text import (
 )
 from hubbub.functions.times import utc
 
-MAX_TOPIC_VECTORS = 4_096
+LABELS_AT_ONCE = 4_096
 NO_TOPIC = "etc"
 
 
@@ -33,7 +33,7 @@ def chosen_category(categories: Column, most_confident: bool = False) -> Column:
         return F.array_max(
             F.transform(categories, lambda c: F.struct(c["confidence"], c["name"]))
         )["name"]
-    return F.element_at(categories, -1)["name"]
+    return F.when(F.size(categories) > 0, F.element_at(categories, -1)["name"])
 
 
 def tag_messages(messages: DataFrame) -> DataFrame:
@@ -147,26 +147,17 @@ def content_topics(classified: DataFrame, topics: DataFrame, as_of: datetime) ->
     ``topics`` is null for a content without topics.
     """
     ids = topics.select("slug", "topic_id")
-    steps = classified.select(
-        "content_id",
-        "language",
-        "translated_en",
-        F.posexplode_outer("slugs").alias("position", "slug"),
-    )
-    entry = F.when(F.col("topic_id").isNotNull(), F.struct("position", "topic_id"))
-    grouped = (
-        steps.join(ids, "slug", "left")
+    steps = classified.select("content_id", F.posexplode("slugs").alias("position", "slug"))
+    paths = (
+        steps.join(ids, "slug")
         .groupBy("content_id")
-        .agg(
-            F.max("language").alias("language"),
-            F.max("translated_en").alias("translated_en"),
-            F.array_sort(F.collect_list(entry)).alias("_path"),
-        )
+        .agg(F.array_sort(F.collect_list(F.struct("position", "topic_id"))).alias("_path"))
     )
-    return grouped.select(
+    # Only ids are exploded and regrouped; each text meets its topics once.
+    return classified.join(paths, "content_id", "left").select(
         "content_id",
         "language",
-        F.when(F.size("_path") > 0, F.col("_path.topic_id")).alias("topics"),
+        F.col("_path.topic_id").alias("topics"),
         "translated_en",
         F.lit(utc(as_of).strftime("%Y-%m-%d %H:%M:%S.%f"))
         .cast("timestamp_ntz")
@@ -174,9 +165,33 @@ def content_topics(classified: DataFrame, topics: DataFrame, as_of: datetime) ->
     )
 
 
-def untagged(filtering: DataFrame, n: int = 100_000) -> DataFrame:
-    """Up to ``n`` filtering rows that have no class yet."""
-    return filtering.where(F.col("class").isNull()).limit(n)
+def untagged(filtering: DataFrame) -> DataFrame:
+    """All filtering rows that have no class yet."""
+    return filtering.where(F.col("class").isNull())
+
+
+def _best_of(rows: list):
+    """A function that betters the best (topic, score) so far by the labels of ``rows``."""
+    names = np.array([row["topic"] for row in rows], dtype=object)
+    matrix = np.array([row["embedding"] for row in rows], dtype=float).T
+
+    @F.pandas_udf("struct<topic:string, score:double>")
+    def best(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        for batch, before in batches:
+            topic = before["topic"].to_numpy(dtype=object, copy=True)
+            score = before["score"].to_numpy(dtype=float, copy=True)
+            score[np.isnan(score)] = -np.inf
+            given = np.flatnonzero(batch.notna().to_numpy())
+            if len(given):
+                products = np.stack(batch.iloc[given].to_numpy()).astype(float) @ matrix
+                place, top = products.argmax(axis=1), products.max(axis=1)
+                known = np.array([t is not None for t in topic[given]])
+                earlier = np.array([bool(k) and n < t for k, n, t in zip(known, names[place], topic[given])])
+                better = (top > score[given]) | ~known | ((top == score[given]) & earlier)
+                topic[given[better]], score[given[better]] = names[place[better]], top[better]
+            yield pd.DataFrame({"topic": topic, "score": score})
+
+    return best
 
 
 def embedding_topics(
@@ -185,35 +200,25 @@ def embedding_topics(
     """The topic with the largest dot product for each vector, as ``class`` and ``score``.
 
     ``vectors`` has ``embedding`` and may have a cleaned ``message``; ``topic_vectors`` has
-    ``topic`` and ``embedding`` and is a short label list, refused beyond 4,096 rows. Scores under
-    the threshold, and messages of at most one token, are ``etc`` with 0. Each Arrow batch is
-    one matrix product.
+    ``topic`` and ``embedding``, any number of rows. Scores under the threshold, and messages of at
+    most one token, are ``etc`` with 0; of equal scores the first topic counts. Labels are taken in
+    slices of ``LABELS_AT_ONCE``, each slice is one more pass of matrix products over the Arrow
+    batches.
     """
-    rows = topic_vectors.orderBy("topic").limit(MAX_TOPIC_VECTORS + 1).collect()
-    if len(rows) > MAX_TOPIC_VECTORS:
-        raise ValueError(f"more than {MAX_TOPIC_VECTORS} topic vectors")
-    labels = F.array(*[F.lit(str(row["topic"])) for row in rows])
-    matrix = np.array([row["embedding"] for row in rows], dtype=float).T
-
-    @F.pandas_udf("struct<place:int, score:double>")
-    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            given = batch.notna().to_numpy()
-            place = np.zeros(len(batch), dtype="int32")
-            score = np.full(len(batch), -np.inf)
-            if given.any():
-                products = np.stack(batch[given].to_numpy()).astype(float) @ matrix
-                place[given] = products.argmax(axis=1)
-                score[given] = products.max(axis=1)
-            yield pd.DataFrame({"place": place, "score": score})
-
-    matched = vectors.withColumn("_best", best(F.col("embedding")))
+    labels = topic_vectors.select(F.col("topic").cast("string").alias("topic"), "embedding")
+    slices = 1 + (labels.count() - 1) // LABELS_AT_ONCE
+    part = F.pmod(F.xxhash64("topic"), F.lit(max(1, slices)))
+    matched = vectors.withColumn("_best", F.lit(None).cast("struct<topic:string, score:double>"))
+    for number in range(max(0, slices)):
+        rows = sorted(labels.where(part == number).toLocalIterator(), key=lambda row: row["topic"])
+        if rows:
+            matched = matched.withColumn("_best", _best_of(rows)(F.col("embedding"), F.col("_best")))
     clear = F.col("_best.score") >= threshold
     if "message" in vectors.columns:
         clear = clear & (token_count(F.col("message")) > 1)
     return matched.select(
         *[c for c in vectors.columns if c != "embedding"],
-        F.when(clear, F.get(labels, F.col("_best.place")))
+        F.when(clear, F.col("_best.topic"))
         .otherwise(F.lit(NO_TOPIC))
         .alias("class"),
         F.when(clear, half_even(F.col("_best.score"), 2)).otherwise(F.lit(0.0)).alias("score"),

@@ -13,24 +13,58 @@ from pyspark.sql import functions as F
 from hubbub.operators.ordering import first_per_key
 
 
-def upsert_replace(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows are replaced by the source row, unmatched source rows are added."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The source row of each key that comes first by ``order``, then by all its columns."""
+    known = {f.name: f.dataType for f in source.schema.fields}
+    rest = [c for c in source.columns if c not in keys and c not in order]
+    ranks = [F.col(c) if known[c].typeName() != "map" else F.to_json(c) for c in [*order, *rest]]
+    return first_per_key(source, keys, ranks or [F.col(c) for c in keys])
+
+
+def upsert_replace(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Matched rows are replaced by the source row, unmatched source rows are added.
+
+    Of several source rows with one key the first by ``order`` is taken, here and in all merges.
+    """
+    incoming = one_per_key(source, keys, order)
+    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
+    return incoming.unionByName(kept, allowMissingColumns=True)
+
+
+def replace_groups(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    touched: DataFrame | None = None,
+) -> DataFrame:
+    """All rows of the touched keys, by default the source's, are replaced by the source's rows."""
+    gone = (source if touched is None else touched).select(*keys).distinct()
+    kept = target.join(gone, list(keys), "left_anti")
     return source.unionByName(kept, allowMissingColumns=True)
 
 
 def upsert_set(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], fields: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    fields: Sequence[str],
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Matched rows get the named fields set, unmatched source rows are added."""
-    return _set_fields(target, source, keys, fields, "full")
+    return _set_fields(target, one_per_key(source, keys, order), keys, fields, "full")
 
 
 def update_only(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], fields: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    fields: Sequence[str],
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Matched rows get the named fields set; source rows without a match are ignored."""
-    return _set_fields(target, source, keys, fields, "left")
+    return _set_fields(target, one_per_key(source, keys, order), keys, fields, "left")
 
 
 def _set_fields(target, source, keys, fields, how):

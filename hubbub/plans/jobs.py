@@ -6,7 +6,9 @@ have the flat columns of ``sources.collections``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,21 @@ from hubbub.operators import (
     topics,
     upsert,
 )
-from hubbub.session import saved
+from hubbub.session import saved, scratch
 from hubbub.sources.sinks import append_rows, merge_rows, reload_table, rewrite_table, settle
 
 
+def cleans_up(job: Callable) -> Callable:
+    """A job whose saved intermediates are removed when it ends."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **named):
+        with scratch(spark):
+            return job(spark, *args, **named)
+
+    return run
+
+
 def content_stats_job(
     spark: SparkSession,
     as_of: datetime,
@@ -86,7 +99,7 @@ def hashtag_stats_job(
     source = spark.table(contents)
     merge_rows(stats.hashtag_stats(source, as_of, **parameters), target, ["name"])
     days = parameters.get("days", 14.0)
-    merge_rows(stats.hashtag_documents(source, as_of, days), documents, ["name", "part"])
+    merge_rows(stats.hashtag_documents(source, as_of, days), documents, ["name"], "groups")
 
 
 def user_stats_job(
@@ -101,7 +114,7 @@ def user_stats_job(
     """Totals per author, and the per-hashtag summary in nested form."""
     source = spark.table(contents)
     merge_rows(stats.user_stats(source, spark.table(users), as_of, days), target, ["user_id"])
-    merge_rows(stats.user_documents(source, as_of, days), documents, ["author_id", "part"])
+    merge_rows(stats.user_documents(source, as_of, days), documents, ["author_id"], "groups")
 
 
 def user_engagement_job(
@@ -129,6 +142,7 @@ def feed_performance_job(
     append_rows(row, target)
 
 
+@cleans_up
 def country_models_job(
     spark: SparkSession,
     as_of: datetime,
@@ -162,6 +176,7 @@ def country_models_job(
     merge_rows(every, target, keys)
 
 
+@cleans_up
 def account_models_job(
     spark: SparkSession,
     as_of: datetime,
@@ -200,6 +215,7 @@ def _fit(spark, rows, key, content_stats, creator_stats, as_of, eligible) -> Dat
     return models.fit_per_key(training, key, CONTENT_FEATURES, "label", as_of)
 
 
+@cleans_up
 def default_feed_job(
     spark: SparkSession,
     as_of: datetime,
@@ -262,8 +278,9 @@ def user_clusters_job(
         F.regexp_replace("type", "_topics$", "").alias("type"),
         F.explode("topics").alias("topic_id", "count"),
     )
-    matrix = clusters.user_topic_matrix(counts, spark.table(topic_table))
-    labels = clusters.user_clusters(matrix, as_of, k, seed)
+    places = clusters.topic_places(counts, spark.table(topic_table))
+    vectors = clusters.user_topic_vectors(counts, places)
+    labels = clusters.user_clusters(vectors, as_of, k, seed)
     merge_rows(labels, target, ["user_id"], "set", ["model", "user_class", "predicted_at"])
 
 
@@ -271,10 +288,9 @@ def embedding_topics_job(
     spark: SparkSession,
     topic_vectors: DataFrame,
     filtering: str = "contentfiltering",
-    n: int = 100_000,
 ) -> None:
     """Class and score of rows without a class; rows carry their message's ``embedding``."""
-    rows = topics.untagged(spark.table(filtering), n).select(
+    rows = topics.untagged(spark.table(filtering)).select(
         "content_id", clean_message_v2(F.col("message_en")).alias("message"), "embedding"
     )
     tagged = topics.embedding_topics(rows, topic_vectors).select(
@@ -303,6 +319,7 @@ def extract_credentials_job(
     merge_rows(found, target, keys, "insert", order=["created_at"])
 
 
+@cleans_up
 def train_one_class_job(
     spark: SparkSession,
     as_of: datetime,

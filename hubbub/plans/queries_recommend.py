@@ -237,22 +237,48 @@ def _country_models(v):
     )
 
 
-@query()
+def _checked_models(fitted, training, key):
+    """Keys, rows and how far the coefficients are from solving the normal equations."""
+    return models.normal_residuals(fitted, training, key, CONTENT_FEATURES, "label").select(
+        "account", "model", "rows", F.round("residual", 6).alias("residual")
+    )
+
+
+@query(
+    duckdb_sql(
+        _TRAINING
+        + """
+SELECT country_code AS account, 'ridge' AS model, count(*) AS rows, CAST(0 AS DOUBLE) AS residual
+FROM tr GROUP BY country_code""",
+        *_ALL,
+    )
+)
 def country_models(v):
-    fitted = _country_models(v)
-    return fitted.select("account", "model", "rows", "intercept", F.explode("coefficients").alias("coefficient"))
+    training = saved(_country_training(v))
+    fitted = models.fit_per_key(training, "country_code", CONTENT_FEATURES, "label", AS_OF)
+    return _checked_models(fitted, training, "country_code")
 
 
-@query()
+@query(
+    duckdb_sql(
+        f"""
+WITH {_ACCOUNT},
+t AS (SELECT account_id FROM ae WHERE engagements = 1 GROUP BY account_id HAVING count(*) > 2)
+SELECT account_id AS account, 'ridge' AS model, count(*) AS rows, CAST(0 AS DOUBLE) AS residual
+FROM ae WHERE account_id IN (SELECT account_id FROM t) GROUP BY account_id""",
+        "engagements",
+        "users",
+    )
+)
 def account_models(v):
     rows = saved(features.account_engagement(v.engagements, v.users))
     trainable = features.eligible_accounts(rows).select("account_id")
     labelled = features.weighted_label(
         rows.join(trainable, "account_id", "left_semi"), "account_id"
     )
-    training = features.with_features(labelled, _content_features(v))
+    training = saved(features.with_features(labelled, _content_features(v)))
     fitted = models.fit_per_key(training, "account_id", CONTENT_FEATURES, "label", AS_OF)
-    return fitted.select("account", "model", "rows", "intercept", F.explode("coefficients").alias("coefficient"))
+    return _checked_models(fitted, training, "account_id")
 
 
 _TRAINED = f"""
@@ -428,11 +454,24 @@ def person_dictionary(v):
     return ordering.dense_ids(saved(_pairs(v)), "person_id", "user")
 
 
-@query()
+@query(
+    duckdb_sql(
+        f"""
+WITH {_PAIRS}
+SELECT DISTINCT person_id, least(10, (SELECT count(DISTINCT content_id) FROM pr)) AS contents,
+  TRUE AS distinct_contents, TRUE AS all_known
+FROM pr""",
+        *_REC,
+    )
+)
 def member_recommendations(v):
+    """Scores have no SQL form; how many known contents each person gets does."""
     scores, people, items = recommend.member_recommendations(saved(_pairs(v)), k=10)
-    return scores.join(people, "user").join(items, "content").select(
-        "person_id", "content_id", "score"
+    named = scores.join(people, "user").join(items, "content", "left")
+    return named.groupBy("person_id").agg(
+        F.count(F.lit(1)).alias("contents"),
+        (F.count_distinct("content_id") == F.count(F.lit(1))).alias("distinct_contents"),
+        F.bool_and(F.col("content_id").isNotNull() & F.col("score").isNotNull()).alias("all_known"),
     )
 
 
@@ -462,12 +501,24 @@ LEFT JOIN n ON n.user_id = u.user_id AND n.type = k.type AND n.topic_id = t.topi
     )
 )
 def user_topic_matrix(v):
-    matrix = clusters.user_topic_matrix(_topic_counts(v), _taxonomy(v))
-    cells = [F.col(f"`{c}`") for c in matrix.columns if c != "user_id"]
-    return matrix.unpivot(["user_id"], cells, "cell", "count")
+    counts = _topic_counts(v)
+    places = clusters.topic_places(counts, _taxonomy(v))
+    return clusters.user_topic_matrix(clusters.user_topic_vectors(counts, places), places)
 
 
-@query()
+@query(
+    duckdb_sql(
+        """
+SELECT DISTINCT e.user_id, 'kmeans' AS model, @t0 AS predicted_at, TRUE AS labelled
+FROM fx_engagements e JOIN fx_contentinfo i ON e.content_id = i.content_id
+WHERE e.target_ref = 'content' AND len(i.topics) > 0""",
+        "engagements",
+        "contentinfo",
+    )
+)
 def user_clusters(v):
-    matrix = clusters.user_topic_matrix(saved(_topic_counts(v)), _taxonomy(v))
-    return clusters.user_clusters(matrix, AS_OF)
+    """Which cluster a user falls in has no SQL form; that each user has one label does."""
+    counts = saved(_topic_counts(v))
+    places = clusters.topic_places(counts, _taxonomy(v))
+    labels = clusters.user_clusters(clusters.user_topic_vectors(counts, places), AS_OF, k=7)
+    return labels.select("user_id", "model", "predicted_at", F.col("user_class").between(0, 6).alias("labelled"))

@@ -212,6 +212,22 @@ def hashtag_documents(v):
     return nested.select("name", F.explode("contributions").alias("c")).select("name", "c.*")
 
 
+@query(
+    duckdb_sql(
+        _USES.replace("INTERVAL 14 DAY", "INTERVAL 7 DAY")
+        + """ SELECT name, author_id, content_id FROM e""",
+        "contents",
+    )
+)
+def hashtag_documents_rerun(v):
+    """Documents of a week's uses over those of two weeks: no part of the first run stays."""
+    first = stats.hashtag_documents(v.contents, AS_OF, items_per_row=5)
+    second = stats.hashtag_documents(v.contents, AS_OF, days=7, items_per_row=5)
+    merged = upsert.replace_groups(first, second, ["name"], first.select("name"))
+    nested = merged.select("name", F.explode("contributions").alias("c"))
+    return nested.select("name", "c.*")
+
+
 _USER_TOTALS = """
 WITH t AS (
   SELECT author_id, hashtags, type, count(*) AS n, sum(coalesce(like_count, 0)) AS l,
@@ -364,6 +380,41 @@ def upsert_replace(v):
     return upsert.upsert_replace(_target(v), _source(v), ["user_id"])
 
 
+def _repeated(v):
+    """The source, and each of its rows once more with a later name and count."""
+    again = _source(v).select(
+        "user_id",
+        F.concat("display_id", F.lit(" again")).alias("display_id"),
+        (F.col("followed_count") + 100).alias("followed_count"),
+    )
+    return _source(v).unionByName(again)
+
+
+@query(
+    _write_sql(
+        """SELECT user_id, concat(display_id, ' again') AS display_id,
+  followed_count + 100 AS followed_count FROM s UNION ALL
+SELECT * FROM t WHERE user_id NOT IN (SELECT user_id FROM s)"""
+    )
+)
+def upsert_replace_duplicates(v):
+    newest = _repeated(v).withColumn("minus", -F.col("followed_count"))
+    merged = upsert.upsert_replace(_target(v), newest, ["user_id"], ["minus"])
+    return merged.drop("minus")
+
+
+@query(
+    _write_sql(
+        """SELECT t.user_id, t.display_id, coalesce(s.followed_count, t.followed_count)
+  AS followed_count FROM t LEFT JOIN s ON t.user_id = s.user_id"""
+    )
+)
+def update_only_duplicates(v):
+    return upsert.update_only(
+        _target(v), _repeated(v), ["user_id"], ["followed_count"], ["followed_count"]
+    )
+
+
 @query(
     _write_sql(
         """SELECT coalesce(t.user_id, s.user_id) AS user_id, t.display_id,

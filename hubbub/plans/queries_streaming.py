@@ -32,10 +32,13 @@ def _events(messages):
 def topic_stream(v):
     spark = v.spark
     folder = f"{shared_dir(spark)}/topic-stream-{uuid.uuid4()}"
+    # Several files of mixed dates, one per batch: later batches hold older messages too.
+    for part in range(3):
+        v.documents.where(F.col("doc_id") % 3 == part).write.mode("append").parquet(f"{folder}/in")
     documents = (
         spark.readStream.schema(v.documents.schema)
-        .option("pathGlobFilter", "documents*.parquet")
-        .parquet(v.sf_dir)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{folder}/in")
     )
     messages = stream.event_messages(
         stream.parse_events(_events(view_over(spark, "messages", documents=documents)))

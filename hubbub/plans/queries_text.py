@@ -256,7 +256,7 @@ def content_topics(v):
 
 @query(
     duckdb_sql(
-        "SELECT content_id, language FROM fx_filtering WHERE class IS NULL LIMIT 100000",
+        "SELECT content_id, language FROM fx_filtering WHERE class IS NULL",
         "filtering",
     )
 )
@@ -279,3 +279,24 @@ SELECT vec_id, CASE WHEN dot >= 0.15 THEN topic ELSE 'etc' END AS class,
 )
 def embedding_topics(v):
     return topics.embedding_topics(v.embeddings.select("vec_id", "embedding"), v.topic_vectors)
+
+
+@query(
+    """
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN concat('/B/', source)
+  ELSE concat('/A/', lang) END AS most_confident,
+  CASE WHEN doc_id % 4 = 0 THEN NULL ELSE concat('/B/', source) END AS last
+FROM documents"""
+)
+def chosen_category(v):
+    entry = lambda name, confidence: F.struct(name.alias("name"), confidence.alias("confidence"))
+    first = entry(F.concat(F.lit("/A/"), "lang"), F.lit(0.5))
+    second = entry(
+        F.concat(F.lit("/B/"), "source"), F.when(F.col("doc_id") % 3 == 0, 0.75).otherwise(0.25)
+    )
+    listed = F.when(F.col("doc_id") % 4 != 0, F.array(first, second))
+    return v.documents.select(
+        "doc_id",
+        topics.chosen_category(listed, most_confident=True).alias("most_confident"),
+        topics.chosen_category(listed).alias("last"),
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,28 +41,53 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+def named_dir(spark: SparkSession) -> str | None:
+    """The folder the cluster names for data that all executors share, if it names one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    A temporary folder is used only where the cluster names none, which is the case in tests.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="hubbub-")
+
+def shared_dir(spark: SparkSession) -> str:
+    """A folder every executor can reach: the named one, else one in the warehouse."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return named_dir(spark) or f"{warehouse.rstrip('/')}/_shared"
 
 
 def saved(rows: DataFrame) -> DataFrame:
-    """Rows written once to the shared folder and read back.
+    """Rows that several later steps read, computed a single time.
 
-    For results several later steps read: they are computed a single time, survive the loss of
-    executors, and come back with a known size. The cluster's policy for that folder removes them.
+    They are written to the named folder and read back, so they survive the loss of executors and
+    come back with a known size; ``scratch`` removes what a job wrote. Without a named folder
+    nothing is written: the rows are kept by the executors, and recomputed where one is lost.
     """
-    path = f"{shared_dir(rows.sparkSession)}/saved-{uuid.uuid4()}"
+    root = named_dir(rows.sparkSession)
+    if root is None:
+        return rows.persist()
+    path = f"{root.rstrip('/')}/saved-{uuid.uuid4()}"
+    for folders in _OPEN:
+        folders.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, what ``saved`` wrote inside."""
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield
+    finally:
+        _OPEN.remove(folders)
+        for path in folders:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give iterative fits a place to cut lineage."""
+    """Give iterative fits the named folder to cut lineage; without one they go on without."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
+    if context.getCheckpointDir() is None and named_dir(spark) is not None:
         context.setCheckpointDir(shared_dir(spark))

@@ -59,7 +59,7 @@ CHANGE_EVENT = (
     "time string, region string, resources array<string>, "
     "detail struct<operationType:string, "
     "fullDocument:struct<_id:string, payload:struct<message:string>, updatedAt:string, "
-    "category:string, confidence:double, translatedEN:string, detectedLanguage:string>, "
+    "category:string, categories:array<struct<name:string, confidence:double>>, confidence:double, translatedEN:string, detectedLanguage:string>, "
     "ns:struct<db:string, coll:string>, documentKey:struct<_id:string>>"
 )
 

@@ -51,6 +51,16 @@ def rewrite_table(
     settle(spark, table)
 
 
+#: Table formats whose tables take a row-level MERGE.
+ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
+
+
+def has_row_level_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the table's format merges row by row."""
+    facts = spark.sql(f"DESCRIBE EXTENDED {table}").where("lower(col_name) = 'provider'").collect()
+    return bool(facts) and (facts[0]["data_type"] or "").lower() in ROW_LEVEL_FORMATS
+
+
 def merge_rows(
     source: DataFrame,
     table: str,
@@ -58,44 +68,54 @@ def merge_rows(
     kind: str = "replace",
     fields: Sequence[str] = (),
     order: Sequence[str] = (),
-    row_level: bool = False,
+    row_level: bool | None = None,
+    touched: DataFrame | None = None,
 ) -> None:
     """Merge rows into a table on ``keys``.
 
-    ``kind`` is ``replace``, ``set`` (only ``fields``), ``insert`` (new keys only, the first
-    source row by ``order``) or ``update`` (only ``fields`` of existing rows). With ``row_level``
-    the table format's own MERGE is used; otherwise the next state of the table is written.
+    ``kind`` is ``replace``, ``set`` (only ``fields``), ``insert`` (new keys only), ``update``
+    (only ``fields`` of existing rows) or ``groups`` (all rows of a key are replaced). Of several
+    source rows with one key the first by ``order`` is taken, except by ``groups``. Where the
+    table's format has a row-level MERGE it is used, unless ``row_level`` says otherwise;
+    elsewhere, and for ``groups``, the next state of the table is written. ``touched`` names the
+    keys that ``groups`` replaces, if these are more than the source has.
     """
     spark = source.sparkSession
     settle(spark, table)
     if not spark.catalog.tableExists(table):
         if kind == "update":
             return
-        fresh = upsert.insert_only(source.limit(0), source, keys, order or keys)
+        fresh = source if kind == "groups" else upsert.one_per_key(source, keys, order)
         fresh.write.saveAsTable(table)
-    elif row_level:
+        return
+    if row_level is None:
+        row_level = has_row_level_merge(spark, table)
+    if row_level and kind != "groups":
         _row_level_merge(source, table, keys, kind, fields, order)
     else:
         rewrite_table(
-            spark, table, lambda target: _next_state(target, source, keys, kind, fields, order)
+            spark,
+            table,
+            lambda target: _next_state(target, source, keys, kind, fields, order, touched),
         )
 
 
-def _next_state(target, source, keys, kind, fields, order):
+def _next_state(target, source, keys, kind, fields, order, touched):
     if kind == "replace":
-        return upsert.upsert_replace(target, source, keys)
+        return upsert.upsert_replace(target, source, keys, order)
+    if kind == "groups":
+        return upsert.replace_groups(target, source, keys, touched)
     if kind == "set":
-        return upsert.upsert_set(target, source, keys, fields)
+        return upsert.upsert_set(target, source, keys, fields, order)
     if kind == "insert":
         return upsert.insert_only(target, source, keys, order or keys)
     if kind == "update":
-        return upsert.update_only(target, source, keys, fields)
+        return upsert.update_only(target, source, keys, fields, order)
     raise ValueError(f"unknown merge kind: {kind}")
 
 
 def _row_level_merge(source, table, keys, kind, fields, order):
-    if kind == "insert":
-        source = upsert.first_per_key(source, keys, [F.col(c) for c in order or keys])
+    source = upsert.one_per_key(source, keys, order)
     condition = None
     for key in keys:
         match = F.expr(f"{table}.{key} = source.{key}")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hubbub.operators.stats import content_stats
+from hubbub.operators.ordering import first_per_key
+from hubbub.operators.stats import content_facts, scored_contents
 from hubbub.sources.sinks import merge_rows
 
 
@@ -25,15 +27,31 @@ def drain(
 
 
 def refresh_content_stats(
-    contents: DataFrame, as_of: datetime, checkpoint: str, target: str = "content_stats", **parameters
+    contents: DataFrame, checkpoint: str, target: str = "content_facts", **parameters
 ) -> StreamingQuery:
-    """Recompute the statistics of new or changed contents and merge them by content.
+    """Bring ``target`` up to date with new, changed and withdrawn contents.
 
-    A batch repeated after a failure replaces the same rows. ``contents`` has the latest state of
-    a content once per batch.
+    The table holds ``content_facts``, which no time enters; ``current_content_stats`` reads the
+    statistics at a moment. The latest state of a content in a batch replaces its row, or removes
+    it when the content does not qualify any more. A batch repeated after a failure does the same
+    again.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        merge_rows(content_stats(batch, as_of, **parameters), target, ["content_id"])
+        latest = first_per_key(batch, ["content_id"], [F.col("updated_at").desc()])
+        merge_rows(
+            content_facts(latest, **parameters),
+            target,
+            ["content_id"],
+            "groups",
+            touched=latest.select("content_id"),
+        )
 
     return drain(contents, apply, checkpoint)
+
+
+def current_content_stats(
+    spark: SparkSession, as_of: datetime, target: str = "content_facts", **parameters
+) -> DataFrame:
+    """``content_stats`` at ``as_of``, from the refreshed table."""
+    return scored_contents(spark.table(target), as_of, **parameters)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hubbub.operators.topics import content_topics, tag_messages, topic_taxonomy
+from hubbub.operators.ordering import first_per_key
+from hubbub.operators.topics import chosen_category, content_topics, tag_messages, topic_taxonomy
 from hubbub.sources.schemas import CHANGE_EVENT
 from hubbub.streaming.changelog import ChangeLog
 from hubbub.streaming.refresh import drain
@@ -38,14 +39,19 @@ def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.from_json(column, CHANGE_EVENT).alias("event")).select("event.*")
 
 
-def event_messages(events: DataFrame) -> DataFrame:
-    """The message of each insert or update event, with what the remote services added."""
+def event_messages(events: DataFrame, most_confident: bool = False) -> DataFrame:
+    """The message of each insert or update event, with what the remote services added.
+
+    Where the service lists several categories, one is chosen: the last, or the most confident.
+    """
     document = "detail.fullDocument"
     return events.where(F.col(f"{document}._id").isNotNull()).select(
         F.col(f"{document}._id").alias("content_id"),
         F.col(f"{document}.payload.message").alias("message"),
         F.to_timestamp(f"{document}.updatedAt").alias("updated_at"),
-        F.col(f"{document}.category").alias("category"),
+        F.coalesce(
+            f"{document}.category", chosen_category(F.col(f"{document}.categories"), most_confident)
+        ).alias("category"),
         F.col(f"{document}.translatedEN").alias("translated_en"),
         F.col(f"{document}.detectedLanguage").alias("detected_language"),
     )
@@ -57,16 +63,18 @@ def topic_stream(
     contentinfo: ChangeLog,
     checkpoint: str,
     as_of: datetime,
-    lateness: str = "1 hour",
 ) -> StreamingQuery:
     """Tag each new content once and keep taxonomy and content info up to date.
 
-    Repeated events of a content are dropped within the watermark, which bounds the state; older
-    repeats are found in ``contentinfo``. The query stops once the available events are done.
+    Events count whatever their age. Of several events of a content in one batch the earliest is
+    taken; contents of earlier batches are found in ``contentinfo``. The query stops once the
+    available events are done.
     """
 
     def tag(batch: DataFrame, number: int) -> None:
-        fresh = batch.join(contentinfo.known(batch, number), "content_id", "left_anti")
+        order = [F.col("updated_at"), F.col("message")]
+        once = first_per_key(batch, ["content_id"], order)
+        fresh = once.join(contentinfo.known(once, number), "content_id", "left_anti")
         tagged = tag_messages(fresh).persist()
         try:
             stored = topics.current(before=number)
@@ -79,7 +87,4 @@ def topic_stream(
         finally:
             tagged.unpersist()
 
-    unique = messages.withWatermark("updated_at", lateness).dropDuplicatesWithinWatermark(
-        ["content_id"]
-    )
-    return drain(unique, tag, checkpoint)
+    return drain(messages, tag, checkpoint)

@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from hubbub.operators import ordering, stats
 from hubbub.plans import jobs
 from hubbub.plans.sample_views import AS_OF, Views
 from hubbub.sources import collections, documents, sinks
@@ -179,24 +180,40 @@ def test_results_as_documents(spark, tables):
     assert creator["summary"][0]["aggregator"]["followedScore"] == creator["aggregator"]["followedScore"]
 
 
-def test_content_stats_refresh_by_new_files(spark, tables, tmp_path):
+def test_content_stats_refresh_equals_batch(spark, tables, tmp_path):
+    """Three batches with a changed, a withdrawn and a new content; the statistics move with time."""
     inbox, state = str(tmp_path / "in"), str(tmp_path / "state")
-    contents = tables.contents.orderBy("content_id")
-    contents.where("content_id < 50").write.mode("append").parquet(inbox)
-
-    def run():
-        stream_ = spark.readStream.schema(contents.schema).parquet(inbox)
-        refresh.refresh_content_stats(stream_, AS_OF, state, "fresh_stats").awaitTermination()
-        spark.catalog.refreshTable("fresh_stats") if spark.catalog.tableExists("fresh_stats") else None
-        return spark.table("fresh_stats")
-
-    first = run().count()
-    assert run().count() == first > 0
-    more = contents.where("content_id >= 40 AND content_id < 100").withColumn("like_count", F.lit(99).cast("bigint"))
-    more.write.mode("append").parquet(inbox)
-    found = run()
-    assert found.count() > first and found.where("content_id = 46 AND like_count = 99").count() == 1
-    assert found.count() == found.select("content_id").distinct().count()
+    contents = tables.contents
+    early = contents.where("content_id < 100").withColumn("visibility", F.lit("publish"))
+    early = early.withColumn("like_count", F.lit(99).cast("bigint"))
+
+    def run(batch):
+        batch.write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(contents.schema).parquet(inbox)
+        refresh.refresh_content_stats(source, state, "content_facts").awaitTermination()
+        spark.catalog.refreshTable("content_facts")
+
+    run(early)
+    run(contents.where("content_id >= 60"))
+    run(contents.where("content_id < 60"))
+    for moment in (AS_OF, AS_OF + timedelta(days=9)):
+        found = refresh.current_content_stats(spark, moment, "content_facts")
+        expected = stats.content_stats(contents, moment)
+        assert found.count() == expected.count() > 0
+        assert found.select(*expected.columns).exceptAll(expected).count() == 0
+    assert contents.where("content_id < 60 AND visibility = 'deleted'").count() > 0
+
+
+def test_documents_job_repeats_with_fewer_items(spark, tables):
+    uses = lambda rows: spark.createDataFrame(
+        rows, "name string, author_id long, content_id long")
+    nest = lambda rows: ordering.collect_in_parts(uses(rows), ["name"], ["author_id", "content_id"], "items", 7)
+    sinks.merge_rows(nest([("a", i, i) for i in range(50)] + [("b", 1, 1)]), "nested", ["name"], "groups")
+    sinks.merge_rows(nest([("a", i, i) for i in range(20)]), "nested", ["name"], "groups")
+    spark.catalog.refreshTable("nested")
+    items = spark.table("nested").select("name", F.explode("items").alias("i")).select("name", "i.author_id").collect()
+    assert sorted(r["author_id"] for r in items if r["name"] == "a") == list(range(20))
+    assert [r["author_id"] for r in items if r["name"] == "b"] == [1]
 
 
 def event(key, message, category, at="2024-01-30T00:00:00Z"):
@@ -227,3 +244,16 @@ def test_stream_tags_each_content_once(spark, tmp_path):
     slugs = {r["slug"]: r for r in topics.current().collect()}
     assert set(slugs) == {"a", "b", "c"} and slugs["a"]["children_slug"] == ["b", "c"]
     assert second["3"]["topics"][0] == first["1"]["topics"][0]
+
+
+def test_stream_keeps_old_events(spark, tmp_path):
+    """One event per file and batch: noon, a minute before, the day before."""
+    inbox, root = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    topics = ChangeLog(f"{root}/topics", ["slug"], spark.createDataFrame([], stream.TOPIC_SCHEMA))
+    info = ChangeLog(f"{root}/info", ["content_id"], spark.createDataFrame([], stream.INFO_SCHEMA))
+    for i, (key, at) in enumerate([("new", "2024-01-30T12:00:00Z"), ("mid", "2024-01-30T11:59:00Z"), ("old", "2024-01-29T08:00:00Z")]):
+        (inbox / f"{i}.json").write_text(event(key, "some words", "/A", at))
+        messages = stream.event_messages(stream.read_change_events(spark, str(inbox), 1))
+        stream.topic_stream(messages, topics, info, f"{root}/state", AS_OF).awaitTermination()
+    assert {r["content_id"] for r in info.current().collect()} == {"new", "mid", "old"}

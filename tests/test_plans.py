@@ -1,11 +1,11 @@
-"""Plans: filters and columns reach the scan, no nested loops, bounded heavy keys."""
+"""Plans: filters and columns reach the scan, no nested loops, small things are shuffled."""
+
+import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from hubbub.operators import ordering
 from hubbub.plans import catalog
-from hubbub.session import saved, shared_dir
+from hubbub.session import saved, scratch, shared_dir
 
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = (
@@ -43,13 +43,15 @@ def test_last_rows_are_limited_before_the_shuffle(spark):
         assert plan(spark, name).count("WindowGroupLimit") >= 2
 
 
-def test_heavy_keys_are_few(spark):
-    rows = spark.range(200_000).select(
-        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert [r["k"] for r in ordering.heavy_keys(rows, "k", 1).collect()] == [-1]
-    assert ordering.heavy_keys(rows, "k").count() == 0
-    even = spark.range(30_000).withColumnRenamed("id", "k")
-    assert ordering.heavy_keys(even, "k", 1).count() == 0
+def test_texts_are_not_regrouped_by_slug(spark):
+    text = plan(spark, "content_topics")
+    grouped = [line for line in text.splitlines() if "collect_list" in line]
+    assert grouped and not any("translated_en" in line for line in grouped)
+
+
+def test_engagements_are_counted_before_topics(spark):
+    scans = plan(spark, "user_topic_engagement", "simple")
+    assert scans.count("HashAggregate") >= 4
 
 
 def test_saved_rows_use_the_named_folder(spark):
@@ -57,3 +59,10 @@ def test_saved_rows_use_the_named_folder(spark):
     assert shared_dir(spark) == named
     again = saved(spark.range(5))
     assert again.count() == 5 and named in again.inputFiles()[0]
+
+
+def test_scratch_removes_saved_rows(spark):
+    with scratch(spark):
+        path = saved(spark.range(5)).inputFiles()[0].removeprefix("file://").removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
