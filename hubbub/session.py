@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Texts are long: ten thousand of them in one Arrow batch would take much of a task's memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
