@@ -237,9 +237,12 @@ class Transducer:
 class Encoder(dict):
     """Token ids of texts. The mapping holds the ids of up to ``max_pieces`` known pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 500_000):
+    def __init__(
+        self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 500_000, max_states: int = 500_000
+    ):
         super().__init__()
-        self.machine, self.split, self.max_pieces = Transducer(ranks), compiled(pattern), max_pieces
+        self.machine, self.split = Transducer(ranks, max_states), compiled(pattern)
+        self.max_pieces = max_pieces
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.machine.encode(piece.encode())
@@ -282,22 +285,27 @@ class Decoder:
 class Vocabulary:
     """The rank file and split pattern; a worker builds its tools once and keeps them over tasks."""
 
-    def __init__(self, path: str, pattern: str):
-        self.raw, self.pattern, self.made = Path(path).read_bytes(), pattern, None
+    def __init__(self, path: str, pattern: str, most_kept: int):
+        self.raw, self.pattern, self.most_kept = Path(path).read_bytes(), pattern, most_kept
+        self.made = None
 
     def __getstate__(self) -> dict:
-        return {"raw": self.raw, "pattern": self.pattern, "made": None}
+        return self.__dict__ | {"made": None}
 
     def tools(self) -> tuple[Encoder, Decoder]:
         if self.made is None:
             gc.disable()  # the tables are large and hold no cycles; scanning them takes most of the time
             ranks = read_ranks(self.raw)
-            self.made = Encoder(ranks, self.pattern), Decoder(ranks)
+            self.made = Encoder(ranks, self.pattern, self.most_kept, self.most_kept), Decoder(ranks)
         return self.made
 
 
-def _tools(docs: DataFrame, path: str, pattern: str):
-    sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(path, pattern))
+#: Pieces, and states, that a worker keeps: about 1 kB for both together.
+MOST_KEPT = 500_000
+
+
+def _tools(docs: DataFrame, path: str, pattern: str, most_kept: int = MOST_KEPT):
+    sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(path, pattern, most_kept))
     return lambda: sent.value.tools()
 
 
@@ -328,10 +336,16 @@ def decoded(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: st
 
 
 def encoded_checked(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", intact: str = "intact"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    intact: str = "intact",
+    most_kept: int = MOST_KEPT,
 ) -> DataFrame:
     """As ``encoded``, with ``intact``: whether the ids decode to the text's bytes."""
-    tools = _tools(docs, path, pattern)
+    tools = _tools(docs, path, pattern, most_kept)
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
         encoder, decoder = tools()
