@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from hubbub.session import shared_dir
+
 #: Bytes of text that one vectorised step takes together; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 
@@ -29,21 +30,18 @@ def held_out(doc_id: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that all executors see.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may leave it unset.
+    The cluster names it in ``spark.checkpoint.dir``; without that it is in the warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="hubbub-shared-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+
 
+def written(rows: DataFrame, files: int | None = None) -> DataFrame:
+    """Rows written to the shared folder and read back: computed once, safe from lost executors.
 
-def written(rows: DataFrame) -> DataFrame:
-    """Rows written to the shared folder and read back: computed once, safe from lost executors."""
+    ``files`` is the most files to write, where the size of the rows is known.
+    """
     path = shared_folder(rows.sparkSession)
-    rows.write.parquet(path)
+    (rows if files is None else rows.coalesce(files)).write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from hubbub.llm.common import cut
 
 
+#: Links in one file of a checkpoint.
+LINKS_PER_FILE = 200_000
+
+
 def _state(edges: DataFrame) -> tuple:
     key = F.xxhash64("u", "v").cast("decimal(20,0)")
     row = edges.agg(F.count(F.lit(1)), F.sum(key)).first()
@@ -26,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
     Links to oneself and null ends are ignored; only linked nodes are returned.
     """
     both = edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b")
-    stars = cut(both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    first = both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    stars = cut(first.coalesce(edges.sparkSession.sparkContext.defaultParallelism))
     state = _state(stars)
     while state[0]:
         ways = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -34,7 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = ways.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut(small.unionByName(least.withColumnRenamed("m", "v")).distinct())
+        # A graph that has become small goes on in few files; a round never has more links.
+        stars = small.unionByName(least.withColumnRenamed("m", "v")).distinct()
+        stars = cut(stars.coalesce(1 + state[0] // LINKS_PER_FILE))
         before, state = state, _state(stars)
         if state == before:
             break

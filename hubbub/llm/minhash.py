@@ -46,6 +46,8 @@ WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 60, 6
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+#: Rows in one file of an intermediate table of members, and of their sets.
+MEMBERS_PER_FILE, SETS_PER_FILE = 200_000, 2_000
 #: Size of the filter that spares most texts the shuffle: 4 MB.
 FILTER_BITS = 1 << 25
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -305,8 +307,10 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
     first_key = rows.where("content IS NOT NULL").groupBy("content").agg(
         F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles")
     )
+    n_members = clusters.count()
     members = written(
-        clusters.select(F.col("node").alias("content"), F.col("component").alias("cluster")).join(first_key, "content")
+        clusters.select(F.col("node").alias("content"), F.col("component").alias("cluster")).join(first_key, "content"),
+        1 + n_members // MEMBERS_PER_FILE,
     )
     sizes = members.groupBy("cluster").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(block), F.sum("n_shingles") / F.lit(block * (BLOCK_SHINGLES // BLOCK))))
@@ -316,8 +320,9 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
     with_blocks = members.join(sizes, "cluster")
     sets = _sets(docs, with_blocks.select("key", "content", "cluster", "blocks"), key, text)
     has_large = bool(sizes.where("blocks > 1").limit(1).count())
+    set_files = 1 + n_members // SETS_PER_FILE
     if has_large:
-        sets = written(sets)
+        sets = written(sets, set_files)
     own = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
     task = lambda kind, i, j: F.concat_ws("/", F.lit(kind), F.hex("cluster"), i, j)
     zero = F.lit(0)
@@ -331,7 +336,7 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
         anchored = anchors.select(task("anchor", zero, F.col("block")).alias("task"), zero.alias("side"), "content", "shingles").unionByName(
             large.where("block > 0").select(task("anchor", zero, F.col("block")).alias("task"), F.lit(1).alias("side"), "content", "shingles")
         )
-        links = written(verified(alone.unionByName(anchored), percent))
+        links = written(verified(alone.unionByName(anchored), percent), set_files)
         # Sets outside their cluster's largest component against all sets of the cluster.
         so_far = components(links).select(F.col("node").alias("content"), F.col("component").alias("part"))
         parts = large.select("content", "cluster", "block", "blocks").join(so_far, "content", "left").withColumn(
@@ -340,7 +345,7 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
         top = parts.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(
             F.max_by("part", F.struct("n", "part")).alias("top")
         )
-        rest = written(parts.join(top, "cluster").where("part != top").select("content", "cluster", "blocks"))
+        rest = written(parts.join(top, "cluster").where("part != top").select("content", "cluster", "blocks"), 1 + n_members // MEMBERS_PER_FILE)
         rounds = rest.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("rounds"))
         queries = rest.join(rounds, "cluster").withColumn("round", F.pmod(F.xxhash64("content", F.lit(1)), F.col("rounds")).cast("int"))
         asked = queries.join(sets.select("content", "shingles"), "content").select(
