@@ -54,7 +54,6 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, checked to decode to the text's bytes."""
     tune(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    # Workers stay alive between stages, so what they keep is less than for encoding alone.
     found = bpe.encoded_checked(
         docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, most_kept=120_000
     )

@@ -299,6 +299,12 @@ class Vocabulary:
             self.made = Encoder(ranks, self.pattern, self.most_kept, self.most_kept), Decoder(ranks)
         return self.made
 
+    def release(self) -> None:
+        """Give the tools' memory back; the next task builds them anew."""
+        self.made = None
+        gc.enable()
+        gc.collect()
+
 
 #: Pieces, and states, that a worker keeps: about 1 kB for both together.
 MOST_KEPT = 500_000
@@ -306,7 +312,12 @@ MOST_KEPT = 500_000
 
 def _tools(docs: DataFrame, path: str, pattern: str, most_kept: int = MOST_KEPT):
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(path, pattern, most_kept))
-    return lambda: sent.value.tools()
+
+    def tools() -> tuple[Encoder, Decoder]:
+        return sent.value.tools()
+
+    tools.release = lambda: sent.value.release()
+    return tools
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -344,7 +355,10 @@ def encoded_checked(
     intact: str = "intact",
     most_kept: int = MOST_KEPT,
 ) -> DataFrame:
-    """As ``encoded``, with ``intact``: whether the ids decode to the text's bytes."""
+    """As ``encoded``, with ``intact``: whether the ids decode to the text's bytes.
+
+    For use among other stages: workers outlive a stage, so each task gives its tools back.
+    """
     tools = _tools(docs, path, pattern, most_kept)
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -356,7 +370,8 @@ def encoded_checked(
             same.append(decoder.bytes(found[-1]) == value.encode())
         return [pa.array(found, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
 
-    return added(docs, step, [StructField(ids, ArrayType(IntegerType())), StructField(intact, BooleanType())])
+    fields = [StructField(ids, ArrayType(IntegerType())), StructField(intact, BooleanType())]
+    return added(docs, step, fields, tools.release)
 
 
 #: Columns of ``round_trip``.

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from hubbub.session import shared_dir
 
 #: Bytes of text that one vectorised step takes together; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -54,9 +54,15 @@ def cut(rows: DataFrame) -> DataFrame:
 
 
 def arrow_map(
-    rows: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str
+    rows: DataFrame,
+    step: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: StructType | str,
+    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """``step`` applied to each Arrow batch; a batch is cut to about STEP_BYTES times eight."""
+    """``step`` applied to each Arrow batch; a batch is cut to about STEP_BYTES times eight.
+
+    ``finish`` is called at the end of each task.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,6 +70,8 @@ def arrow_map(
                 out = step(part)
                 if out is not None and out.num_rows:
                     yield out
+        if finish is not None:
+            finish()
 
     return rows.mapInArrow(run, schema)
 
@@ -78,7 +86,7 @@ def small_parts(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
     yield from small_parts(batch.slice(n // 2), limit)
 
 
-def added(rows: DataFrame, step, fields: list[StructField]) -> DataFrame:
+def added(rows: DataFrame, step, fields: list[StructField], finish=None) -> DataFrame:
     """All columns of ``rows`` beside the arrays that ``step(batch)`` returns for ``fields``.
 
     ``step`` gets the columns under their own names. New columns come last; where a name is taken
@@ -93,7 +101,7 @@ def added(rows: DataFrame, step, fields: list[StructField]) -> DataFrame:
         old = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
         return pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
 
-    return arrow_map(rows, run, schema)
+    return arrow_map(rows, run, schema, finish)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ LEVELS = (2, 3)
 SHORT = 160
 SKETCH = 64
 #: Bytes of text that are parsed together.
-STEP = 1 << 20
+STEP = 1 << 19
 
 
 def _run_heads(symbols: np.ndarray, of: np.ndarray) -> np.ndarray:

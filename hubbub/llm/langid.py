@@ -66,7 +66,7 @@ def _lazy(make):
     return get
 
 
-def groups(texts: list, limit: int = 1 << 21):
+def groups(texts: list, limit: int = 1 << 19):
     """Ranges of texts of about ``limit`` characters each."""
     start = size = 0
     for i, t in enumerate(texts):

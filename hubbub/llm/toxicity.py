@@ -27,7 +27,7 @@ WORD_ROWS, CHAR_ROWS = 1 << 13, 1 << 12
 WIDTH, HIDDEN = 8, 8
 MOST_TEXTS, MOST_BYTES = 3_000, 20_000
 #: Text bytes that one vectorised scoring step takes together, and windows in one pass of the network.
-STEP, PASS = 1 << 20, 2048
+STEP, PASS = 1 << 19, 2048
 
 
 def word_kind() -> Words:
