@@ -489,7 +489,8 @@ def _taxonomy(v):
 WITH n AS (
   SELECT user_id, type, topic_id, count(*) AS count FROM (
     SELECT e.user_id, e.type, unnest(i.topics) AS topic_id
-    FROM fx_engagements e JOIN fx_contentinfo i ON e.content_id = i.content_id)
+    FROM fx_engagements e JOIN fx_contentinfo i ON e.content_id = i.content_id
+    WHERE e.target_ref = 'content')
   GROUP BY user_id, type, topic_id),
 t AS (SELECT DISTINCT unnest(topics) AS topic_id FROM fx_contentinfo),
 k AS (SELECT unnest(['comment', 'like', 'quote', 'recast', 'report']) AS type)

@@ -5,6 +5,7 @@ Only the ``@`` placeholders differ between the two engines.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,13 @@ VIEWS = {
 SELECT event_id AS id, user_id,
   CASE event_type WHEN 'view' THEN 'like' WHEN 'click' THEN 'comment' WHEN 'signup' THEN 'recast'
        WHEN 'purchase' THEN 'quote' ELSE 'report' END AS type,
-  'content' AS target_ref, (user_id * 31 + event_id) % 200 AS content_id,
+  CASE WHEN event_id % 41 = 0 THEN 'user' WHEN event_id % 43 = 0 THEN 'comment' ELSE 'content' END
+    AS target_ref,
+  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(n_documents, 5)) END AS content_id,
   ts AS created_at, ts AS updated_at
-FROM {events}""",
+FROM {events} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})""",
     "fx_contents": """
-SELECT doc_id AS content_id, doc_id % 150 AS author_id,
+SELECT doc_id AS content_id, doc_id % (@div(n_documents, 7) + 8) AS author_id,
   CASE doc_id % 3 WHEN 0 THEN 'short' WHEN 1 THEN 'blog' ELSE 'image' END AS type,
   CASE WHEN doc_id % 10 = 0 THEN 'deleted' ELSE 'publish' END AS visibility,
   CASE WHEN doc_id % 29 = 0 THEN NULL ELSE concat(text, ' #', source, ' #', lang) END AS message,
@@ -52,26 +55,28 @@ SELECT doc_id AS content_id, doc_id % 150 AS author_id,
   CAST(doc_id % 2 AS INT) AS version,
   @t0 - (doc_id % 45 + 1) * INTERVAL '1' DAY AS created_at,
   @t0 - (doc_id % 45) * INTERVAL '1' DAY - INTERVAL '1' HOUR AS updated_at
-FROM {documents}""",
+FROM {documents} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})""",
     "fx_users": """
-SELECT c_custkey AS user_id, c_custkey % 100 AS owner_account, c_name AS display_id,
+SELECT c_custkey AS user_id, c_custkey % (@div(n_customers, 15)) AS owner_account, c_name AS display_id,
   CASE WHEN c_custkey % 11 = 0 THEN 'hidden' ELSE 'publish' END AS visibility,
   @t0 - (c_custkey % 365) * INTERVAL '1' DAY AS created_at,
   c_custkey % 500 AS followed_count, c_custkey % 300 AS follower_count
-FROM {customer}""",
+FROM {customer} CROSS JOIN (SELECT count(*) AS n_customers FROM {customer})""",
     "fx_accounts": """
 SELECT c_custkey AS account_id, concat('C', CAST(n_nationkey AS STRING)) AS country_code,
   r_name AS continent_code
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 JOIN {region} ON n_regionkey = r_regionkey
-WHERE c_custkey < 90""",
+WHERE c_custkey % 10 <> 9""",
     "fx_feeditems": """
-SELECT event_id AS id, user_id % 100 AS viewer, (user_id * 31 + event_id) % 200 AS content_id,
+SELECT event_id AS id, user_id % (@div(n_customers, 15)) AS viewer,
+  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(n_documents, 5)) END AS content_id,
   value - 20.0 AS score, CASE WHEN event_id % 2 = 0 THEN 'personal' ELSE 'global' END AS source,
   user_id AS seen_credential, ts AS seen_at,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN ts - @ms
        ELSE ts + @ms END AS off_screen_at, ts AS updated_at
-FROM {events}""",
+FROM {events} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})
+CROSS JOIN (SELECT count(*) AS n_customers FROM {customer})""",
     "fx_contentinfo": """
 SELECT doc_id AS content_id, lang AS language,
   CASE WHEN doc_id % 5 = 0 THEN NULL ELSE @topics END AS topics
@@ -135,9 +140,11 @@ _REFERS_TO = {"fx_suspicious": ("fx_credentials",)}
 
 
 def _fill(text: str, values: dict[str, str]) -> str:
+    """``@`` placeholders by their values; ``@div(a, b)`` is a whole-number division."""
     for name, value in values.items():
         text = text.replace(name, value)
-    return text
+    whole = r"(\1 // \2)" if values is _DUCKDB else r"(\1 DIV \2)"
+    return re.sub(r"@div\((\w+), (\w+)\)", whole, text)
 
 
 def view_over(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
