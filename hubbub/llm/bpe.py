@@ -267,6 +267,7 @@ class Decoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.raw = {i: b for b, i in ranks.items()}
+        self.shown = {i: str(i) for i in self.raw}
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def bytes(self, ids: Iterable[int]) -> bytes:
@@ -391,8 +392,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
         encoder, decoder = tools()
-        raw = decoder.raw
-        shown = {i: str(i) for i in raw}
+        raw, shown = decoder.raw, decoder.shown
         counts, ids_digests, digests = [], [], []
         for value in batch.column(batch.schema.get_field_index(text)):
             n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
