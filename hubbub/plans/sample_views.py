@@ -40,11 +40,11 @@ SELECT event_id AS id, user_id,
        WHEN 'purchase' THEN 'quote' ELSE 'report' END AS type,
   CASE WHEN event_id % 41 = 0 THEN 'user' WHEN event_id % 43 = 0 THEN 'comment' ELSE 'content' END
     AS target_ref,
-  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(n_documents, 5)) END AS content_id,
+  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(@documents, 5)) END AS content_id,
   ts AS created_at, ts AS updated_at
-FROM {events} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})""",
+FROM {events}""",
     "fx_contents": """
-SELECT doc_id AS content_id, doc_id % (@div(n_documents, 7) + 8) AS author_id,
+SELECT doc_id AS content_id, doc_id % (@div(@documents, 7) + 8) AS author_id,
   CASE doc_id % 3 WHEN 0 THEN 'short' WHEN 1 THEN 'blog' ELSE 'image' END AS type,
   CASE WHEN doc_id % 10 = 0 THEN 'deleted' ELSE 'publish' END AS visibility,
   CASE WHEN doc_id % 29 = 0 THEN NULL ELSE concat(text, ' #', source, ' #', lang) END AS message,
@@ -55,13 +55,13 @@ SELECT doc_id AS content_id, doc_id % (@div(n_documents, 7) + 8) AS author_id,
   CAST(doc_id % 2 AS INT) AS version,
   @t0 - (doc_id % 45 + 1) * INTERVAL '1' DAY AS created_at,
   @t0 - (doc_id % 45) * INTERVAL '1' DAY - INTERVAL '1' HOUR AS updated_at
-FROM {documents} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})""",
+FROM {documents}""",
     "fx_users": """
-SELECT c_custkey AS user_id, c_custkey % (@div(n_customers, 15)) AS owner_account, c_name AS display_id,
+SELECT c_custkey AS user_id, c_custkey % (@div(@customers, 15)) AS owner_account, c_name AS display_id,
   CASE WHEN c_custkey % 11 = 0 THEN 'hidden' ELSE 'publish' END AS visibility,
   @t0 - (c_custkey % 365) * INTERVAL '1' DAY AS created_at,
   c_custkey % 500 AS followed_count, c_custkey % 300 AS follower_count
-FROM {customer} CROSS JOIN (SELECT count(*) AS n_customers FROM {customer})""",
+FROM {customer}""",
     "fx_accounts": """
 SELECT c_custkey AS account_id, concat('C', CAST(n_nationkey AS STRING)) AS country_code,
   r_name AS continent_code
@@ -69,14 +69,13 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 JOIN {region} ON n_regionkey = r_regionkey
 WHERE c_custkey % 10 <> 9""",
     "fx_feeditems": """
-SELECT event_id AS id, user_id % (@div(n_customers, 15)) AS viewer,
-  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(n_documents, 5)) END AS content_id,
+SELECT event_id AS id, user_id % (@div(@customers, 15)) AS viewer,
+  CASE WHEN event_id % 4 = 0 THEN 7 ELSE (user_id * 31 + event_id) % (@div(@documents, 5)) END AS content_id,
   value - 20.0 AS score, CASE WHEN event_id % 2 = 0 THEN 'personal' ELSE 'global' END AS source,
   user_id AS seen_credential, ts AS seen_at,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN ts - @ms
        ELSE ts + @ms END AS off_screen_at, ts AS updated_at
-FROM {events} CROSS JOIN (SELECT count(*) AS n_documents FROM {documents})
-CROSS JOIN (SELECT count(*) AS n_customers FROM {customer})""",
+FROM {events}""",
     "fx_contentinfo": """
 SELECT doc_id AS content_id, lang AS language,
   CASE WHEN doc_id % 5 = 0 THEN NULL ELSE @topics END AS topics
@@ -140,11 +139,15 @@ _REFERS_TO = {"fx_suspicious": ("fx_credentials",)}
 
 
 def _fill(text: str, values: dict[str, str]) -> str:
-    """``@`` placeholders by their values; ``@div(a, b)`` is a whole-number division."""
+    """``@`` placeholders by their values.
+
+    ``@div(a, b)`` is a whole-number division, ``@documents`` and ``@customers`` are row counts.
+    """
     for name, value in values.items():
         text = text.replace(name, value)
     whole = r"(\1 // \2)" if values is _DUCKDB else r"(\1 DIV \2)"
-    return re.sub(r"@div\((\w+), (\w+)\)", whole, text)
+    text = re.sub(r"@div\((@\w+), (\d+)\)", whole, text)
+    return re.sub(r"@(documents|customer)s?\b", r"(SELECT count(*) FROM {\1})", text)
 
 
 def view_over(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
@@ -171,7 +174,8 @@ class Views:
         view = f"fx_{name}"
         if view not in VIEWS:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        tables = {t: getattr(self, t) for t in SOURCE_TABLES if f"{{{t}}}" in VIEWS[view]}
+        text = _fill(VIEWS[view], _SPARK)
+        tables = {t: getattr(self, t) for t in SOURCE_TABLES if f"{{{t}}}" in text}
         tables |= {v: getattr(self, v[3:]) for v in _REFERS_TO.get(view, ())}
         return view_over(self.spark, name, **tables)
 
