@@ -16,6 +16,10 @@ from hubbub.llm.queries import QUALITY_CUT, TOXIC_CUT
 from hubbub.session import tune
 
 
+#: Documents for which a further output file is worth while.
+DOCUMENTS_PER_FILE = 2_000
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that the quality classifier rejects."""
     tune(spark)
@@ -36,7 +40,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = minhash.clustered(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     named = docs.where(F.col("doc_id").isNotNull())
     single = named.join(kept, named["doc_id"] == kept["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(docs.where(F.col("doc_id").isNull()))
+    out = single.unionByName(docs.where(F.col("doc_id").isNull()))
+    return out.coalesce(1 + docs.count() // DOCUMENTS_PER_FILE)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +60,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     found = bpe.encoded_checked(
-        docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, most_kept=120_000
+        docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, most_kept=60_000
     )
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "intact")
 

@@ -48,6 +48,8 @@ BANDS, ROWS = 60, 6
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 #: Rows in one file of an intermediate table of members, and of their sets.
 MEMBERS_PER_FILE, SETS_PER_FILE = 200_000, 2_000
+#: Result rows for which a further task is worth while.
+ROWS_PER_FILE = 100_000
 #: Size of the filter that spares most texts the shuffle: 4 MB.
 FILTER_BITS = 1 << 25
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -367,6 +369,7 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
         .select("content", F.coalesce("component_id", "key").alias("component_id"))
     )
     out = rows.select("key", "n_shingles", "content").join(of_node, "content", "left")
+    out = out.coalesce(1 + rows.count() // ROWS_PER_FILE)  # narrow rows: no more tasks than that
     component = F.coalesce("component_id", "key")
     return out.select(
         F.col("key").alias(key),
