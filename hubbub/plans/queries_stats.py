@@ -10,6 +10,7 @@ from hubbub.functions.times import moment
 from hubbub.operators import engagement, feed, stats, upsert
 from hubbub.plans.registry import query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
+from hubbub.sources.documents import to_documents
 
 AGE = "exp(-ln(2) / 24 * (epoch_us(@t0) // 1000 - epoch_us({0}) // 1000) / 3600000.0)"
 
@@ -155,6 +156,36 @@ def creator_type_scores(v):
     return stats.creator_type_scores(stats.creator_stats(v.contents, v.users, v.accounts, AS_OF))
 
 
+@query(
+    _creator_sql(
+        """
+SELECT j.author_id AS id, owner_account, country_code, CAST(j.n AS BIGINT) AS contents,
+  CAST(j.l AS BIGINT) AS liked, round(j.age, 6) AS age, round(j.followed, 6) AS followed, s.type,
+  s.n AS type_count, CAST(s.eng AS DOUBLE) AS type_engagement
+FROM j JOIN s ON j.author_id = s.author_id""",
+        _DOCUMENTED,
+    )
+)
+def creator_documents(v):
+    """Creator statistics in the nested layout of their collection, read back field by field."""
+    rows = stats.creator_stats(v.contents, v.users, v.accounts, AS_OF)
+    return to_documents("creatorStats", rows).select(
+        F.col("_id").alias("id"),
+        F.col("ownerAccount").alias("owner_account"),
+        F.col("geolocation.countryCode").alias("country_code"),
+        F.col("contentCount").alias("contents"),
+        F.col("creatorLikedCount").alias("liked"),
+        F.col("aggregator.ageScore").alias("age"),
+        F.col("aggregator.followedScore").alias("followed"),
+        F.explode("summary").alias("part"),
+    ).select(
+        "*",
+        F.col("part.type").alias("type"),
+        F.col("part.typeCount").alias("type_count"),
+        F.col("part.aggregator.engagementScore").alias("type_engagement"),
+    ).drop("part")
+
+
 _USES = """
 WITH e AS (
   SELECT content_id, author_id, version, created_at, updated_at, coalesce(like_count, 0) AS l,
