@@ -49,9 +49,16 @@ def named_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder every executor can reach: the named one, else one in the warehouse."""
+    """A folder every executor can reach: the named one, else one in the warehouse.
+
+    A local session is one process, so its own temporary folder will do.
+    """
+    named = named_dir(spark)
+    if named is None and spark.sparkContext.master.startswith("local["):
+        own = spark.sparkContext.applicationId
+        return f"{spark._jvm.System.getProperty('java.io.tmpdir')}/hubbub-{own}"
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    return named_dir(spark) or f"{warehouse.rstrip('/')}/_shared"
+    return named or f"{warehouse.rstrip('/')}/_shared"
 
 
 def saved(rows: DataFrame) -> DataFrame:
