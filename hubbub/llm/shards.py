@@ -160,7 +160,7 @@ def sharded(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str =
             items[name] = None
     items["content"] = [None if x is None or isinstance(x, float) else bytes(x) for x in items["content"]]
     for name in ("bucket", "block", "piece"):
-        items[name] = items[name].fillna(-1).astype("int64")
+        items[name] = pd.to_numeric(items[name], errors="coerce").fillna(-1).astype("int64")
     items["order"] = [x or b"" for x in items["content"]]
     items = items.sort_values(["bytes", "bucket", "block", "piece", "order"], ascending=[False, True, True, True, True])
     _, bins = least_capacity([int(x) for x in items["bytes"]], shards)
