@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from hubbub.llm.common import Words, added, arrow_map, ascii_lowered, byte_set, run_names, steps, text_bytes
+from hubbub.llm.common import Words, added, ascii_lowered, byte_set, run_names, steps, text_bytes
 
 #: Benchmark words in one broadcast slice: about 100 MB in a task.
 SLICE_WORDS = 1_000_000
