@@ -45,6 +45,18 @@ def written(rows: DataFrame, files: int | None = None) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def stored(rows: DataFrame, path: str, *by: str) -> DataFrame:
+    """Rows written to ``path``, a folder for each value of the columns ``by``, and read back."""
+    rows.write.partitionBy(*by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Removes what ``stored`` wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(rows: DataFrame) -> DataFrame:
     """Rows checkpointed in the shared folder."""
     context = rows.sparkSession.sparkContext

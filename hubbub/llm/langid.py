@@ -7,8 +7,11 @@ among the language's trigrams is at least ``1 / keep_ratio`` of the trigram's la
 over all training rows. Per text, the number of trigrams each language contains is corrected for the
 filter's false positives, whose rate is known from the share of set bits.
 
-The filter is or-ed together in Spark, slot by slot; the driver gets it whole, ``2**MOST_BITS`` masks
-at most, however large the corpus is.
+The number of slots follows the number of trigrams, ``SLOTS_PER_GRAM`` each at least, so the rate of false
+positives stays the same however large the corpus is. The trigrams are dealt by hash into slices of
+``2**MOST_BITS`` slots at most. A slice is or-ed together in Spark, slot by slot; the driver and each worker
+hold one at a time. Each slice but the last is a pass over the texts of its own, and what it finds in a
+text is written beside it and added up.
 
 Null texts and texts without a letter are ``und`` with score 0; so is everything if no row could be
 learnt from. Rows whose language is null are not learnt from. Ties go to the language with most
@@ -18,18 +21,22 @@ training rows, then by name.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
 
-from hubbub.llm.common import added, arrow_map, mixed
+from hubbub.llm.common import added, arrow_map, dropped, mixed, shared_folder, stored
 
 HASHES = 2
+SLOTS_PER_GRAM = 8
+#: Slots of one slice, as powers of two.
 LEAST_BITS, MOST_BITS = 16, 22
 SLOT_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+SLICE_SEED = 0xD6E8FEB86659FD93
 UNDETERMINED = "und"
 
 
@@ -54,6 +61,10 @@ def slots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(mixed(keys * np.uint64(seed)) >> np.uint64(64 - bits)).astype(np.int64) for seed in SLOT_SEEDS]
 
 
+def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
+    return (mixed(keys * np.uint64(SLICE_SEED)) % np.uint64(slices)).astype(np.int64)
+
+
 def _lazy(make):
     """A value that each worker makes when first asked."""
     made: list = []
@@ -86,22 +97,37 @@ class Filter:
         words = [(masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1) for i in range(len(languages))]
         self.wrong = np.array([w.mean() ** HASHES for w in words])
 
-    def shares(self, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Corrected share of each text's trigrams that each language contains."""
+    def hits(self, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Corrected number of each text's trigrams that each language contains."""
         places = slots(keys, self.bits)
         out = np.zeros((len(before) - 1, len(self.languages)))
-        n = np.maximum(np.diff(before), 1)
+        n = np.diff(before)[:, None]
         for w in range(len(self.masks)):
             found = self.masks[w][places[0]]
             for p in places[1:]:
                 found = found & self.masks[w][p]
             for i in range(64 * w, min(64 * w + 64, len(self.languages))):
                 total = np.concatenate([[0], np.cumsum((found >> np.uint64(i % 64)) & np.uint64(1), dtype=np.int64)])
-                out[:, i] = (total[before[1:]] - total[before[:-1]]) / n
-        return np.clip((out - self.wrong) / np.maximum(1 - self.wrong, 1e-9), 0, 1)
+                out[:, i] = total[before[1:]] - total[before[:-1]]
+        return (out - n * self.wrong) / np.maximum(1 - self.wrong, 1e-9)
+
+    def shares(self, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Corrected share of each text's trigrams that each language contains."""
+        return as_shares(self.hits(keys, before), before)
+
+
+def as_shares(hits: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return np.clip(hits / np.maximum(np.diff(before), 1)[:, None], 0, 1)
 
 
-def fitted(training: DataFrame, keep_ratio: float = 4.0, text: str = "text", lang: str = "lang") -> Filter:
+class Model:
+    """Languages, and the filter in slices that are made when asked for."""
+
+    def __init__(self, languages: list[str], slices: int, make: Callable[[int], Filter]):
+        self.languages, self.slices, self.slice = languages, slices, make
+
+
+def fitted(training: DataFrame, keep_ratio: float = 4.0, text: str = "text", lang: str = "lang") -> Model:
     """The filter of all training rows."""
     rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
@@ -136,13 +162,15 @@ def fitted(training: DataFrame, keep_ratio: float = 4.0, text: str = "text", lan
     languages = [r.lang for r in order]
     if not languages:
         counts.unpersist()
-        return Filter([], np.zeros((1, 1), np.uint64), 1)
+        return Model([], 1, lambda _: Filter([], np.zeros((0, 2), np.uint64), 1))
     total = F.create_map(*[F.lit(x) for r in order for x in (r.lang, float(r.n))])
     share = F.col("n") / total[F.col("lang")]
     top = counts.groupBy("gram").agg(F.max(share).alias("top"))
     kept = counts.join(top, "gram").where(share * keep_ratio >= F.col("top"))
     n_grams = top.count()
-    bits = int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(8 * n_grams + 1)))))
+    wanted = SLOTS_PER_GRAM * n_grams + 1
+    slices = -(-wanted // (1 << MOST_BITS))
+    bits = int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(wanted / slices)))))
     number = F.create_map(*[F.lit(x) for i, name in enumerate(languages) for x in (name, i)])
 
     def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -151,45 +179,97 @@ def fitted(training: DataFrame, keep_ratio: float = 4.0, text: str = "text", lan
         places = slots(keys, bits)
         return pa.RecordBatch.from_arrays(
             [
+                pa.array(np.tile(slice_of(keys, slices).astype(np.int32), HASHES)),
                 pa.array(np.concatenate(places)),
                 pa.array(np.tile(number_of // 64, HASHES)),
                 pa.array(np.tile(np.int64(1) << (number_of % 64).astype(np.int64), HASHES)),
             ],
-            names=["slot", "word", "mask"],
+            names=["slice", "slot", "word", "mask"],
         )
 
     chosen = kept.select("gram", number[F.col("lang")].cast("int").alias("number"))
-    filled = arrow_map(chosen, placed, "slot long, word int, mask long").groupBy("slot", "word").agg(
-        F.expr("bit_or(mask)").alias("mask")
-    )
-    masks = np.zeros(((len(languages) + 63) // 64, 1 << bits), np.uint64)
-    got = filled.toArrow()
-    masks[got["word"].to_numpy(), got["slot"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+    filled = arrow_map(chosen, placed, "slice int, slot long, word int, mask long")
+    filled = filled.groupBy("slice", "slot", "word").agg(F.expr("bit_or(mask)").alias("mask"))
+
+    def made(rows: DataFrame) -> Filter:
+        masks = np.zeros(((len(languages) + 63) // 64, 1 << bits), np.uint64)
+        got = rows.select("slot", "word", "mask").toArrow()
+        masks[got["word"].to_numpy(), got["slot"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+        return Filter(languages, masks, bits)
+
+    if slices == 1:
+        whole = made(filled)
+        counts.unpersist()
+        return Model(languages, 1, lambda _: whole)
+    path = shared_folder(training.sparkSession)
+    kept_slots = stored(filled.repartition("slice"), path, "slice")
     counts.unpersist()
-    return Filter(languages, masks, bits)
+    return Model(languages, slices, lambda i: made(kept_slots.where(F.col("slice") == i)))
 
 
-def identified(docs: DataFrame, model: Filter, text: str = "text") -> DataFrame:
+def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns with ``lang_pred`` and ``score``, the chosen language's part of all shares."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    letters = _lazy(letter_table)
-
-    def step(batch: pa.RecordBatch) -> list[pa.Array]:
-        known: Filter = sent.value
-        texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        names, scores = [], []
-        for a, b in groups(texts):
-            keys, before = trigrams(texts[a:b], letters())
-            n = np.diff(before)
-            if not known.languages:
-                names += [UNDETERMINED] * len(n)
-                scores += [0.0] * len(n)
-                continue
-            shares = known.shares(keys, before)
-            best = shares.argmax(axis=1)
-            score = shares[np.arange(len(n)), best] / np.maximum(shares.sum(axis=1), 1e-12)
-            names += [known.languages[i] if m else UNDETERMINED for i, m in zip(best, n)]
-            scores += np.where(n > 0, score, 0.0).tolist()
-        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-
-    return added(docs, step, [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    spark, letters = docs.sparkSession, _lazy(letter_table)
+    languages, slices = model.languages, model.slices
+    so_far = "_hits"
+    while so_far in docs.columns:
+        so_far += "_"
+
+    def pass_of(number: int, sent):
+        """What the slices up to this one find in each text of a batch, with the texts' trigram bounds."""
+
+        def found(batch: pa.RecordBatch):
+            known: Filter = sent.value
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            old = None
+            if number:
+                old = batch.column(batch.schema.get_field_index(so_far)).flatten().to_numpy().reshape(len(texts), -1)
+            for a, b in groups(texts):
+                keys, before = trigrams(texts[a:b], letters())
+                own_keys, own_before = keys, before
+                if slices > 1:
+                    mine = slice_of(keys, slices) == number
+                    own_keys, own_before = keys[mine], np.concatenate([[0], np.cumsum(mine)])[before]
+                hits = known.hits(own_keys, own_before)
+                yield before, hits if old is None else hits + old[a:b]
+
+        return found
+
+    def counting(found):
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            hits = np.concatenate([h for _, h in found(batch)])
+            bounds = np.arange(len(hits) + 1, dtype=np.int32) * np.int32(len(languages))
+            return [pa.ListArray.from_arrays(pa.array(bounds), pa.array(hits.ravel()))]
+
+        return step
+
+    def deciding(found):
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            names, scores = [], []
+            for before, hits in found(batch):
+                n = np.diff(before)
+                if not languages:
+                    names += [UNDETERMINED] * len(n)
+                    scores += [0.0] * len(n)
+                    continue
+                shares = as_shares(hits, before)
+                best = shares.argmax(axis=1)
+                score = shares[np.arange(len(n)), best] / np.maximum(shares.sum(axis=1), 1e-12)
+                names += [languages[i] if m else UNDETERMINED for i, m in zip(best, n)]
+                scores += np.where(n > 0, score, 0.0).tolist()
+            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+
+        return step
+
+    rows, last_path = docs, None
+    for number in range(slices - 1):
+        sent, path = spark.sparkContext.broadcast(model.slice(number)), shared_folder(spark)
+        counted = added(rows, counting(pass_of(number, sent)), [StructField(so_far, ArrayType(DoubleType()))])
+        rows = stored(counted, path)
+        sent.destroy()
+        if last_path is not None:
+            dropped(spark, last_path)
+        last_path = path
+    sent = spark.sparkContext.broadcast(model.slice(slices - 1))
+    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return added(rows, deciding(pass_of(slices - 1, sent)), fields).drop(so_far)

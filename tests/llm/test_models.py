@@ -110,3 +110,23 @@ def test_filter_finds_all_languages():
     model = langid.Filter([str(i) for i in range(71)], masks, 14)
     shares = model.shares(keys[:500], np.array([0, 500]))
     assert shares[0, 0] == 1 and abs(shares[0, 70] - 0.2) < 0.05
+
+
+def test_language_filter_grows_with_its_trigrams(spark, monkeypatch):
+    """One language has more distinct trigrams than a slice has slots; two have few."""
+    monkeypatch.setattr(langid, "LEAST_BITS", 12)
+    monkeypatch.setattr(langid, "MOST_BITS", 12)
+    rng = np.random.default_rng(5)
+    kinds = {"zh": (0x4E00, 40), "ja": (0x5600, 2), "ko": (0xAC00, 2)}
+    own = {k: ["".join(map(chr, rng.integers(first, first + 2000, 300))) for _ in range(n)] for k, (first, n) in kinds.items()}
+    rows = [(k, t) for k, texts in own.items() for t in texts]
+    model = langid.fitted(spark.createDataFrame(rows, "lang string, text string"))
+    asked = [(k, t[i : i + 40]) for k, texts in own.items() for t in texts[:10] for i in range(0, 260, 20)]
+    asked += [(langid.UNDETERMINED, None), (langid.UNDETERMINED, "1 2")]
+    found = langid.identified(spark.createDataFrame(asked, "_hits string, text string"), model)
+    assert found.columns == ["_hits", "text", "lang_pred", "score"]
+    got = found.collect()
+    assert len(got) == len(asked) and [r for r in got if r.lang_pred != r["_hits"]] == []
+    # A slice holds no more slots than it may, and no language is found everywhere.
+    some = model.slice(0)
+    assert some.masks.shape[1] <= 1 << 12 and some.wrong.max() < 0.08
