@@ -8,7 +8,7 @@ equal substrings get the same phrases, and the same phrases of phrases, except n
 whatever offset they stand.
 
 The fingerprint of a text is the sketch of its phrase names at levels ``LEVELS``, and of phrases that
-repeat side by side: the smallest ``SKETCH`` hashes. Likeness is the estimated overlap of two sets of phrases relative to their union.
+repeat side by side: the smallest ``SKETCH`` hashes. Texts of all lengths follow this one rule. Likeness is the estimated overlap of two sets of phrases relative to their union.
 
 Null texts count as empty. Equal texts have equal fingerprints. A text without phrases has the empty
 fingerprint; two of those are alike (1), and one is unlike any other (0). Repeated rows are neighbours
@@ -26,9 +26,7 @@ from pyspark.sql import functions as F
 
 from hubbub.llm.common import mixed, small_parts
 
-LEVELS = (2, 3)
-#: Texts of fewer bytes have few phrases: theirs of level 1 count as well.
-SHORT = 160
+LEVELS = (1, 2, 3)
 SKETCH = 64
 #: Bytes of text that are parsed together.
 STEP = 1 << 19
@@ -90,10 +88,9 @@ def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted sketch of each text."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    short = np.array([len(t) < SHORT for t in texts])
     symbols = mixed(data.astype(np.uint64) + np.uint64(1))
     kept_of, kept = [], []
-    for level in range(1, max(LEVELS) + 1):
+    for level in LEVELS:
         if not len(symbols):
             break
         below, of_below = symbols, of
@@ -101,9 +98,8 @@ def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
         if level > 1:  # a run is one symbol with its length; what it repeats counts too
             kept.append(below[repeated] >> np.uint64(32))
             kept_of.append(of_below[repeated])
-        mine = slice(None) if level in LEVELS else short[of]
-        kept.append((symbols[mine] + np.uint64(level)) >> np.uint64(32))
-        kept_of.append(of[mine])
+        kept.append((symbols + np.uint64(level)) >> np.uint64(32))
+        kept_of.append(of)
     if not kept:
         return [np.zeros(0, np.uint32)] * len(texts)
     keys = np.unique(np.concatenate(kept_of).astype(np.uint64) << np.uint64(32) | np.concatenate(kept))

@@ -57,3 +57,16 @@ def test_parsing_cost_falls_by_level():
         symbols, of, _ = f._phrases(symbols, of)
         sizes.append(len(symbols))
     assert all(b < a / 2 for a, b in zip(sizes, sizes[1:]))
+
+
+def test_one_rule_for_all_lengths(docs_of):
+    random.seed(6)
+    words = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(random.choices(words, k=60))[:300] for _ in range(30)]
+    for n in (60, 120, 158, 200, 290):
+        alike = [f.likeness(*f.fingerprints([t[:n].encode(), t[: n + 4].encode()])) for t in texts]
+        assert min(alike) > 0.6, n
+    # The edited text, without anything to follow it, is shorter than 160 bytes.
+    rows = [(2 * i + d, t[:200] if d else "") for i, t in enumerate(texts) for d in (0, 1)]
+    near = [r.near_edited for r in f.compared(docs_of(rows), 3).collect() if r.n_chars]
+    assert len(near) == len(texts) and min(near) > 0.45
