@@ -9,7 +9,7 @@ from hubbub.plans import (  # noqa: F401
     queries_streaming,
     queries_text,
 )
-from hubbub.plans.registry import ORACLES, QUERIES
+from hubbub.plans.registry import ORACLES, QUERIES, ROWS
 
 
 def queries():
@@ -18,3 +18,7 @@ def queries():
 
 def oracles() -> dict[str, str]:
     return dict(ORACLES)
+
+
+def row_queries():
+    return dict(ROWS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hubbub.functions.constants import CONTENT_FEATURES
 from hubbub.operators import clusters, engagement, features, models, ordering, recommend, stats
 from hubbub.plans.queries_stats import age
-from hubbub.plans.registry import query
+from hubbub.plans.registry import query, rows_query
 from hubbub.plans.sample_views import AS_OF, duckdb_sql
 from hubbub.session import saved
 
@@ -259,6 +259,14 @@ def country_models(v):
     return _checked_models(fitted, training, "country_code")
 
 
+@rows_query
+def country_model_rows(v):
+    """Intercept and coefficients of each model, beside the residual of its normal equations."""
+    training = saved(_country_training(v))
+    fitted = models.fit_per_key(training, "country_code", CONTENT_FEATURES, "label", AS_OF)
+    return models.normal_residuals(fitted, training, "country_code", CONTENT_FEATURES, "label")
+
+
 @query(
     duckdb_sql(
         f"""
@@ -271,14 +279,26 @@ FROM ae WHERE account_id IN (SELECT account_id FROM t) GROUP BY account_id""",
     )
 )
 def account_models(v):
+    training = _account_training(v)
+    fitted = models.fit_per_key(training, "account_id", CONTENT_FEATURES, "label", AS_OF)
+    return _checked_models(fitted, training, "account_id")
+
+
+@rows_query
+def account_model_rows(v):
+    """Intercept and coefficients of each model, beside the residual of its normal equations."""
+    training = _account_training(v)
+    fitted = models.fit_per_key(training, "account_id", CONTENT_FEATURES, "label", AS_OF)
+    return models.normal_residuals(fitted, training, "account_id", CONTENT_FEATURES, "label")
+
+
+def _account_training(v):
     rows = saved(features.account_engagement(v.engagements, v.users))
     trainable = features.eligible_accounts(rows).select("account_id")
     labelled = features.weighted_label(
         rows.join(trainable, "account_id", "left_semi"), "account_id"
     )
-    training = saved(features.with_features(labelled, _content_features(v)))
-    fitted = models.fit_per_key(training, "account_id", CONTENT_FEATURES, "label", AS_OF)
-    return _checked_models(fitted, training, "account_id")
+    return saved(features.with_features(labelled, _content_features(v)))
 
 
 _TRAINED = f"""
@@ -475,6 +495,13 @@ def member_recommendations(v):
     )
 
 
+@rows_query
+def member_recommendation_rows(v):
+    """The best contents of each person, with their scores."""
+    scores, people, items = recommend.member_recommendations(saved(_pairs(v)), k=10)
+    return scores.join(people, "user").join(items, "content").select("person_id", "content_id", "score")
+
+
 def _topic_counts(v):
     return engagement.user_topic_engagement(v.engagements, v.contentinfo)
 
@@ -523,3 +550,11 @@ def user_clusters(v):
     places = clusters.topic_places(counts, _taxonomy(v))
     labels = clusters.user_clusters(clusters.user_topic_vectors(counts, places), AS_OF, k=7)
     return labels.select("user_id", "model", "predicted_at", F.col("user_class").between(0, 6).alias("labelled"))
+
+
+@rows_query
+def user_cluster_rows(v):
+    """The cluster of each user."""
+    counts = saved(_topic_counts(v))
+    places = clusters.topic_places(counts, _taxonomy(v))
+    return clusters.user_clusters(clusters.user_topic_vectors(counts, places), AS_OF, k=7)

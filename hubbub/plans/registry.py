@@ -13,6 +13,8 @@ from hubbub.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Queries whose rows have no SQL form.
+ROWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -41,3 +43,9 @@ def query(sql: str | None = None, digits: int = 6):
         return run
 
     return register
+
+
+def rows_query(run: Callable[[Views], DataFrame]):
+    """Register ``run(views) -> DataFrame``, unrounded and without a SQL counterpart."""
+    ROWS[run.__name__] = lambda spark, sf_dir: run(Views(tune(spark), sf_dir))
+    return run
