@@ -1,17 +1,18 @@
 """Collocations of each language, counted by multikey quicksort of suffix pointers.
 
 Texts are lower-cased (A-Z), split into pieces at ``[.,;:!?\\x0A-\\x0D]`` and pieces into words
-``[^\\x20\\x09]+``. Every word begins a suffix, cut after ``longest`` words or at the end of its piece.
-Suffixes go to tasks by language and leading words (two, where there are two), equal ones of a chunk of
-texts already added up. There a multikey three-way quicksort orders pointers to them, word by word to the
-full depth: the pointers equal to the pivot at depth d share their first d words, so their weight is the
-count of that phrase. A part below ``least`` is given up at once, with all its longer phrases.
-
-All suffixes of two leading words meet in one task, so counts there are whole. Leading words that are much
-of a whole chunk anywhere (at most ``HOT`` of them, taken from a first pass that also counts single words)
-are spread over ``SALTS`` places by their third word, so a phrase longer than the lead is still whole in
-one place; the counts of the lead itself are added up afterwards. A task takes its suffixes in the order of
-their places and sorts some ``CHUNK_ROWS`` at a time, cut only between places.
+``[^\\x20\\x09]+``. Every word with another one after it begins a suffix, cut after ``longest`` words or at
+the end of its piece. Suffixes go to buckets by language and their two leading words, equal ones of a chunk
+of texts already added up; those of a bucket travel as one block of lines. In a bucket a multikey three-way
+quicksort orders pointers to the suffixes, word by word to the full depth: the pointers equal to the pivot
+at depth d share their first d words, so their weight is the count of that phrase. A part below ``least`` is
+given up at once, with all its longer phrases.
+
+All suffixes of two leading words meet in one bucket, so counts there are whole. A first pass counts single
+words; their number sets the number of buckets, so that a bucket holds some ``BUCKET_WORDS`` words at any
+size of the corpus. It also notes leading words that are much of a whole chunk (the ``HOT`` most frequent
+ones are taken). These are spread over ``SALTS`` buckets by their third word: a phrase longer than the lead
+is still whole in one place, and the counts of the lead itself are added up afterwards.
 
 ``candidates`` are phrases of two words or more with at least ``least`` occurrences. A cut after the first
 k words has the score floor(10^6 a^2 / (l r)), in decimal arithmetic, exact for counts below 10^16; the
@@ -23,6 +24,7 @@ are ignored. An empty table, and one whose phrases are all rare, gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,13 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hubbub.llm.common import ascii_lowered, byte_set, text_bytes, written
+from hubbub.llm.common import Words, ascii_lowered, byte_set, mixed, odd_weights, text_bytes, written
 
 LONGEST, LEAST, TOP = 3, 10, 2000
 #: Most leading words that are spread, the places of each, and the share of a chunk that makes one hot.
 HOT, SALTS, HOT_SHARE = 4096, 64, 1 / 2048
-#: Bytes of text whose suffixes are added up together, and suffix rows that are sorted together.
-CHUNK_BYTES, CHUNK_ROWS = 1 << 24, 1 << 20
+#: Bytes of text whose suffixes are added up together, words of the corpus per bucket, and single words
+#: that a task adds up before it passes them on.
+CHUNK_BYTES, BUCKET_WORDS, MOST_SINGLE = 1 << 22, 1 << 18, 1 << 18
 #: Below this many pointers a part is put in order at once instead of being split further.
 SMALL = 4096
 
@@ -58,16 +61,16 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.nda
     starts = np.flatnonzero(opens)
     if len(starts) == 0:
         return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    kept = _LOWERED[data[inside[:-1]]]
-    ends = np.append(np.cumsum(inside[:-1])[starts] - 1, len(kept)).astype(np.int32)
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept)))
+    kept = np.ascontiguousarray(_LOWERED[data[inside[:-1]]])
+    ends = np.append((np.cumsum(inside[:-1], dtype=np.int32) - 1)[starts], np.int32(len(kept)))
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(kept))
     encoded = words.dictionary_encode()
-    text = np.searchsorted(offsets, starts, side="right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
     # A piece ends with its text, or where a break lies between two words.
-    breaks = np.append(0, np.cumsum(_BREAKS[data]))
-    piece = np.cumsum(np.append(True, (np.diff(breaks[starts]) > 0) | (np.diff(text) > 0)))
-    last = np.append(np.flatnonzero(np.diff(piece)), len(piece) - 1)
-    follow = last[piece - 1] - np.arange(len(piece))
+    breaks = np.append(np.int32(0), np.cumsum(_BREAKS[data], dtype=np.int32))[starts]
+    final = np.append((breaks[1:] != breaks[:-1]) | (text[1:] != text[:-1]), True)
+    last = np.flatnonzero(final)
+    follow = np.repeat(last, np.diff(np.append(-1, last))) - np.arange(len(starts))
     return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary, text, follow
 
 
@@ -91,22 +94,22 @@ def _joined(held: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
     return whole.column(0).combine_chunks(), whole.column(1).combine_chunks()
 
 
-def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each different combination of keys, in their order, and how often it stands."""
-    code, size = keys[0], int(keys[0].max(initial=0)) + 2
-    for key in keys[1:]:
-        more = int(key.max(initial=0)) + 2
-        if size * more >= 1 << 62:
-            code = None
-            break
-        code, size = code * more + key + 1, size * more
-    order = np.lexsort(keys[::-1]) if code is None else np.argsort(code, kind="stable")
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for key in keys:
-        new[1:] |= np.diff(key[order]) != 0
-    at = np.flatnonzero(new)
-    return order[at], np.diff(np.append(at, len(order)))
+def _runs(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each different combination of keys (-1 or more), and how often it stands."""
+    sizes = [int(key.max(initial=0)) + 2 for key in keys]
+    if math.prod(sizes) >= 1 << 62:
+        found = pa.table([pa.array(k) for k in keys], names=[str(i) for i in range(len(keys))])
+        found = found.group_by(found.column_names).aggregate([([], "count_all")])
+        return [found.column(str(i)).to_numpy() for i in range(len(keys))], found.column("count_all").to_numpy()
+    code = keys[0] + 1
+    for key, size in zip(keys[1:], sizes[1:]):
+        code = code * size + key + 1
+    found = pc.value_counts(pa.array(code))
+    code, out = found.field(0).to_numpy(), []
+    for size in sizes[:0:-1]:
+        code, rest = np.divmod(code, size)
+        out.append(rest - 1)
+    return [code - 1, *out[::-1]], found.field(1).to_numpy()
 
 
 def _local(langs: pa.Array, texts: pa.Array):
@@ -117,32 +120,55 @@ def _local(langs: pa.Array, texts: pa.Array):
 
 
 def single_words(docs: DataFrame) -> DataFrame:
-    """``lang, phrase, hot, a``: words of each chunk with their counts, and its leading word pairs of note."""
+    """``lang, phrase, hot, a``: words with their counts, and each chunk's leading word pairs of note."""
+    names = ["lang", "phrase", "hot", "a"]
+
+    def rows(lang, phrase, hot, n):
+        return pa.table([lang, phrase, pa.array(np.full(len(n), hot)), pa.array(n, pa.int64())], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for langs, texts in chunks(batches):
             ids, words, lang, named, follow = _local(langs, texts)
-            if len(ids) == 0:
-                continue
-            at, n = _runs(lang, ids)
-            yield _rows(named.take(pa.array(lang[at])), words.take(pa.array(ids[at])), np.zeros(len(at), bool), n)
+            (of, word), n = _runs(lang, ids)
+            held.append(rows(named.take(pa.array(of)), words.take(pa.array(word)), False, n))
             lead = np.flatnonzero(follow >= 1)
-            at, n = _runs(lang[lead], ids[lead], ids[lead + 1])
-            noted = n >= HOT_SHARE * len(ids)
-            at, n = lead[at[noted]], n[noted]
-            phrase = pc.binary_join_element_wise(words.take(pa.array(ids[at])), words.take(pa.array(ids[at + 1])), " ")
-            yield _rows(named.take(pa.array(lang[at])), phrase, np.ones(len(at), bool), n)
-
-    def _rows(lang, phrase, hot, n):
-        return pa.RecordBatch.from_arrays(
-            [lang, phrase, pa.array(hot), pa.array(n, pa.int64())], names=["lang", "phrase", "hot", "a"]
-        )
+            (of, first, second), n = _runs(lang[lead], ids[lead], ids[lead + 1])
+            at = np.flatnonzero(n >= HOT_SHARE * len(ids))
+            phrase = pc.binary_join_element_wise(words.take(pa.array(first[at])), words.take(pa.array(second[at])), " ")
+            held.append(rows(named.take(pa.array(of[at])), phrase, True, n[at]))
+            if sum(t.num_rows for t in held) >= MOST_SINGLE:
+                held = [pa.concat_tables(held).group_by(names[:3]).aggregate([("a", "sum")]).rename_columns(names)]
+                if held[0].num_rows >= MOST_SINGLE // 2:
+                    yield from held.pop().combine_chunks().to_batches()
+        if held:
+            whole = pa.concat_tables(held).group_by(names[:3]).aggregate([("a", "sum")]).rename_columns(names)
+            yield from whole.combine_chunks().to_batches()
 
     return docs.mapInArrow(run, "lang string, phrase string, hot boolean, a long")
 
 
-def suffixes(docs: DataFrame, longest: int) -> DataFrame:
-    """``lang, lead, rest, a``: suffixes of two words or more, equal ones of a chunk added up."""
+def _named(words: pa.Array) -> np.ndarray:
+    """A number for each string, the same in all tasks; equal numbers only share a bucket."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return Words(np.ones(256, bool), np.arange(256, dtype=np.uint8)).names(data, at[:-1] - at[0], at[1:] - at[0])
+
+
+def _lead_names(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    a, b, c = odd_weights(3)
+    return mixed(lang * a + first * b + second * c)
+
+
+def suffixes(docs: DataFrame, longest: int, buckets: int, hot: list[tuple[str, str]]) -> DataFrame:
+    """``bucket, salted, lang, lines, a``: suffixes of a chunk, equal ones added up, by bucket.
+
+    ``lines`` has the words of a suffix on each line, ``a`` their counts as 32-bit numbers.
+    """
+    split = [pair.split(" ") for _, pair in hot]
+    noted = [pa.array(x, pa.string()) for x in ([lang for lang, _ in hot], [p[0] for p in split], [p[1] for p in split])]
+    noted = np.unique(_lead_names(*[_named(x) for x in noted]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in chunks(batches):
@@ -152,28 +178,37 @@ def suffixes(docs: DataFrame, longest: int) -> DataFrame:
                 continue
             steps = [lang[lead], ids[lead], ids[lead + 1]]
             padded = np.concatenate([ids, np.full(longest, -1)])
-            for d in range(2, longest):
-                steps.append(np.where(follow[lead] >= d, padded[lead + d], -1))
-            at, n = _runs(*steps)
-            take = lambda key: words.take(pa.array(key[at], mask=key[at] < 0))
-            rest = [take(key) for key in steps[3:]]
+            steps += [np.where(follow[lead] >= d, padded[lead + d], -1) for d in range(2, longest)]
+            steps, n = _runs(*steps)
+            word_name = np.append(_named(words), np.uint64(0))  # the last one stands for no word
+            place = _lead_names(_named(named)[steps[0]], word_name[steps[1]], word_name[steps[2]])
+            salted = np.isin(place, noted)
+            if longest > 2:
+                place = np.where(salted, mixed(place + word_name[steps[3]] % np.uint64(SALTS)), place)
+            bucket = (place % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((steps[2], steps[1], steps[0], salted, bucket))
+            bucket, salted, n, steps = bucket[order], salted[order], n[order], [x[order] for x in steps]
+            new = np.append(True, (np.diff(bucket) != 0) | (salted[1:] != salted[:-1]) | (np.diff(steps[0]) != 0))
+            at = np.flatnonzero(new)
+            ends = np.append(at, len(n))
+            taken = [words.take(pa.array(x, mask=x < 0)) for x in steps[1:]]
+            line = pc.binary_join_element_wise(taken[0], taken[1], " ")
+            for word in taken[2:]:
+                longer = pc.binary_join_element_wise(line, word, " ")
+                line = pc.if_else(pc.is_null(word), line, longer)
+            counts = n.astype("<i4").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(bucket[at]),
+                    pa.array(salted[at]),
                     named.take(pa.array(steps[0][at])),
-                    pc.binary_join_element_wise(take(steps[1]), take(steps[2]), " "),
-                    _joined_words(rest) if rest else pa.nulls(len(at), pa.string()),
-                    pa.array(n, pa.int64()),
+                    pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), line), "\n"),
+                    pa.array([counts[4 * i : 4 * j] for i, j in zip(ends, ends[1:])], pa.binary()),
                 ],
-                names=["lang", "lead", "rest", "a"],
+                names=["bucket", "salted", "lang", "lines", "a"],
             )
 
-    return docs.mapInArrow(run, "lang string, lead string, rest string, a long")
-
-
-def _joined_words(words: list[pa.Array]) -> pa.Array:
-    """Words of each row on end with a space between; nulls come last and are left out."""
-    whole = pc.binary_join_element_wise(*[pc.fill_null(w, "") for w in words], " ")
-    return pc.ascii_rtrim(whole, " ")
+    return docs.mapInArrow(run, "bucket long, salted boolean, lang string, lines string, a binary")
 
 
 def quicksorted(
@@ -213,49 +248,42 @@ def quicksorted(
 
 
 def counted(rows: DataFrame, longest: int, least: int) -> DataFrame:
-    """``lang, phrase, a`` of the phrases of two words or more, from suffixes in the order of their place."""
+    """``lang, phrase, a`` of the phrases of two words or more, from blocks in the order of their bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held, current = [], None
         for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= CHUNK_ROWS:
-                whole = pa.Table.from_batches(held).combine_chunks()
-                place = whole.column(0).to_numpy()
-                last = int(np.searchsorted(place, place[-1]))
-                if last:
-                    yield from sorted_rows(whole.slice(0, last))
-                held = [b for b in whole.slice(last).to_batches()]
-                n = whole.num_rows - last
-        if n:
-            yield from sorted_rows(pa.Table.from_batches(held).combine_chunks())
-
-    def sorted_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        _, salted, lang, lead, rest, weight = [c.combine_chunks() for c in rows.columns]
-        first = pc.list_flatten(pc.split_pattern(lead, " ")).to_numpy(zero_copy_only=False).reshape(-1, 2)
-        parts = [pa.array(first[:, 0]), pa.array(first[:, 1])]
-        if longest > 2:
-            tail = pc.split_pattern(pc.fill_null(rest, ""), " ")
-            size = pc.list_value_length(tail).to_numpy()
-            flat, begin = tail.flatten(), np.cumsum(size) - size
-            for d in range(longest - 2):
-                word = flat.take(pa.array(begin + d, mask=size <= d))
-                parts.append(pc.if_else(pc.equal(word, ""), pa.scalar(None, pa.string()), word))
-        keys = [lang.dictionary_encode().indices.to_numpy().astype(np.int64)]
-        for part in parts:
-            code = part.dictionary_encode().indices
-            keys.append(pc.fill_null(code, -1).to_numpy().astype(np.int64))
-        weight = weight.to_numpy()
-        spread = salted.to_numpy(zero_copy_only=False)
-        phrases, langs, sums = [], [], []
-        found = list(quicksorted(keys, weight, least))
-        # The lead of a spread place is whole only together with its other places: never given up here.
+            bucket = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(bucket)]):
+                if held and bucket[low] != current:
+                    yield from of_bucket(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(low, high - low))
+                current = bucket[low]
+        if held:
+            yield from of_bucket(pa.Table.from_batches(held))
+
+    def of_bucket(blocks: pa.Table) -> Iterator[pa.RecordBatch]:
+        lists = pc.split_pattern(blocks.column(3).combine_chunks(), "\n")
+        size = lists.value_lengths().to_numpy()
+        lines = lists.flatten()
+        weight = np.frombuffer(b"".join(blocks.column(4).to_pylist()), "<i4").astype(np.int64)
+        langs = blocks.column(2).combine_chunks().dictionary_encode()
+        spread = np.repeat(blocks.column(1).to_numpy(), size)
+        parts = pc.split_pattern(lines, " ")
+        depth = parts.value_lengths().to_numpy()
+        encoded = parts.flatten().dictionary_encode()
+        code, begin = encoded.indices.to_numpy().astype(np.int64), np.cumsum(depth) - depth
+        code = np.append(code, np.full(longest, -1))
+        keys = [np.repeat(langs.indices.to_numpy(), size)]
+        keys += [np.where(depth > d, code[begin + d], -1) for d in range(longest)]
+        found = [f for f in quicksorted(keys, weight, least) if f[0] >= 2]
+        # The lead of a spread bucket is whole only together with its others: never given up here.
         hot = np.flatnonzero(spread)
         if len(hot):
             found = [f for f in found if f[0] != 2 or not spread[f[1]]]
             found += [f for f in quicksorted([k[hot] for k in keys[:3]], weight[hot], 1, hot) if f[0] == 2]
-        found = [f for f in found if f[0] >= 2]
         if not found:
             return
         depth, at, sums = (np.array(x) for x in zip(*found))
@@ -263,10 +291,14 @@ def counted(rows: DataFrame, longest: int, least: int) -> DataFrame:
             chosen = np.flatnonzero(depth == d)
             if not len(chosen):
                 continue
-            pointers = pa.array(at[chosen])
-            phrase = pc.binary_join_element_wise(*[p.take(pointers) for p in parts[:d]], " ")
+            phrase = [encoded.dictionary.take(pa.array(keys[i + 1][at[chosen]])) for i in range(d)]
             yield pa.RecordBatch.from_arrays(
-                [lang.take(pointers), phrase, pa.array(sums[chosen], pa.int64())], names=["lang", "phrase", "a"]
+                [
+                    langs.dictionary.take(pa.array(keys[0][at[chosen]])),
+                    pc.binary_join_element_wise(*phrase, " "),
+                    pa.array(sums[chosen], pa.int64()),
+                ],
+                names=["lang", "phrase", "a"],
             )
 
     return rows.mapInArrow(run, "lang string, phrase string, a long")
@@ -280,17 +312,11 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     noted = written(single_words(texts).groupBy("lang", "phrase", "hot").agg(F.sum("a").alias("a")))
     single = noted.where(~F.col("hot")).select("lang", "phrase", "a")
     totals = single.groupBy("lang").agg(F.sum("a").alias("n"))
+    n = totals.agg(F.sum("n")).first()[0] or 0
     # A pair of words with a share of all suffixes has it in some chunk, so no hot one is missed.
-    hot = noted.where("hot").orderBy(F.col("a").desc(), "lang", "phrase").limit(HOT)
-    hot = hot.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_lead"))
-
-    salted = F.col("_lead").isNotNull()
-    third = F.substring_index("rest", " ", 1)
-    salt = F.when(salted, F.pmod(F.xxhash64(third), F.lit(SALTS))).otherwise(F.lit(-1))
-    rows = suffixes(texts, longest)
-    rows = rows.join(F.broadcast(hot), (F.col("lang") == F.col("_lang")) & (F.col("lead") == F.col("_lead")), "left")
-    placed = rows.select(F.xxhash64("lang", "lead", salt).alias("place"), salted.alias("salted"), "lang", "lead", "rest", "a")
-    found = counted(placed.repartition("place").sortWithinPartitions("place"), longest, least)
+    hot = noted.where("hot").orderBy(F.col("a").desc(), "lang", "phrase").limit(HOT).select("lang", "phrase")
+    rows = suffixes(texts, longest, 1 + n // BUCKET_WORDS, [tuple(r) for r in hot.collect()])
+    found = counted(rows.repartition("bucket").sortWithinPartitions("bucket"), longest, least)
     several = found.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
     counts = written(several.unionByName(single).where(F.col("a") >= least))
     return counts, totals
