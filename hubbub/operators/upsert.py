@@ -33,6 +33,18 @@ def upsert_replace(
     return incoming.unionByName(kept, allowMissingColumns=True)
 
 
+def upsert_later(target: DataFrame, source: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Of each key the row with the latest ``time``; the one that comes now where both are of one time.
+
+    Rows of the past never replace what is known, in whatever order they arrive.
+    """
+    incoming = one_per_key(source.withColumn("_age", -F.unix_micros(F.col(time).cast("timestamp"))), keys, ["_age"]).drop("_age")
+    both = target.withColumn("_new", F.lit(0)).unionByName(
+        incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True
+    )
+    return first_per_key(both, keys, [F.col(time).desc_nulls_last(), F.col("_new").desc()]).drop("_new")
+
+
 def replace_groups(
     target: DataFrame,
     source: DataFrame,

@@ -29,7 +29,7 @@ from hubbub.operators import (
     upsert,
 )
 from hubbub.session import saved, scratch
-from hubbub.sources.sinks import append_rows, merge_rows, reload_table, rewrite_table, settle
+from hubbub.sources.sinks import append_rows, merge_rows, read_table, reload_table, rewrite_table, settle
 
 
 def cleans_up(job: Callable) -> Callable:
@@ -52,7 +52,7 @@ def content_stats_job(
     **parameters,
 ) -> None:
     """Drop rows older than the window, then replace or add the current ones."""
-    source = spark.table(contents)
+    source = read_table(spark, contents)
     if source.isEmpty():
         return
     settle(spark, target)
@@ -78,11 +78,11 @@ def creator_stats_job(
     target: str = "creator_stats",
     **parameters,
 ) -> None:
-    source = spark.table(contents)
+    source = read_table(spark, contents)
     if source.isEmpty():
         return
     rows = stats.creator_stats(
-        source, spark.table(users), spark.table(accounts), as_of, **parameters
+        source, read_table(spark, users), read_table(spark, accounts), as_of, **parameters
     )
     merge_rows(rows, target, ["creator_id"])
 
@@ -96,7 +96,7 @@ def hashtag_stats_job(
     **parameters,
 ) -> None:
     """Scores per hashtag, and the contributions behind them in nested form."""
-    source = spark.table(contents)
+    source = read_table(spark, contents)
     merge_rows(stats.hashtag_stats(source, as_of, **parameters), target, ["name"])
     days = parameters.get("days", 14.0)
     merge_rows(stats.hashtag_documents(source, as_of, days), documents, ["name"], "groups")
@@ -112,8 +112,8 @@ def user_stats_job(
     days: float = 14.0,
 ) -> None:
     """Totals per author, and the per-hashtag summary in nested form."""
-    source = spark.table(contents)
-    merge_rows(stats.user_stats(source, spark.table(users), as_of, days), target, ["user_id"])
+    source = read_table(spark, contents)
+    merge_rows(stats.user_stats(source, read_table(spark, users), as_of, days), target, ["user_id"])
     merge_rows(stats.user_documents(source, as_of, days), documents, ["author_id"], "groups")
 
 
@@ -124,7 +124,7 @@ def user_engagement_job(
     contentinfo: str = "contentinfo",
     target: str = "user_engagement_stats",
 ) -> None:
-    counts = engagement.user_topic_engagement(spark.table(engagements), spark.table(contentinfo))
+    counts = engagement.user_topic_engagement(read_table(spark, engagements), read_table(spark, contentinfo))
     reload_table(engagement.user_topic_maps(counts, as_of), target)
 
 
@@ -137,7 +137,7 @@ def feed_performance_job(
     target: str = "feed_performances",
 ) -> None:
     row = feed.feed_performance(
-        spark.table(feeditems), spark.table(engagements), spark.table(users), as_of
+        read_table(spark, feeditems), read_table(spark, engagements), read_table(spark, users), as_of
     )
     append_rows(row, target)
 
@@ -163,7 +163,7 @@ def country_models_job(
     """
     rows = saved(
         features.country_engagement(
-            spark.table(engagements), spark.table(users), spark.table(accounts), as_of, days
+            read_table(spark, engagements), read_table(spark, users), read_table(spark, accounts), as_of, days
         )
     )
     fitted = saved(_fit(spark, rows, "country_code", content_stats, creator_stats, as_of,
@@ -171,7 +171,7 @@ def country_models_job(
     keys = ["account", "model"]
     stored = fitted
     if spark.catalog.tableExists(target):
-        stored = upsert.upsert_replace(spark.table(target), fitted, keys)
+        stored = upsert.upsert_replace(read_table(spark, target), fitted, keys)
     every = models.base_model_fallback(fitted, countries, base, stored)
     merge_rows(every, target, keys)
 
@@ -189,14 +189,14 @@ def account_models_job(
     min_rows: int = 3,
 ) -> None:
     """A model per account with enough engagement; does nothing while a source is empty."""
-    recent = features_window(spark.table(content_stats), as_of, days)
+    recent = features_window(read_table(spark, content_stats), as_of, days)
     if (
-        spark.table(engagements).isEmpty()
+        read_table(spark, engagements).isEmpty()
         or recent.isEmpty()
-        or spark.table(creator_stats).isEmpty()
+        or read_table(spark, creator_stats).isEmpty()
     ):
         return
-    rows = saved(features.account_engagement(spark.table(engagements), spark.table(users)))
+    rows = saved(features.account_engagement(read_table(spark, engagements), read_table(spark, users)))
     fitted = _fit(spark, rows, "account_id", recent, creator_stats, as_of,
                   features.eligible_accounts(rows, min_rows))
     merge_rows(fitted, target, ["account", "model"])
@@ -207,10 +207,10 @@ def features_window(content_stats: DataFrame, as_of: datetime, days: float) -> D
 
 
 def _fit(spark, rows, key, content_stats, creator_stats, as_of, eligible) -> DataFrame:
-    content = spark.table(content_stats) if isinstance(content_stats, str) else content_stats
+    content = read_table(spark, content_stats) if isinstance(content_stats, str) else content_stats
     trainable = rows.join(eligible.select(key), key, "left_semi")
     labelled = features.weighted_label(trainable, key)
-    known = features.content_features(content, spark.table(creator_stats))
+    known = features.content_features(content, read_table(spark, creator_stats))
     training = features.with_features(labelled, known)
     return models.fit_per_key(training, key, CONTENT_FEATURES, "label", as_of)
 
@@ -227,9 +227,9 @@ def default_feed_job(
     target: str = "default_guest",
     min_contents: int = 4,
 ) -> None:
-    listed = recommend.articles(*[spark.table(t) for t in (contents, users, accounts, filtering)])
-    countable = recommend.listed_contents(spark.table(contents), spark.table(filtering))
-    pairs = saved(recommend.interactions(spark.table(engagements), countable, as_of))
+    listed = recommend.articles(*[read_table(spark, t) for t in (contents, users, accounts, filtering)])
+    countable = recommend.listed_contents(read_table(spark, contents), read_table(spark, filtering))
+    pairs = saved(recommend.interactions(read_table(spark, engagements), countable, as_of))
     frequent = recommend.min_interaction_users(pairs, min_contents)
     contents_seen = saved(recommend.content_strength(frequent, listed))
     reload_table(recommend.default_feed(contents_seen), target)
@@ -247,16 +247,16 @@ def member_recommendations_job(
     k: int = 10,
 ) -> None:
     """Scores, the two id dictionaries, the content list and the session features."""
-    listed = recommend.articles(*[spark.table(t) for t in (contents, users, accounts, filtering)])
-    countable = recommend.listed_contents(spark.table(contents), spark.table(filtering))
-    pairs = recommend.interactions(spark.table(engagements), countable, as_of, unknown_as="like")
+    listed = recommend.articles(*[read_table(spark, t) for t in (contents, users, accounts, filtering)])
+    countable = recommend.listed_contents(read_table(spark, contents), read_table(spark, filtering))
+    pairs = recommend.interactions(read_table(spark, engagements), countable, as_of, unknown_as="like")
     reload_table(recommend.session_features(pairs), f"{prefix}member_interactions")
-    saved = spark.table(f"{prefix}member_interactions")
+    saved = read_table(spark, f"{prefix}member_interactions")
     scores, people, items = recommend.member_recommendations(saved, k)
     reload_table(scores, f"{prefix}results_recommend")
     reload_table(people, f"{prefix}person_dict")
     reload_table(items, f"{prefix}content_dict")
-    seen = spark.table(f"{prefix}content_dict").select("content_id")
+    seen = read_table(spark, f"{prefix}content_dict").select("content_id")
     info = listed.join(seen, "content_id", "left_semi").select("content_id", "author", "title")
     reload_table(info, f"{prefix}content_info")
 
@@ -271,14 +271,14 @@ def user_clusters_job(
     seed: int = 1,
 ) -> None:
     """Cluster labels from the stored per-user topic maps."""
-    maps = spark.table(engagement_stats)
+    maps = read_table(spark, engagement_stats)
     columns = [c for c in maps.columns if c.endswith("_topics")]
     counts = maps.unpivot(["user_id"], columns, "type", "topics").select(
         "user_id",
         F.regexp_replace("type", "_topics$", "").alias("type"),
         F.explode("topics").alias("topic_id", "count"),
     )
-    places = clusters.topic_places(counts, spark.table(topic_table))
+    places = clusters.topic_places(counts, read_table(spark, topic_table))
     vectors = clusters.user_topic_vectors(counts, places)
     labels = clusters.user_clusters(vectors, as_of, k, seed)
     merge_rows(labels, target, ["user_id"], "set", ["model", "user_class", "predicted_at"])
@@ -290,7 +290,7 @@ def embedding_topics_job(
     filtering: str = "contentfiltering",
 ) -> None:
     """Class and score of rows without a class; rows carry their message's ``embedding``."""
-    rows = topics.untagged(spark.table(filtering)).select(
+    rows = topics.untagged(read_table(spark, filtering)).select(
         "content_id", clean_message_v2(F.col("message_en")).alias("message"), "embedding"
     )
     tagged = topics.embedding_topics(rows, topic_vectors).select(
@@ -308,7 +308,7 @@ def extract_credentials_job(
     minimum: int = 500,
 ) -> None:
     """Feature rows of active users; rows already stored are left as they are."""
-    rows = fraud.last_n(fraud.reading_times(spark.table(feeditems)), n, minimum)
+    rows = fraud.last_n(fraud.reading_times(read_table(spark, feeditems)), n, minimum)
     found = fraud.credential_features(rows, as_of).withColumns(
         {
             "verification_status": F.lit(None).cast("boolean"),
@@ -334,7 +334,7 @@ def train_one_class_job(
     The data set is at most ``n`` rows; it is saved because every later step reads it.
     """
     key = F.concat_ws("|", "seen_credential", "first_seen_at", "last_seen_at")
-    dataset = fraud.one_class_dataset(spark.table(credentials), n).withColumn("row_id", key)
+    dataset = fraud.one_class_dataset(read_table(spark, credentials), n).withColumn("row_id", key)
     labelled = saved(fraud.with_label(dataset, bot_status))
     if not fraud.train_gate(labelled, folds, bot_status).first()["trainable"]:
         return False
@@ -366,10 +366,10 @@ def predict_suspicious_job(
     """Users suspected by the latest artifact; users already waiting stay as they are."""
     if not spark.catalog.tableExists(artifacts):
         return
-    artifact = models.latest_artifact(spark.table(artifacts), ONE_CLASS_MODEL)
+    artifact = models.latest_artifact(read_table(spark, artifacts), ONE_CLASS_MODEL)
     if artifact.isEmpty():
         return
-    rows = spark.table(credentials)
+    rows = read_table(spark, credentials)
     predicted = fraud.predict_one_class(fraud.latest_unverified(rows), artifact)
     found = fraud.suspicious_users(predicted, fraud.last_verified(rows), as_of, cooldown_hours)
     time = rows.schema["verified_at"].dataType
@@ -395,13 +395,13 @@ def apply_verification_job(
     Features are written first: after a failure in between, a second run repeats the same update
     and then consumes.
     """
-    waiting = spark.table(suspicious)
+    waiting = read_table(spark, suspicious)
     rewrite_table(
         spark,
         credentials,
         lambda rows: fraud.apply_verification(rows, waiting, as_of, as_coded)[0],
     )
-    rows = spark.table(credentials)
+    rows = read_table(spark, credentials)
     rewrite_table(
         spark,
         suspicious,
