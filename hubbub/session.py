@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Texts are long: ten thousand of them in one Arrow batch would take much of a task's memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Keyed state of streams is kept on disk, so it may outgrow an executor's memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -28,14 +28,10 @@ class ChangeLog:
         ordered = rows.select(*self.schema.names)
         ordered.write.mode("overwrite").parquet(f"{self.root}/batch={batch}")
 
-    def known(self, keys: DataFrame, before: int) -> DataFrame:
-        """Which of ``keys`` have a row in an earlier batch.
-
-        The batch is the small side: the log's key column is scanned, never shuffled, as long as
-        the batch is under the broadcast threshold.
-        """
-        rows = self.spark.read.parquet(self.root).where(F.col("batch") < before)
-        return rows.select(*self.keys).join(keys.select(*self.keys), self.keys, "left_semi")
+    def seed(self) -> DataFrame:
+        """The keys present before the stream started, as a stream that delivers them once."""
+        rows = self.spark.readStream.schema(self.schema).parquet(f"{self.root}/batch={SEED_BATCH}")
+        return rows.select(*self.keys)
 
     def current(self, before: int | None = None) -> DataFrame:
         """The latest row of each key, from batches earlier than ``before``."""

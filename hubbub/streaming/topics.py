@@ -57,6 +57,33 @@ def event_messages(events: DataFrame, most_confident: bool = False) -> DataFrame
     )
 
 
+def with_news(messages: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """A stream of ``messages`` that also says which keys are new.
+
+    Three kinds of rows share the ``key`` column: ``event`` rows are the messages; a ``new`` row comes
+    with the first batch that has a key; ``known`` rows are those of the stream ``known``, keys that
+    were there before the first batch. What has been seen is keyed state of the query, one entry per
+    key, which a batch looks up for its own keys alone.
+    """
+    kind = lambda rows, name: rows.withColumn("_kind", F.lit(name))
+    keys = messages.select(key).where(F.col(key).isNotNull())
+    every = keys.unionByName(known.select(key))
+    new = every.dropDuplicates([key])
+    return (
+        kind(messages, "event")
+        .unionByName(kind(new, "new"), allowMissingColumns=True)
+        .unionByName(kind(known.select(key), "known"), allowMissingColumns=True)
+    )
+
+
+def news_of(batch: DataFrame, key: str) -> DataFrame:
+    """The messages of a batch of ``with_news`` whose key is new."""
+    events = batch.where(F.col("_kind") == "event").drop("_kind")
+    new = batch.where(F.col("_kind") == "new").select(key)
+    known = batch.where(F.col("_kind") == "known").select(key)
+    return events.join(new.join(known, key, "left_anti"), key, "left_semi")
+
+
 def topic_stream(
     messages: DataFrame,
     topics: ChangeLog,
@@ -67,14 +94,15 @@ def topic_stream(
     """Tag each new content once and keep taxonomy and content info up to date.
 
     Events count whatever their age. Of several events of a content in one batch the earliest is
-    taken; contents of earlier batches are found in ``contentinfo``. The query stops once the
-    available events are done.
+    taken. Contents of earlier batches are known from the query's keyed state, those present before
+    the stream from the seed of ``contentinfo``, read once; its other rows are never read. The query
+    stops once the available events are done.
     """
 
     def tag(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         order = [F.col("updated_at"), F.col("message")]
-        once = first_per_key(batch, ["content_id"], order)
-        fresh = once.join(contentinfo.known(once, number), "content_id", "left_anti")
+        fresh = first_per_key(news_of(batch, "content_id"), ["content_id"], order)
         tagged = tag_messages(fresh).persist()
         try:
             stored = topics.current(before=number)
@@ -86,5 +114,6 @@ def topic_stream(
             )
         finally:
             tagged.unpersist()
+            batch.unpersist()
 
-    return drain(messages, tag, checkpoint)
+    return drain(with_news(messages, "content_id", contentinfo.seed()), tag, checkpoint)
