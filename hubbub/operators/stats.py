@@ -102,6 +102,23 @@ def creator_stats(
         *[_total(source).alias(name) for source, name in _COUNTS.items()],
         F.max("updated_at").alias("updated_at"),
     )
+    return creators_from_totals(
+        per_type, users, accounts, as_of, weights, followed_weight, half_life_hours, bias, as_coded
+    )
+
+
+def creators_from_totals(
+    per_type: DataFrame,
+    users: DataFrame,
+    accounts: DataFrame,
+    as_of: datetime,
+    weights: Weights = Weights(),
+    followed_weight: float = 0.01,
+    half_life_hours: float = 24.0,
+    bias: float = 1.0,
+    as_coded: bool = False,
+) -> DataFrame:
+    """``creator_stats`` from counts, totals and the last update per creator and content type."""
     liked, commented, recasted, quoted = (F.col(name) for name in _COUNTS.values())
     type_engagement = (
         engagement_score_without_likes(commented, recasted, quoted, weights)
@@ -111,7 +128,7 @@ def creator_stats(
     per_type = per_type.withColumns(
         {
             "age_score": age_score(
-                F.col("updated_at"), moment(contents, "updated_at", as_of), half_life_hours
+                F.col("updated_at"), moment(per_type, "updated_at", as_of), half_life_hours
             ),
             "engagement_score": type_engagement + F.lit(float(bias)),
         }
@@ -235,6 +252,17 @@ def hashtag_stats(
     quotes read as zero, likes left out.
     """
     contributions = hashtag_contributions(hashtag_uses(contents, as_of, days))
+    return hashtags_from_contributions(contributions, as_of, weights, half_life_hours, as_coded)
+
+
+def hashtags_from_contributions(
+    contributions: DataFrame,
+    as_of: datetime,
+    weights: Weights = Weights(),
+    half_life_hours: float = 24.0,
+    as_coded: bool = False,
+) -> DataFrame:
+    """``hashtag_stats`` from totals per hashtag and author."""
     tags = contributions.groupBy("name").agg(
         F.sum("contribution_count").alias("hashtag_count"),
         F.count(F.lit(1)).alias("contributor_count"),
@@ -257,7 +285,7 @@ def hashtag_stats(
             "diversity_score": F.col("contributor_count") / F.col("hashtag_count"),
             "engagement_score": engagement,
             "age_score": age_score(
-                F.col("updated_at"), moment(contents, "updated_at", as_of), half_life_hours
+                F.col("updated_at"), moment(tags, "updated_at", as_of), half_life_hours
             ),
         }
     )
@@ -287,6 +315,11 @@ def user_hashtag_stats(contents: DataFrame, as_of: datetime, days: float = 14.0)
         F.count(F.lit(1)).alias("type_count"),
         *[_total(c).alias(c) for c in _COUNTS],
     )
+    return user_hashtags_from_totals(per_type)
+
+
+def user_hashtags_from_totals(per_type: DataFrame) -> DataFrame:
+    """``user_hashtag_stats`` from totals per author, hashtag list and content type."""
     return per_type.groupBy("author_id", "hashtags").agg(
         F.sum("type_count").alias("hashtag_content_count"),
         *[F.sum(c).alias(f"hashtag_{c}") for c in _COUNTS],
@@ -303,7 +336,11 @@ def user_stats(
 
     The per-hashtag detail is ``user_hashtag_stats``, or ``user_documents`` in nested form.
     """
-    per_hashtag = user_hashtag_stats(contents, as_of, days)
+    return users_from_hashtags(user_hashtag_stats(contents, as_of, days), users)
+
+
+def users_from_hashtags(per_hashtag: DataFrame, users: DataFrame) -> DataFrame:
+    """``user_stats`` from ``user_hashtag_stats``."""
     totals = per_hashtag.groupBy("author_id").agg(
         F.sum("hashtag_content_count").alias("user_content_count"),
         *[F.sum(f"hashtag_{c}").alias(f"user_{c}") for c in _COUNTS],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from hubbub.plans import (  # noqa: F401
     queries_fraud,
     queries_recommend,
+    queries_sinks,
     queries_stats,
     queries_streaming,
     queries_text,
