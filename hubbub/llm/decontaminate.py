@@ -5,22 +5,23 @@ is ``width`` consecutive words of a benchmark item; an item of fewer words is on
 words are named by 64-bit hashes; only runs of words that the benchmark uses are looked up in the hash
 set, and every hit is verified on the words themselves.
 
-The set is broadcast in slices of at most ``slice_words`` benchmark words, so what a task holds is
-bounded; a larger benchmark means one more pass over the texts for each further slice.
+The set is built and broadcast in slices of about ``slice_words`` benchmark words, all of which a task
+looks up: driver and tasks hold the whole benchmark, which is taken to be small beside the texts.
 
-Null and empty texts have no words and no hits. Repeated rows each get their own result. Items that
-are null or have no words have no windows.
+Null and empty texts have no words and no hits. Repeated rows each get their own result. Items whose
+text is null or has no words have no windows. Items whose id is null are one item without a name: its
+hits count, and so does it, but no id of it is listed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from hubbub.llm.common import Words, added, ascii_lowered, byte_set, run_names, steps, text_bytes
+from hubbub.llm.common import Words, added, arrow_map, ascii_lowered, byte_set, run_names, steps, text_bytes
 
 #: Benchmark words in one broadcast slice: about 100 MB in a task.
 SLICE_WORDS = 1_000_000
@@ -41,9 +42,9 @@ def _words() -> Words:
 class Slice:
     """Windows of some items: by length, sorted names beside the words and items of each."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int):
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
         words, lowered = _words(), ascii_lowered()
-        windows: dict[tuple[bytes, ...], set[str]] = {}
+        windows: dict[tuple[bytes, ...], set[str | None]] = {}
         vocabulary: dict[bytes, int] = {}
         for item, text in items:
             data = np.frombuffer(text.encode(), np.uint8)
@@ -58,7 +59,7 @@ class Slice:
         self.known[self.names >> np.uint64(48)] = True
         self.by_length: dict[int, tuple[np.ndarray, dict[tuple[bytes, ...], list[str]]]] = {}
         for length in sorted({len(w) for w in windows}):
-            own = {w: sorted(windows[w]) for w in windows if len(w) == length}
+            own = {w: list(windows[w]) for w in windows if len(w) == length}
             names = [run_names(np.array([vocabulary[x] for x in w], np.uint64), np.array([0]), length)[0] for w in own]
             self.by_length[length] = np.unique(np.array(names, np.uint64)), own
 
@@ -66,7 +67,7 @@ class Slice:
 def _slices(benchmark: DataFrame, width: int, slice_words: int, item: str, text: str) -> list[Slice]:
     """All items, read one slice at a time; the number of slices comes from the benchmark's size."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where(
-        F.col("text").isNotNull() & F.col("item").isNotNull()
+        F.col("text").isNotNull()
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + size // (5 * slice_words)
@@ -106,21 +107,9 @@ def _hits(words: Words, lowered: np.ndarray, part: Slice, data: np.ndarray, offs
     return np.cumsum(marks[:-1]) > 0, starts, ends, before, pairs
 
 
-def contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    width: int = 10,
-    text: str = "text",
-    item: str = "item_id",
-    item_text: str = "text",
-    slice_words: int = SLICE_WORDS,
-    prefix: str = "",
-) -> DataFrame:
-    """All columns of ``docs`` with ``n_words``, ``hit_spans``, ``hit_words`` and ``hit_items``.
-
-    ``prefix`` goes before the new names; a column that has one of them already is replaced.
-    """
-    context = docs.sparkSession.sparkContext
+def _finder(spark: SparkSession, benchmark: DataFrame, width: int, slice_words: int, item: str, item_text: str):
+    """A function from a column of texts to the columns of RESULT."""
+    context = spark.sparkContext
     parts = [context.broadcast(s) for s in _slices(benchmark, width, slice_words, item, item_text)]
     schema = pa.schema(
         [
@@ -133,8 +122,8 @@ def contaminated(
 
     words, lowered = _words(), ascii_lowered()
 
-    def step(batch: pa.RecordBatch) -> list[pa.Array]:
-        data, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
+    def step(column: pa.Array) -> list[pa.Array]:
+        data, offsets = text_bytes(column)
         n_words, spans, items, counts = [], [], [], []
         for i, j in steps(offsets):
             own, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
@@ -153,7 +142,7 @@ def contaminated(
             for k in range(j - i):
                 a, b = before[k], before[k + 1]
                 n_words.append(int(b - a))
-                items.append(sorted(by_text.get(k, ())))
+                items.append(sorted(by_text.get(k, ()), key=lambda x: (x is None, x)))
                 if k not in by_text:
                     spans.append([])
                     counts.append([])
@@ -170,9 +159,43 @@ def contaminated(
         columns = (n_words, spans, items, counts)
         return [pa.array(c, t.type) for c, t in zip(columns, schema)]
 
+    return step
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 10,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    slice_words: int = SLICE_WORDS,
+    prefix: str = "",
+) -> DataFrame:
+    """All columns of ``docs`` with ``n_words``, ``hit_spans``, ``hit_words`` and ``hit_items``.
+
+    ``prefix`` goes before the new names; a column that has one of them already is replaced.
+    """
+    find = _finder(docs.sparkSession, benchmark, width, slice_words, item, item_text)
+
+    def step(batch: pa.RecordBatch) -> list[pa.Array]:
+        return find(batch.column(batch.schema.get_field_index(text)))
+
     return added(docs, step, [StructField(prefix + f.name, f.dataType) for f in RESULT])
 
 
+def _without(column: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without their spans."""
+    out = column.to_pylist()
+    for i in np.flatnonzero(np.diff(spans.offsets.to_numpy()) > 0).tolist():
+        raw, parts, at = out[i].encode(), [], 0
+        for s in spans[i].as_py():
+            parts.append(raw[at : s["start"]])
+            at = s["end"]
+        out[i] = b"".join([*parts, raw[at:]]).decode()
+    return pa.array(out, pa.string())
+
+
 def cleaned(marked: DataFrame, drop_share: float = 0.5, text: str = "text", prefix: str = "") -> DataFrame:
     """Documents of ``contaminated`` without the hit spans.
 
@@ -185,21 +208,38 @@ def cleaned(marked: DataFrame, drop_share: float = 0.5, text: str = "text", pref
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
         column = batch.column(batch.schema.get_field_index(text))
-        spans = batch.column(batch.schema.get_field_index(prefix + "hit_spans"))
-        out = column.to_pylist()
-        for i in np.flatnonzero(np.diff(spans.offsets.to_numpy()) > 0).tolist():
-            raw, parts, at = out[i].encode(), [], 0
-            for s in spans[i].as_py():
-                parts.append(raw[at : s["start"]])
-                at = s["end"]
-            out[i] = b"".join([*parts, raw[at:]]).decode()
-        return [pa.array(out, pa.string())]
+        return [_without(column, batch.column(batch.schema.get_field_index(prefix + "hit_spans")))]
 
     return added(keep, step, [StructField(text, StringType())]).drop(*own).select(
         *[c for c in marked.columns if c not in own]
     )
 
 
+def removed(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    drop_share: float = 0.5,
+    width: int = 10,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    slice_words: int = SLICE_WORDS,
+) -> DataFrame:
+    """What ``cleaned`` makes of ``contaminated``, found and removed in one step."""
+    find = _finder(docs.sparkSession, benchmark, width, slice_words, item, item_text)
+    at = docs.columns.index(text)
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_words, spans, _, counts = find(batch.column(at))
+        n_hit = np.array([sum(c) for c in counts.to_pylist()], np.int64)
+        keep = (n_hit == 0) | (n_hit < drop_share * n_words.to_numpy())
+        columns = list(batch.columns)
+        columns[at] = _without(columns[at], spans)
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep))
+
+    return arrow_map(docs, step, docs.schema)
+
+
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: word, hit and item counts, and a digest of the items."""
     marked = contaminated(docs.select("doc_id", "text"), benchmark).select(

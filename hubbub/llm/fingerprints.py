@@ -152,16 +152,16 @@ def with_next(docs: DataFrame, buckets: int) -> DataFrame:
         below = number(0, len(cuts))
     last = len(cuts) + 1
     rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(below))
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"), F.min(F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).alias("null_head"))
-    found = {r.bucket: (r.doc_id, r.null_head) for r in heads.collect()}  # one row per range
+    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"))
+    found = {r.bucket: r.doc_id for r in heads.collect()}  # one row per range
     order = sorted(found)
     following = {b: order[(i + 1) % len(order)] for i, b in enumerate(order)}
     copies = rows.limit(0).withColumn("ghost", F.lit(1))
     if found:
-        ids = [v[0] for b, v in found.items() if b != last]
+        ids = [v for b, v in found.items() if b != last]
         is_head = F.col("doc_id").isin([F.lit(x) for x in ids]) if ids else F.lit(False)
-        if last in found:
-            is_head = F.coalesce(is_head, F.lit(False)) | (F.col("doc_id").isNull() & (F.xxhash64("text") == F.lit(found[last][1])))
+        if last in found:  # rows without an id are sorted by text
+            is_head = F.coalesce(is_head, F.lit(False)) | F.col("doc_id").isNull()
         before = F.create_map(*[F.lit(x) for b, nxt in following.items() for x in (nxt, b)])
         one = rows.where(is_head).groupBy("bucket", "doc_id").agg(F.min("text").alias("text"))
         copies = one.select("doc_id", "text", before[F.col("bucket")].alias("bucket"), F.lit(1).alias("ghost"))

@@ -27,8 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField
 
 from hubbub.llm.common import (
+    added,
     Words,
     arrow_map,
     ascii_lowered,
@@ -153,6 +155,21 @@ def sketched(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return arrow_map(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), step, schema)
 
 
+def with_content(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the 128-bit name of each text's set, null where it has none."""
+    kind = word_kind()
+
+    def step(batch: pa.RecordBatch) -> list[pa.Array]:
+        data, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
+        out = []
+        for i, j in steps(offsets):
+            sets = shingle_sets(kind, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            out += [content_of(s) if len(s) else None for s in sets]
+        return [pa.array(out, pa.binary())]
+
+    return added(docs, step, [StructField(name, BinaryType())])
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
     """(a, b): each member of a band's bucket with the bucket's leader."""
     rows = nodes.select(F.explode("bands").alias("band"), "content")
@@ -299,8 +316,18 @@ def _sets(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame
     return found.dropDuplicates(["content"])
 
 
-def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id, kept) per row; see the module's text."""
+def clustered(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    block: int = BLOCK,
+    percent: int = PERCENT,
+    content: str | None = None,
+) -> DataFrame:
+    """(key, n_shingles, component_id, kept) per row; see the module's text.
+
+    ``content`` names a further column with the name of the row's set, as ``with_content`` gives it.
+    """
     rows = written(sketched(docs, key, text))
     nodes = rows.where("content IS NOT NULL").groupBy("content").agg(
         F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
@@ -376,4 +403,5 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", block: i
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("key") == component, F.lit(False)).alias("kept"),
+        *([] if content is None else [F.col("content").alias(content)]),
     )

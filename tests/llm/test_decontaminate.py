@@ -60,3 +60,24 @@ def test_spans_are_removed(spark, docs_of):
         3: "clean",
         4: None,
     }
+
+
+def test_items_without_an_id(spark, docs_of):
+    """Their hits count, and they count as one item that has no name to list."""
+
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    items = spark.createDataFrame([(None, words), (None, "one two"), (3, "one two")], "item_id long, text string")
+    found = decontaminate.report(docs_of([(1, f"x {words} y"), (2, "one two three"), (3, "clean")]), items).collect()
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in found}
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert rows == {1: (12, 10, 1, digest("")), 2: (3, 2, 2, digest("3")), 3: (1, 0, 0, digest(""))}
+
+
+def test_removal_in_one_step_equals_two_steps(spark, odd, none):
+    items = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven"), (None, "a row")], "item_id long, text string")
+    for docs in (odd, none):
+        for share in (0.5, 1.0, 2.0):
+            two = decontaminate.cleaned(decontaminate.contaminated(docs, items, prefix="_"), share, prefix="_")
+            one = decontaminate.removed(docs, items, share)
+            assert one.columns == two.columns == docs.columns
+            assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))

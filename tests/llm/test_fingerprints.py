@@ -70,3 +70,11 @@ def test_one_rule_for_all_lengths(docs_of):
     rows = [(2 * i + d, t[:200] if d else "") for i, t in enumerate(texts) for d in (0, 1)]
     near = [r.near_edited for r in f.compared(docs_of(rows), 3).collect() if r.n_chars]
     assert len(near) == len(texts) and min(near) > 0.45
+
+
+def test_rows_without_ids_are_neighbours_by_text(docs_of):
+    """After the smallest id comes the smallest text among rows without one, then the next, then the first id."""
+    rows = [(5, "e" * 30), (9, "n" * 30)] + [(None, c * 30) for c in "zbmkq"]
+    found = {r.edited_text for r in f.compared(docs_of(rows), partitions=3).collect()}
+    order = ["n", "e", "b", "k", "m", "q", "z"]
+    assert found == {a * 20 + b * 10 for a, b in zip(order, [*order[1:], "n"])}
