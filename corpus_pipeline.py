@@ -35,20 +35,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    An id that stands for several texts keeps those that the operator keeps, one row for each set of
+    word runs.
+    """
     tune(spark)
-    kept = minhash.clustered(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = minhash.clustered(docs, content="_set").where("kept").select(F.col("doc_id").alias("_kept_id"), "_set").distinct()
     named = docs.where(F.col("doc_id").isNotNull())
-    single = named.join(kept, named["doc_id"] == kept["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    out = single.unionByName(docs.where(F.col("doc_id").isNull()))
+    often = named.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_often_id"))
+    once = named.join(often, named["doc_id"] == often["_often_id"], "left_anti")
+    single = once.join(kept, once["doc_id"] == kept["_kept_id"], "left_semi")
+    again = minhash.with_content(named.join(often, named["doc_id"] == often["_often_id"], "left_semi"), "_own_set")
+    same = (again["doc_id"] == kept["_kept_id"]) & again["_own_set"].eqNullSafe(kept["_set"])
+    several = again.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own_set"]).drop("_own_set")
+    out = single.unionByName(several).unionByName(docs.where(F.col("doc_id").isNull()))
     return out.coalesce(1 + docs.count() // DOCUMENTS_PER_FILE)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without benchmark passages; documents that are mostly benchmark go as a whole."""
     tune(spark)
-    marked = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), prefix="_")
-    out = decontaminate.cleaned(marked, prefix="_")
+    out = decontaminate.removed(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     if "n_chars" not in docs.columns:
         return out
     n_chars = F.coalesce(F.length("text").cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars"))
