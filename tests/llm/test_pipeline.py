@@ -75,3 +75,12 @@ def test_odd_rows_pass_all_stages(spark, odd, none):
         empty = stage(spark, none, SF)
         assert empty.count() == 0, name
     assert {r.doc_id for r in docs.collect()} >= {None, 1, 4, 6}
+
+
+def test_an_id_with_several_texts(spark):
+    """(1, a), (2, a), (2, c): the copy goes and c stays; equal sets of one id stay once; rows repeat."""
+    a, c, d = "one two three four five six", "other words stand in this text", "ONE TWO three four five six"
+    rows = [(1, a), (2, a), (2, c), (2, c), (1, d), (3, None), (3, ""), (4, c), (None, a), (5, "five")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = sorted(((r.doc_id, (r.text or "").lower()) for r in pipeline.drop_near_copies(spark, docs, SF).collect()), key=repr)
+    assert found == sorted([(1, a), (2, c), (3, ""), (5, "five"), (None, a)], key=repr)
