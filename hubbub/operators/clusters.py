@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
@@ -73,11 +73,13 @@ def user_topic_matrix(vectors: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def user_clusters(
-    vectors: DataFrame, as_of: datetime, k: int = 7, seed: int = 1, model: str = "kmeans"
-) -> DataFrame:
-    """A cluster label per user, from the sparse ``features`` of each."""
-    fitted = KMeans(k=k, seed=seed).fit(vectors)
+def fit_clusters(vectors: DataFrame, k: int = 7, seed: int = 1) -> KMeansModel:
+    """K-means over the sparse ``features`` of each user. ``vectors`` is read several times."""
+    return KMeans(k=k, seed=seed).fit(vectors)
+
+
+def labelled_users(fitted: KMeansModel, vectors: DataFrame, as_of: datetime, model: str = "kmeans") -> DataFrame:
+    """The label of each user by a fitted model."""
     return fitted.transform(vectors).select(
         "user_id",
         F.col("prediction").alias("user_class"),
@@ -86,3 +88,30 @@ def user_clusters(
         .cast("timestamp_ntz")
         .alias("predicted_at"),
     )
+
+
+def user_clusters(
+    vectors: DataFrame, as_of: datetime, k: int = 7, seed: int = 1, model: str = "kmeans"
+) -> DataFrame:
+    """A cluster label per user, from the sparse ``features`` of each."""
+    return labelled_users(fit_clusters(vectors, k, seed), vectors, as_of, model)
+
+
+def with_distances(labels: DataFrame, vectors: DataFrame, fitted: KMeansModel) -> DataFrame:
+    """``labels`` with the squared distance to the own centroid and to the nearest one."""
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(fitted.clusterCenters())]
+    centers = vectors.sparkSession.createDataFrame(rows, "number int, center array<double>")
+    every = centers.agg(F.array_sort(F.collect_list(F.struct("number", "center")))).scalar()
+    own = vectors.select("user_id", vector_to_array("features").alias("_x"), every.alias("_centers"))
+
+    def distance(center):
+        parts = F.zip_with("_x", center["center"], lambda x, y: (x - y) * (x - y))
+        return F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+
+    far = own.select("user_id", F.transform("_centers", distance).alias("_far"))
+    return (
+        labels.join(far, "user_id")
+        .withColumn("own_distance", F.get("_far", F.col("user_class")))
+        .withColumn("least_distance", F.array_min("_far"))
+        .drop("_far")
+    )

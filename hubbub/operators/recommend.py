@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.constants import ENGAGEMENT_TYPES, EVENT_STRENGTH
 from hubbub.functions.scores import half_even
 from hubbub.functions.times import newer_than_months
 from hubbub.operators.ordering import dense_ids
+from hubbub.operators.products import BLOCK, best_products
 from hubbub.session import ensure_checkpoint_dir
 
 DEFAULT_COUNTRY = "us"
@@ -189,20 +190,17 @@ def session_features(pairs: DataFrame) -> DataFrame:
     )
 
 
-def member_recommendations(
+def fit_factors(
     pairs: DataFrame,
-    k: int = 10,
-    people_wanted: DataFrame | None = None,
     rank: int = 5,
     iterations: int = 10,
     regularisation: float = 0.1,
     seed: int = 1,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Best ``k`` contents per person from a low-rank model, with the two id dictionaries.
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """A low-rank model of interaction strength, with dictionaries of the numbers it uses.
 
-    Returns ``(scores, person_dict, content_dict)``; scores are ``(user, content, score)``.
-    ``people_wanted`` (one column ``person_id``) limits the scoring to some people, such as those
-    with new interactions. ``pairs`` is read several times: pass saved rows.
+    Returns ``(person_factors, content_factors, person_dict, content_dict)``; factors are ``(id,
+    features)``. ``pairs`` is read several times: pass saved rows.
     """
     ensure_checkpoint_dir(pairs.sparkSession)
     people = dense_ids(pairs, "person_id", "user")
@@ -230,14 +228,50 @@ def member_recommendations(
         coldStartStrategy="drop",
     )
     fitted = als.fit(coded)
-    if people_wanted is None:
-        best = fitted.recommendForAllUsers(k)
-    else:
+    return fitted.userFactors, fitted.itemFactors, people, items
+
+
+def best_contents(person_factors: DataFrame, content_factors: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """``user, content, score``: the ``k`` contents of largest score per person, found exactly."""
+    queries = person_factors.select(F.col("id").alias("query"), F.col("features").alias("vector"))
+    items = content_factors.select(F.col("id").alias("item"), F.col("features").alias("vector"))
+    found = best_products(queries, items, k, block)
+    return found.select(F.col("query").alias("user"), F.col("item").alias("content"), "score")
+
+
+def member_recommendations(
+    pairs: DataFrame,
+    k: int = 10,
+    people_wanted: DataFrame | None = None,
+    rank: int = 5,
+    iterations: int = 10,
+    regularisation: float = 0.1,
+    seed: int = 1,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Best ``k`` contents per person from a low-rank model, with the two id dictionaries.
+
+    Returns ``(scores, person_dict, content_dict)``; scores are ``(user, content, score)``.
+    ``people_wanted`` (one column ``person_id``) limits the scoring to some people, such as those
+    with new interactions. ``pairs`` is read several times: pass saved rows.
+    """
+    persons, contents, people, items = fit_factors(pairs, rank, iterations, regularisation, seed)
+    if people_wanted is not None:
         wanted = people.join(people_wanted.select("person_id"), "person_id", "left_semi")
-        best = fitted.recommendForUserSubset(wanted.select(F.col("user").cast("int")), k)
-    scores = best.select("user", F.explode("recommendations").alias("r")).select(
-        F.col("user").cast("bigint").alias("user"),
-        F.col("r.content").cast("bigint").alias("content"),
-        F.col("r.rating").cast("double").alias("score"),
+        persons = persons.join(wanted.select(F.col("user").cast("int").alias("id")), "id", "left_semi")
+    return best_contents(persons, contents, k), people, items
+
+
+def checked_scores(scores: DataFrame, person_factors: DataFrame, content_factors: DataFrame) -> DataFrame:
+    """``scores`` with ``rank`` and ``is_product``: whether a score is the product of the two factors."""
+    order = Window.partitionBy("user").orderBy(F.col("score").desc(), "content")
+    own = person_factors.select(F.col("id").alias("user"), F.col("features").alias("_p"))
+    other = content_factors.select(F.col("id").alias("content"), F.col("features").alias("_c"))
+    parts = F.zip_with("_p", "_c", lambda x, y: x.cast("double") * y.cast("double"))
+    product = F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+    return (
+        scores.join(own, "user")
+        .join(other, "content")
+        .withColumn("is_product", F.abs(product - F.col("score")) <= 1e-9 * (1 + F.abs(product)))
+        .withColumn("rank", F.row_number().over(order))
+        .drop("_p", "_c")
     )
-    return scores, people, items

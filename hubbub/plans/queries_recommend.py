@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.constants import CONTENT_FEATURES
@@ -478,20 +479,26 @@ def person_dictionary(v):
     duckdb_sql(
         f"""
 WITH {_PAIRS}
-SELECT DISTINCT person_id, least(10, (SELECT count(DISTINCT content_id) FROM pr)) AS contents,
-  TRUE AS distinct_contents, TRUE AS all_known
-FROM pr""",
+SELECT person_id, unnest(range(1, least(10, (SELECT count(DISTINCT content_id) FROM pr)) + 1)) AS rank,
+  TRUE AS known_content, TRUE AS score_is_product, TRUE AS content_once
+FROM (SELECT DISTINCT person_id FROM pr)""",
         *_REC,
     )
 )
 def member_recommendations(v):
-    """Scores have no SQL form; how many known contents each person gets does."""
-    scores, people, items = recommend.member_recommendations(saved(_pairs(v)), k=10)
-    named = scores.join(people, "user").join(items, "content", "left")
-    return named.groupBy("person_id").agg(
-        F.count(F.lit(1)).alias("contents"),
-        (F.count_distinct("content_id") == F.count(F.lit(1))).alias("distinct_contents"),
-        F.bool_and(F.col("content_id").isNotNull() & F.col("score").isNotNull()).alias("all_known"),
+    """Scores have no SQL form; that each is the product of its two factors, row by row, does."""
+    persons, contents, people, items = recommend.fit_factors(saved(_pairs(v)))
+    persons, contents = saved(persons), saved(contents)
+    scores = recommend.best_contents(persons, contents, 10)
+    checked = recommend.checked_scores(scores, persons, contents)
+    named = checked.join(people, "user").join(items, "content", "left")
+    once = F.count(F.lit(1)).over(Window.partitionBy("user", "content")) == 1
+    return named.select(
+        "person_id",
+        F.col("rank").cast("bigint").alias("rank"),
+        F.col("content_id").isNotNull().alias("known_content"),
+        F.col("is_product").alias("score_is_product"),
+        once.alias("content_once"),
     )
 
 
@@ -537,7 +544,8 @@ def user_topic_matrix(v):
 @query(
     duckdb_sql(
         """
-SELECT DISTINCT e.user_id, 'kmeans' AS model, @t0 AS predicted_at, TRUE AS labelled
+SELECT DISTINCT e.user_id, 'kmeans' AS model, @t0 AS predicted_at, TRUE AS labelled,
+  TRUE AS nearest_centroid
 FROM fx_engagements e JOIN fx_contentinfo i ON e.content_id = i.content_id
 WHERE e.target_ref = 'content' AND len(i.topics) > 0""",
         "engagements",
@@ -545,11 +553,20 @@ WHERE e.target_ref = 'content' AND len(i.topics) > 0""",
     )
 )
 def user_clusters(v):
-    """Which cluster a user falls in has no SQL form; that each user has one label does."""
+    """Which cluster a user falls in has no SQL form; that its centroid is the nearest does."""
     counts = saved(_topic_counts(v))
     places = clusters.topic_places(counts, _taxonomy(v))
-    labels = clusters.user_clusters(clusters.user_topic_vectors(counts, places), AS_OF, k=7)
-    return labels.select("user_id", "model", "predicted_at", F.col("user_class").between(0, 6).alias("labelled"))
+    vectors = saved(clusters.user_topic_vectors(counts, places))
+    fitted = clusters.fit_clusters(vectors, k=7)
+    labels = clusters.labelled_users(fitted, vectors, AS_OF)
+    checked = clusters.with_distances(labels, vectors, fitted)
+    return checked.select(
+        "user_id",
+        "model",
+        "predicted_at",
+        F.col("user_class").between(0, 6).alias("labelled"),
+        (F.col("own_distance") <= F.col("least_distance") + 1e-9 * (1 + F.col("least_distance"))).alias("nearest_centroid"),
+    )
 
 
 @rows_query
