@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hubbub.plans import (  # noqa: F401
+    queries_boosting,
     queries_fraud,
     queries_recommend,
     queries_sinks,

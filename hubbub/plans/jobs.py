@@ -17,6 +17,7 @@ from hubbub.functions.constants import CONTENT_FEATURES, ONE_CLASS_MODEL
 from hubbub.functions.text import clean_message_v2
 from hubbub.functions.times import newer_than
 from hubbub.operators import (
+    boosting,
     clusters,
     engagement,
     feed,
@@ -156,9 +157,13 @@ def country_models_job(
     days: float = 30.0,
     min_rows: int = 3,
     base: str = "th",
+    trees: dict | None = None,
 ) -> None:
     """A model per country; ``countries`` (one column ``account``) without one get the base's.
 
+    With ``trees``, parameters of ``fit_boosted``, models are boosted trees; their rows have other
+    columns than those of ridge models, so they need a target of their own.
+
     The base model is the one just fitted, or the stored one when the base was not trainable.
     """
     rows = saved(
@@ -167,7 +172,7 @@ def country_models_job(
         )
     )
     fitted = saved(_fit(spark, rows, "country_code", content_stats, creator_stats, as_of,
-                  features.eligible_keys(rows, "country_code", min_rows)))
+                  features.eligible_keys(rows, "country_code", min_rows), trees))
     keys = ["account", "model"]
     stored = fitted
     if spark.catalog.tableExists(target):
@@ -187,8 +192,12 @@ def account_models_job(
     target: str = "account_models",
     days: float = 30.0,
     min_rows: int = 3,
+    trees: dict | None = None,
 ) -> None:
-    """A model per account with enough engagement; does nothing while a source is empty."""
+    """A model per account with enough engagement; does nothing while a source is empty.
+
+    ``trees`` as in ``country_models_job``.
+    """
     recent = features_window(read_table(spark, content_stats), as_of, days)
     if (
         read_table(spark, engagements).isEmpty()
@@ -198,7 +207,7 @@ def account_models_job(
         return
     rows = saved(features.account_engagement(read_table(spark, engagements), read_table(spark, users)))
     fitted = _fit(spark, rows, "account_id", recent, creator_stats, as_of,
-                  features.eligible_accounts(rows, min_rows))
+                  features.eligible_accounts(rows, min_rows), trees)
     merge_rows(fitted, target, ["account", "model"])
 
 
@@ -206,12 +215,15 @@ def features_window(content_stats: DataFrame, as_of: datetime, days: float) -> D
     return content_stats.where(newer_than(content_stats, "updated_at", as_of, days))
 
 
-def _fit(spark, rows, key, content_stats, creator_stats, as_of, eligible) -> DataFrame:
+def _fit(spark, rows, key, content_stats, creator_stats, as_of, eligible, trees=None) -> DataFrame:
     content = read_table(spark, content_stats) if isinstance(content_stats, str) else content_stats
     trainable = rows.join(eligible.select(key), key, "left_semi")
     labelled = features.weighted_label(trainable, key)
     known = features.content_features(content, read_table(spark, creator_stats))
     training = features.with_features(labelled, known)
+    if trees is not None:
+        grown = boosting.fit_boosted(saved(training), key, CONTENT_FEATURES, "label", **trees)
+        return boosting.as_models(grown, key, CONTENT_FEATURES, as_of)
     return models.fit_per_key(training, key, CONTENT_FEATURES, "label", as_of)
 
 

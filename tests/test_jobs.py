@@ -89,6 +89,18 @@ def test_model_jobs(spark, tables):
     assert spark.table("account_models").count() > 0
 
 
+def test_boosted_model_jobs(spark, tables):
+    jobs.content_stats_job(spark, AS_OF)
+    jobs.creator_stats_job(spark, AS_OF)
+    trained = spark.table("accounts").select(F.lower("country_code")).first()[0]
+    countries = spark.createDataFrame([(c,) for c in ("c1", "zz")], "account string")
+    for _ in range(2):
+        jobs.country_models_job(spark, AS_OF, countries, target="country_trees", base=trained, trees={"trees": 2, "depth": 2})
+    fitted = {r["account"]: r for r in sinks.read_table(spark, "country_trees").collect()}
+    assert fitted["zz"]["trees"] == fitted[trained]["trees"] and fitted["zz"]["model"] == "boosted"
+    assert {t["tree"] for t in fitted[trained]["trees"]} >= {0, 1}
+
+
 def test_suggestion_jobs(spark, tables):
     jobs.default_feed_job(spark, AS_OF)
     feed = spark.table("default_guest")
