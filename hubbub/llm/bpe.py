@@ -3,8 +3,9 @@
 A token sequence is the BPE encoding of its bytes exactly if each token encodes to itself and each
 neighbouring pair encodes to that pair. So a text has one path through the nondeterministic machine
 whose states are (last token, place in the vocabulary's trie). ``Transducer`` follows all paths at
-once: a determinised state holds the tokens that each open path has not yet agreed on. Tokens are
-emitted once all open paths share them, which is after at most the longest token's bytes. States and
+once: a determinised state holds the tokens that each open path has not yet agreed on. A path
+lives as long as some token may still end ahead of it. Tokens are emitted once all open paths share them,
+which is after at most the longest token's bytes. States and
 their transitions are made when first met and forgotten together at ``max_states``, so memory is
 bounded; frequent pieces are kept in a bounded table.
 
@@ -105,13 +106,19 @@ class Transducer:
                     self.token.append(-1)
                     self.inner.append(False)
             self.token[node] = rank
-        self.halves = {t: h for t, h in halves.items() if len(h) == 2}
+        #: The tokens that a token was merged from, or -1, and the token that two make side by side.
+        self.left, self.right = [-1] * (max(ranks.values()) + 1), [-1] * (max(ranks.values()) + 1)
+        for raw, h in halves.items():
+            if len(h) == 2:
+                self.left[ranks[raw]], self.right[ranks[raw]] = ranks[h[0]], ranks[h[1]]
+        self.joined: dict[int, int] = {}
+        for raw, rank in ranks.items():
+            for i in range(1, len(raw)):
+                first, second = ranks.get(raw[:i]), ranks.get(raw[i:])
+                if first is not None and second is not None:
+                    self.joined[first << 32 | second] = rank
         #: Whether every token comes after its halves, as in any trained vocabulary.
-        self.ordered = all(max(map(ranks.__getitem__, h)) < ranks[t] for t, h in self.halves.items())
-        self.below: dict[int, list[int]] = {}
-        self.kids: dict[int, list[int]] = {}
-        for key, node in self.child.items():
-            self.kids.setdefault(key >> 8, []).append(node)
+        self.ordered = all(max(x, y) < t for t, (x, y) in enumerate(zip(self.left, self.right)) if x >= 0)
         self._forget()
 
     def _forget(self) -> None:
@@ -120,7 +127,6 @@ class Transducer:
         self.states: list[tuple] = []
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte
         self.pairs: dict[int, bool] = {}
-        self.hopes: dict[int, bool] = {}
         self.start = self._state((-1, (((), 0),)))
 
     def _state(self, state: tuple) -> int:
@@ -147,72 +153,55 @@ class Transducer:
         Both tokens are taken apart again, the later merge first. They cannot stand together if, at
         some point, the two parts at the border would have merged before the merge just undone.
         """
-        a, b = self.bytes_of[left], self.bytes_of[right]
         if not self.ordered:
+            a, b = self.bytes_of[left], self.bytes_of[right]
             return self.merged(a + b) == [a, b]
-        ranks, halves = self.ranks, self.halves
+        a, b, first, second, joined = left, right, self.left, self.right, self.joined
         until_a = until_b = 1 << 60  # rank of the merge that takes each part away from the border
         while True:
-            rank = ranks.get(a + b)
+            rank = joined.get(a << 32 | b)
             if rank is not None and rank < until_a and rank <= until_b:
                 return False
-            split_a, split_b = halves.get(a), halves.get(b)
-            if split_b and (not split_a or ranks[b] >= ranks[a]):
-                until_b, b = ranks[b], split_b[0]
-            elif split_a:
-                until_a, a = ranks[a], split_a[1]
+            if first[b] >= 0 and (b >= a or second[a] < 0):
+                until_b, b = b, first[b]
+            elif second[a] >= 0:
+                until_a, a = a, second[a]
             else:
                 return True
 
-    def _tokens_below(self, node: int) -> list[int]:
-        """All longer tokens that begin with the bytes of a node, frequent ones first."""
-        known = self.below.get(node)
-        if known is None:
-            kids = self.kids.get(node, ())
-            known = [self.token[k] for k in kids if self.token[k] >= 0]
-            for k in kids:
-                known += self._tokens_below(k)
-            known.sort()
-            self.below[node] = known
-        return known
-
-    def _open(self, last: int, node: int) -> bool:
-        """Whether any token that can follow ``last`` is still ahead of a node."""
-        if last < 0:
-            return True
-        key = last << 32 | node
-        known = self.hopes.get(key)
-        if known is None:
-            known = self.hopes[key] = any(self.follows(last, t) for t in self._tokens_below(node))
-        return known
-
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         last, paths = self.states[state]
+        child, ends, inner, pairs = self.child, self.token, self.inner, self.pairs
         out = []
         for tokens, node in paths:
-            node = self.child.get(node << 8 | byte)
+            node = child.get(node << 8 | byte)
             if node is None:
                 continue
-            before = tokens[-1] if tokens else last
-            if self.inner[node] and self._open(before, node):
+            if inner[node]:
                 out.append((tokens, node))
-            token = self.token[node]
+            token = ends[node]
             if token >= 0:
+                before = tokens[-1] if tokens else last
                 pair = before << 32 | token
-                fits = before < 0 or self.pairs.get(pair)
+                fits = before < 0 or pairs.get(pair)
                 if fits is None:
-                    fits = self.pairs[pair] = self.follows(before, token)
+                    fits = pairs[pair] = self.follows(before, token)
                 if fits:
                     out.append(((*tokens, token), 0))
-        emitted = out[0][0]
-        for tokens, _ in out:
-            while emitted != tokens[: len(emitted)]:
-                emitted = emitted[:-1]
-        if emitted:
-            n, last = len(emitted), emitted[-1]
-            out = [(tokens[n:], node) for tokens, node in out]
-        if all(tokens for tokens, _ in out):
-            last = -2  # no path can meet it any more
+        if len(out) == 1:  # the usual case: one path, which emits all it has
+            emitted, node = out[0]
+            if emitted:
+                last, out = emitted[-1], [((), node)]
+        else:
+            emitted = out[0][0]
+            for tokens, _ in out:
+                while emitted != tokens[: len(emitted)]:
+                    emitted = emitted[:-1]
+            if emitted:
+                n, last = len(emitted), emitted[-1]
+                out = [(tokens[n:], node) for tokens, node in out]
+            if all(tokens for tokens, _ in out):
+                last = -2  # no path can meet it any more
         known = self.moves[state << 8 | byte] = self._state((last, tuple(out))), emitted
         return known
 
@@ -368,7 +357,7 @@ def encoded_checked(
         for value in batch.column(batch.schema.get_field_index(text)):
             value = value.as_py() or ""
             found.append(list(chain.from_iterable(encoder.blocks(value))))
-            same.append(decoder.bytes(found[-1]) == value.encode())
+            same.append(decoder.feed(found[-1]) + decoder.end() == value)
         return [pa.array(found, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
 
     fields = [StructField(ids, ArrayType(IntegerType())), StructField(intact, BooleanType())]
@@ -392,14 +381,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
         encoder, decoder = tools()
-        raw, shown = decoder.raw, decoder.shown
+        shown = decoder.shown
         counts, ids_digests, digests = [], [], []
         for value in batch.column(batch.schema.get_field_index(text)):
             n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
             for ids in encoder.blocks(value.as_py() or ""):
                 of_ids.update((("," if n else "") + ",".join(map(shown.__getitem__, ids))).encode())
-                of_bytes.update(b"".join(map(raw.__getitem__, ids)))
+                of_bytes.update(decoder.feed(ids).encode())
                 n += len(ids)
+            of_bytes.update(decoder.end().encode())
             counts.append(n)
             ids_digests.append(of_ids.hexdigest())
             digests.append(of_bytes.hexdigest())
