@@ -19,6 +19,8 @@ from hubbub.functions.text import (
     topic_slugs,
 )
 from hubbub.functions.times import utc
+from hubbub.operators.products import best_products
+from hubbub.session import saved
 
 LABELS_AT_ONCE = 4_096
 NO_TOPIC = "etc"
@@ -194,6 +196,22 @@ def _best_of(rows: list):
     return best
 
 
+def _matched_in_blocks(vectors: DataFrame, labels: DataFrame) -> DataFrame:
+    """``vectors`` with ``_best``, by exact products with blocks of labels."""
+    numbered = saved(labels.orderBy("topic").withColumn("item", F.monotonically_increasing_id()))
+    rows = saved(vectors.withColumn("_row", F.monotonically_increasing_id()))
+    found = best_products(
+        rows.where(F.col("embedding").isNotNull()).select(F.col("_row").alias("query"), F.col("embedding").alias("vector")),
+        numbered.select("item", F.col("embedding").alias("vector")),
+        k=1,
+        block=LABELS_AT_ONCE,
+    )
+    best = found.join(numbered.select("item", "topic"), "item").select(
+        F.col("query").alias("_row"), F.struct("topic", "score").alias("_best")
+    )
+    return rows.join(best, "_row", "left").drop("_row")
+
+
 def embedding_topics(
     vectors: DataFrame, topic_vectors: DataFrame, threshold: float = 0.15
 ) -> DataFrame:
@@ -201,18 +219,20 @@ def embedding_topics(
 
     ``vectors`` has ``embedding`` and may have a cleaned ``message``; ``topic_vectors`` has
     ``topic`` and ``embedding``, any number of rows. Scores under the threshold, and messages of at
-    most one token, are ``etc`` with 0; of equal scores the first topic counts. Labels are taken in
-    slices of ``LABELS_AT_ONCE``, each slice is one more pass of matrix products over the Arrow
-    batches.
+    most one token, are ``etc`` with 0; of equal scores the first topic counts. Up to
+    ``LABELS_AT_ONCE`` labels are one matrix in every task. More are blocks of that size, ordered by
+    length: a vector goes to the blocks that can hold its best label, and to no others.
     """
-    labels = topic_vectors.select(F.col("topic").cast("string").alias("topic"), "embedding")
-    slices = 1 + (labels.count() - 1) // LABELS_AT_ONCE
-    part = F.pmod(F.xxhash64("topic"), F.lit(max(1, slices)))
-    matched = vectors.withColumn("_best", F.lit(None).cast("struct<topic:string, score:double>"))
-    for number in range(max(0, slices)):
-        rows = sorted(labels.where(part == number).toLocalIterator(), key=lambda row: row["topic"])
-        if rows:
-            matched = matched.withColumn("_best", _best_of(rows)(F.col("embedding"), F.col("_best")))
+    labels = topic_vectors.select(F.col("topic").cast("string").alias("topic"), "embedding").where(
+        F.col("topic").isNotNull() & F.col("embedding").isNotNull()
+    )
+    some = labels.limit(LABELS_AT_ONCE + 1).collect()
+    if len(some) > LABELS_AT_ONCE:
+        matched = _matched_in_blocks(vectors, labels)
+    else:
+        none = F.lit(None).cast("struct<topic:string, score:double>")
+        best = _best_of(sorted(some, key=lambda row: row["topic"]))(F.col("embedding"), none) if some else none
+        matched = vectors.withColumn("_best", best)
     clear = F.col("_best.score") >= threshold
     if "message" in vectors.columns:
         clear = clear & (token_count(F.col("message")) > 1)

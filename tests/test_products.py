@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from hubbub.operators import clusters, products, recommend
+from hubbub.operators import clusters, products, recommend, topics
 from hubbub.plans.sample_views import AS_OF
 
 
@@ -99,3 +99,26 @@ def test_a_wrong_class_is_seen(spark):
     for r in labels.collect():
         own = dict(rows)[r["user_id"]].toArray()
         assert min(range(4), key=lambda c: ((own - centers[c]) ** 2).sum()) == r["user_class"]
+
+
+def test_ten_thousand_labels(spark):
+    """Blocks of labels: exact, ties to the first topic, and a plan that does not grow with the labels."""
+    rng = random.Random(8)
+    vector = lambda: [round(rng.gauss(0, 1), 3) for _ in range(5)]
+    labels = [(f"t{i:05}", vector()) for i in range(10_000)]
+    labels += [("twin-b", [9.0, 9.0, 9.0, 9.0, 9.0]), ("twin-a", [9.0, 9.0, 9.0, 9.0, 9.0]), (None, [99.0] * 5), ("none", None)]
+    rows = [(i, vector(), "two words") for i in range(40)] + [(100, [1.0] * 5, "two words"), (101, None, "two words"), (102, [1.0] * 5, "word")]
+    vectors = spark.createDataFrame(rows, "content_id int, embedding array<double>, message string")
+    frame = spark.createDataFrame(labels, "topic string, embedding array<double>")
+    found = topics.embedding_topics(vectors, frame)
+    classes = {r["content_id"]: r["class"] for r in found.collect()}
+    usable = [(t, e) for t, e in labels if t is not None and e is not None]
+    for i, v, message in rows:
+        if v is None or message == "word":
+            assert classes[i] == "etc"
+        else:
+            assert classes[i] == min((-sum(x * y for x, y in zip(v, e)), t) for t, e in usable)[1]
+    assert classes[100] == "twin-a"
+    fewer = topics.embedding_topics(vectors, frame.where("topic < 't05000' OR topic LIKE 'twin%'"))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    assert size(found) == size(fewer)
