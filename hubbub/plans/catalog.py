@@ -5,6 +5,7 @@ from __future__ import annotations
 from hubbub.plans import (  # noqa: F401
     queries_boosting,
     queries_fraud,
+    queries_language,
     queries_recommend,
     queries_sinks,
     queries_stats,
