@@ -32,6 +32,12 @@ SKETCH = 64
 STEP = 1 << 19
 
 
+#: The next name of a symbol by its left neighbour's name and its own, both small: index 256 * left + own.
+_LEFT, _OWN = np.divmod(np.arange(1 << 16), 256)
+_LOWEST = np.bitwise_count((_LEFT ^ _OWN) ^ ((_LEFT ^ _OWN) - 1)) - 1
+_NEXT = np.where(_LEFT == _OWN, 0, (_LOWEST << 1) | ((_OWN >> _LOWEST) & 1)).astype(np.uint8)
+
+
 def _run_heads(symbols: np.ndarray, of: np.ndarray) -> np.ndarray:
     heads = np.ones(len(symbols), bool)
     heads[1:] = (symbols[1:] != symbols[:-1]) | (of[1:] != of[:-1])
@@ -39,27 +45,37 @@ def _run_heads(symbols: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 
 def _tossed(names: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Each name by the lowest bit in which it differs from its left neighbour, and that bit.
+    """Each name by the lowest bit in which it differs from its left neighbour, and that bit; 0 if equal.
 
     Neighbours differ, and keep on differing. A text's first symbol has no neighbour: it takes its own
-    lowest bit.
+    lowest bit. Names are below 192 from the first toss on, and are tossed by table then.
     """
     left = np.empty_like(names)
     left[1:] = names[:-1]
     left[first] = ~names[first]
-    differ = names ^ left
-    lowest = differ & (~differ + np.uint64(1))
-    place = np.log2(lowest.astype(np.float64)).astype(np.uint64)
-    return (place << np.uint64(1)) | ((names >> place) & np.uint64(1))
+    if names.dtype == np.uint8:
+        return _NEXT[(left.astype(np.uint16) << np.uint16(8)) | names]
+    left ^= names
+    place = np.bitwise_count(left ^ (left - np.uint64(1))) - np.uint8(1)
+    out = (place << np.uint8(1)) | ((names >> place) & np.uint64(1)).astype(np.uint8)
+    return np.where(left == 0, np.uint8(0), out)
+
 
+def _phrases(
+    symbols: np.ndarray, of: np.ndarray, values: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the phrases of all texts and the text of each, in order; places of repeated symbols.
 
-def _phrases(symbols: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the phrases of all texts and the text of each, in order; places of repeated symbols."""
+    ``values`` are what symbols are added up by, where that is known already.
+    """
     heads = _run_heads(symbols, of)
     lengths = np.diff(np.append(heads, len(symbols)))
-    repeated = heads[lengths > 1]
+    runs = np.flatnonzero(lengths > 1)
+    repeated = heads[runs]
     own, of = symbols[heads], of[heads]
-    own = np.where(lengths > 1, mixed(own + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), own)
+    values = mixed(own + np.uint64(1)) if values is None else values[heads]
+    own[runs] = mixed(own[runs] + lengths[runs].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    values[runs] = mixed(own[runs] + np.uint64(1))
     starts = np.ones(len(own), bool)
     starts[1:] = of[1:] != of[:-1]
     first = np.flatnonzero(starts)
@@ -70,7 +86,7 @@ def _phrases(symbols: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarra
         same = np.zeros(len(names), bool)
         same[1:] = (names[1:] == names[:-1]) & ~starts[1:]
         if same.any():
-            names = names + same.astype(np.uint64) * np.uint64(1 << 6)
+            names = names + (same.view(np.uint8) << np.uint8(6))
     cuts = starts.copy()
     if len(names) > 2:
         # A text's last symbol begins no phrase: what follows it belongs to another text.
@@ -78,23 +94,28 @@ def _phrases(symbols: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarra
         # No phrase of one symbol next to a text's start.
         cuts[1:] &= ~starts[:-1] | starts[1:]
     at = np.flatnonzero(cuts)
-    place = np.arange(len(own)) - np.repeat(at, np.diff(np.append(at, len(own))))
-    weights = mixed((place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    total = np.add.reduceat(mixed(own + np.uint64(1)) * weights, at)
-    return mixed(total), of[at], repeated
+    sizes = np.diff(np.append(at, len(own)))
+    weights = mixed(np.arange(1, sizes.max() + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    values *= weights[np.arange(len(own)) - np.repeat(at, sizes)]
+    return mixed(np.add.reduceat(values, at)), of[at], repeated
+
+
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+_BYTE_VALUES = mixed(_BYTES + np.uint64(1))
 
 
 def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted sketch of each text."""
     data = np.frombuffer(b"".join(texts), np.uint8)
-    of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    symbols = mixed(data.astype(np.uint64) + np.uint64(1))
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+    symbols, values = _BYTES[data], _BYTE_VALUES[data]
     kept_of, kept = [], []
     for level in LEVELS:
         if not len(symbols):
             break
         below, of_below = symbols, of
-        symbols, of, repeated = _phrases(symbols, of)
+        symbols, of, repeated = _phrases(symbols, of, values)
+        values = None
         if level > 1:  # a run is one symbol with its length; what it repeats counts too
             kept.append(below[repeated] >> np.uint64(32))
             kept_of.append(of_below[repeated])
@@ -102,7 +123,11 @@ def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
         kept_of.append(of)
     if not kept:
         return [np.zeros(0, np.uint32)] * len(texts)
-    keys = np.unique(np.concatenate(kept_of).astype(np.uint64) << np.uint64(32) | np.concatenate(kept))
+    keys = np.concatenate(kept_of).astype(np.uint64) << np.uint64(32) | np.concatenate(kept)
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    keys = keys[new]
     bounds = np.searchsorted(keys, np.arange(len(texts) + 1).astype(np.uint64) << np.uint64(32))
     low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     return [low[a : min(b, a + SKETCH)] for a, b in zip(bounds[:-1], bounds[1:])]
