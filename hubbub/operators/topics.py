@@ -20,6 +20,7 @@ from hubbub.functions.text import (
 )
 from hubbub.functions.times import utc
 from hubbub.operators.products import best_products
+from hubbub.operators.vectors import text_vectors
 from hubbub.session import saved
 
 LABELS_AT_ONCE = 4_096
@@ -243,3 +244,13 @@ def embedding_topics(
         .alias("class"),
         F.when(clear, half_even(F.col("_best.score"), 2)).otherwise(F.lit(0.0)).alias("score"),
     )
+
+
+def text_topics(messages: DataFrame, labels: DataFrame, model: DataFrame, key: str, threshold: float = 0.15) -> DataFrame:
+    """Topics of messages from their text alone, as ``class`` and ``score``; see ``embedding_topics``.
+
+    ``messages`` has ``message``, cleaned, and ``key``; ``labels`` has ``topic`` and ``words`` that describe it,
+    one row per topic. Both get their vectors by ``model`` (of ``fit_vectors``). Messages without a vector are ``etc``.
+    """
+    described = text_vectors(labels.select("topic", "words"), model, "topic", "words").select("topic", "embedding")
+    return embedding_topics(text_vectors(messages, model, key, "message"), described, threshold)
