@@ -11,6 +11,7 @@ from hubbub.plans import (  # noqa: F401
     queries_stats,
     queries_streaming,
     queries_text,
+    queries_vectors,
 )
 from hubbub.plans.registry import ORACLES, QUERIES, ROWS
 

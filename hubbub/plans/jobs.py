@@ -17,6 +17,7 @@ from hubbub.functions.constants import CONTENT_FEATURES, ONE_CLASS_MODEL
 from hubbub.functions.text import clean_message_v2
 from hubbub.functions.times import newer_than
 from hubbub.operators import (
+    autoencoder as encoders,
     boosting,
     clusters,
     engagement,
@@ -28,6 +29,7 @@ from hubbub.operators import (
     stats,
     topics,
     upsert,
+    vectors,
 )
 from hubbub.session import saved, scratch
 from hubbub.sources.sinks import append_rows, merge_rows, read_table, reload_table, rewrite_table, settle
@@ -257,14 +259,22 @@ def member_recommendations_job(
     filtering: str = "contentfiltering",
     prefix: str = "",
     k: int = 10,
+    autoencoder: dict | None = None,
 ) -> None:
-    """Scores, the two id dictionaries, the content list and the session features."""
+    """Scores, the two id dictionaries, the content list and the session features.
+
+    ``autoencoder`` (``width`` and other settings of ``fit_autoencoder``) takes that model in place of linear
+    factors.
+    """
     listed = recommend.articles(*[read_table(spark, t) for t in (contents, users, accounts, filtering)])
     countable = recommend.listed_contents(read_table(spark, contents), read_table(spark, filtering))
     pairs = recommend.interactions(read_table(spark, engagements), countable, as_of, unknown_as="like")
     reload_table(recommend.session_features(pairs), f"{prefix}member_interactions")
     saved = read_table(spark, f"{prefix}member_interactions")
-    scores, people, items = recommend.member_recommendations(saved, k)
+    if autoencoder is None:
+        scores, people, items = recommend.member_recommendations(saved, k)
+    else:
+        scores, people, items = encoders.autoencoder_recommendations(saved, k=k, **autoencoder)
     reload_table(scores, f"{prefix}results_recommend")
     reload_table(people, f"{prefix}person_dict")
     reload_table(items, f"{prefix}content_dict")
@@ -311,6 +321,37 @@ def embedding_topics_job(
     merge_rows(tagged, filtering, ["content_id"], "update", ["class", "class_score"])
 
 
+@cleans_up
+def train_text_vectors_job(
+    spark: SparkSession,
+    filtering: str = "contentfiltering",
+    target: str = "text_vector_model",
+    **setting,
+) -> None:
+    """The model of text vectors, fitted to all messages; ``setting`` goes to ``fit_vectors``."""
+    rows = _cleaned(read_table(spark, filtering))
+    counts = saved(vectors.bucket_counts(rows, "content_id", "message", setting.get("buckets", vectors.BUCKETS)))
+    reload_table(vectors.fit_vectors(counts, **setting), target)
+
+
+def text_topics_job(
+    spark: SparkSession,
+    labels: DataFrame,
+    filtering: str = "contentfiltering",
+    model: str = "text_vector_model",
+) -> None:
+    """Class and score of rows without a class, from their message; ``labels`` has ``topic`` and ``words``."""
+    rows = _cleaned(topics.untagged(read_table(spark, filtering)))
+    tagged = topics.text_topics(rows, labels, read_table(spark, model), "content_id").select(
+        "content_id", "class", F.col("score").alias("class_score")
+    )
+    merge_rows(tagged, filtering, ["content_id"], "update", ["class", "class_score"])
+
+
+def _cleaned(rows: DataFrame) -> DataFrame:
+    return rows.select("content_id", clean_message_v2(F.col("message_en")).alias("message"))
+
+
 def extract_credentials_job(
     spark: SparkSession,
     as_of: datetime,

@@ -110,6 +110,9 @@ def test_suggestion_jobs(spark, tables):
     assert 0 < spark.table("results_recommend").count() <= 3 * people
     assert spark.table("content_info").count() == spark.table("content_dict").count()
     assert {"daytime", "weekend"} <= set(spark.table("member_interactions").columns)
+    jobs.member_recommendations_job(spark, AS_OF, k=2, prefix="bent_", autoencoder={"width": 64, "hidden": 8, "epochs": 2})
+    scores = spark.table("bent_results_recommend")
+    assert scores.count() == 2 * people and scores.where("score BETWEEN 0 AND 1").count() == 2 * people
 
 
 def test_cluster_job(spark, tables):
@@ -132,6 +135,19 @@ def test_embedding_job_fills_missing_classes(spark, tables):
     assert done.where("class_score IS NULL").count() == known
 
 
+def test_topics_from_text_fill_missing_classes(spark, tables):
+    stored = spark.table("contentfiltering").withColumn("class_score", F.lit(None).cast("double"))
+    known = stored.where("class IS NOT NULL").count()
+    sinks.reload_table(stored, "read_texts")
+    jobs.train_text_vectors_job(spark, "read_texts", rank=8, buckets=512, passes=2)
+    assert spark.table("text_vector_model").count() == 512
+    labels = spark.createDataFrame([("fox", "the quick brown fox"), ("money", "bank market share")], "topic string, words string")
+    jobs.text_topics_job(spark, labels, "read_texts")
+    done = spark.table("read_texts")
+    assert done.where("class IS NULL").isEmpty() and done.where("class_score IS NULL").count() == known
+    assert {r[0] for r in done.where("class_score IS NOT NULL").select("class").distinct().collect()} <= {"fox", "money", "etc"}
+
+
 def test_screening_cycle(spark, tables):
     assert jobs.train_one_class_job(spark, AS_OF, folds=10_000) is False
     assert jobs.train_one_class_job(spark, AS_OF) is True
