@@ -1,9 +1,10 @@
 """WARC archives in Zstandard with an embedded dictionary, and their reader.
 
-Every partition becomes one archive. Its writer holds the first ``sample_bytes`` of its records, builds
-a dictionary from them, writes the dictionary in a leading skippable frame, and then every record as a
-frame of its own, so any record can be read alone. Archives are written by Spark itself: each row is a
-frame, and the "line end" between rows is an empty skippable frame, which readers pass over.
+Every partition becomes archives of bounded size. Its writer holds the first ``sample_bytes`` of its
+records, builds a dictionary from them, writes the dictionary in a leading skippable frame of each archive,
+and then every record as a frame of its own, so any record can be read alone. Archives are written by Spark
+itself: each row is a block of frames, a file takes a fixed number of rows, and the "line end" between rows
+is an empty skippable frame, which readers pass over.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest page id is a
 response; the others are revisits that refer to it and carry no payload. The first id of a payload is
@@ -122,8 +123,14 @@ def write_archives(
     sample_bytes: int = 1 << 20,
     dictionary_bytes: int = 64 << 10,
     level: int = 3,
+    block_bytes: int = 4 << 20,
+    blocks: int = 16,
 ) -> None:
-    """Write ``page_id``, ``url`` and ``html`` of all pages as archives under ``path``."""
+    """Write ``page_id``, ``url`` and ``html`` of all pages as archives under ``path``.
+
+    An archive is at most ``blocks`` blocks of frames; a block is closed once it has ``block_bytes``. So an archive is
+    no larger than 64 MB and ``blocks`` records, however much a task holds, and each begins with the dictionary.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id"),
@@ -168,19 +175,21 @@ def write_archives(
         writer = zstandard.ZstdCompressor(
             level, dict_data=zstandard.ZstdCompressionDict(trained), write_checksum=True, write_content_size=True
         )
-        out, size = [skippable(DICTIONARY_MAGIC, trained)], 0
+        head = skippable(DICTIONARY_MAGIC, trained)
+        out, size, written = [head], 0, 0
         for part in (held, source):
             for raw in part:
+                if size >= block_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], names=["block"])
+                    written += 1
+                    # The writer begins a new file after this many rows of a task.
+                    out, size = ([] if written % blocks else [head]), 0
                 out.append(writer.compress(raw))
                 size += len(out[-1])
-                if size >= 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-
-    framed = typed.mapInArrow(run, "frame binary")
-    framed.select(F.col("frame").cast("string")).write.option("lineSep", BETWEEN).text(path)
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], names=["block"])
+
+    framed = typed.mapInArrow(run, "block binary").select(F.col("block").cast("string"))
+    framed.write.option("lineSep", BETWEEN).option("maxRecordsPerFile", blocks).text(path)
 
 
 def read_archives(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:

@@ -32,6 +32,24 @@ def test_round_trip(spark, tmp_path):
     assert n == len(rows)
 
 
+def test_archives_are_bounded_and_stand_alone(spark, tmp_path):
+    """One task, many archives; page columns named as the record's own do no harm."""
+    rows = [(i, f"http://x/{i}", hashlib.sha512(str(i % 450).encode()).hexdigest() * 4, "kept out", b"?") for i in range(500)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, block binary").coalesce(1)
+    path = tmp_path / "archives"
+    warc.write_archives(table, str(path), sample_bytes=8_000, dictionary_bytes=2_000, block_bytes=3_000, blocks=4)
+    files = sorted(path.glob("part-*"))
+    assert len(files) > 3
+    found = []
+    for file in files:
+        raw = file.read_bytes()
+        assert int.from_bytes(raw[:4], "little") == warc.DICTIONARY_MAGIC and len(raw) < 2_000 + 4 * (3_000 + 1_000)
+        found += [warc.parsed(r)[0] for r in warc.records(raw)]
+    assert sorted(map(int, found)) == list(range(500))
+    got = warc.read_archives(spark, str(path)).collect()
+    assert len(got) == 500 and {r.page_id: r.refers_to for r in got if r.record_type == "revisit"} == {i: i - 450 for i in range(450, 500)}
+
+
 def test_no_pages(spark, tmp_path):
     table = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(table, str(tmp_path / "a"))
