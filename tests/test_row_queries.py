@@ -39,3 +39,15 @@ def test_recommendations_and_classes_are_rows(spark):
 def test_account_models_have_their_coefficients(spark):
     found = rows(spark, "account_model_rows").collect()
     assert found and all(len(r.coefficients) == len(CONTENT_FEATURES) and r.residual < 1e-5 for r in found)
+
+
+def test_topics_and_bent_recommendations_are_rows(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang").toPandas()
+    tagged = rows(spark, "text_topic_rows").toPandas().merge(docs, on="doc_id")
+    assert len(tagged) == len(docs) and (tagged["class"] == "etc").equals(tagged["score"] == 0)
+    known = tagged[(tagged["class"] != "etc") & tagged["lang"].notna()]
+    # Words tell the language of a text, whatever else they say.
+    assert len(known) > len(docs) / 2 and (known["class"].str.split("-").str[0] == known["lang"]).mean() > 0.8
+    got = rows(spark, "autoencoder_recommendation_rows").toPandas()
+    assert not got.isna().any().any() and got["score"].between(0, 1).all()
+    assert not got.duplicated(["person_id", "content_id"]).any() and got.groupby("person_id").size().max() <= 10
