@@ -1,3 +1,6 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +133,39 @@ def test_language_filter_grows_with_its_trigrams(spark, monkeypatch):
     # A slice holds no more slots than it may, and no language is found everywhere.
     some = model.slice(0)
     assert some.masks.shape[1] <= 1 << 12 and some.wrong.max() < 0.08
+
+
+def test_languages_equal_exact_sets(spark):
+    """The same decision from plain sets of trigrams instead of filters, over whole held-out texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    everything = [tuple(r) for r in docs.collect()] + [(-1, None, "en"), (-2, "", None), (-3, "42 !?", "de"), (-4, "É", None)]
+    rows = spark.createDataFrame(everything, "doc_id long, text string, lang string")
+
+    def grams(text):
+        low = f" {(text or '').lower()} "
+        plain = "".join(c if c.isalpha() else " " for c in low)
+        return [plain[i - 1 : i + 2] for i in range(1, len(plain) - 1) if plain[i] != " "]
+
+    train = [r for r in everything if zlib.crc32(str(r[0]).encode()) % 5 and r[2] is not None and r[1] is not None]
+    counts, texts = {}, Counter()
+    for _, text, lang in train:
+        counts.setdefault(lang, Counter()).update(grams(text))
+        texts[lang] += 1
+    languages = sorted(counts, key=lambda x: (-texts[x], x))
+    total = {x: sum(counts[x].values()) for x in languages}
+    top = {g: max(counts[x][g] / total[x] for x in languages) for c in counts.values() for g in c}
+    sets = {x: {g for g, n in counts[x].items() if n / total[x] * 4 >= top[g]} for x in languages}
+    training = rows.where(~queries.held_out(F.col("doc_id")))
+    found = {r.doc_id: r for r in langid.identified(rows, langid.fitted(training)).collect()}
+    assert len(found) == len(everything) and len(languages) > 2
+    for key, text, _ in everything:
+        own = grams(text)
+        shares = [sum(g in sets[x] for g in own) / max(len(own), 1) for x in languages]
+        best = int(np.argmax(shares))
+        row = found[key]
+        if not own:
+            assert (row.lang_pred, row.score) == ("und", 0)
+        elif shares[best] - sorted(shares)[-2] > 0.05:
+            assert row.lang_pred == languages[best] and abs(row.score - shares[best] / sum(shares)) < 0.05, (key, shares, row.score)
+    clear = [k for k, t, _ in everything if len(grams(t)) > 50]
+    assert np.mean([found[k].lang_pred == languages[int(np.argmax([sum(g in sets[x] for g in grams(t)) for x in languages]))] for k, t, _ in everything if k in set(clear)]) == 1
