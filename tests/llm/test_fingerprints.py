@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 
 from hubbub.llm import fingerprints as f
@@ -78,3 +79,50 @@ def test_rows_without_ids_are_neighbours_by_text(docs_of):
     found = {r.edited_text for r in f.compared(docs_of(rows), partitions=3).collect()}
     order = ["n", "e", "b", "k", "m", "q", "z"]
     assert found == {a * 20 + b * 10 for a, b in zip(order, [*order[1:], "n"])}
+
+
+FULL = (1 << 64) - 1
+
+
+def mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & FULL
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & FULL
+    return x ^ x >> 31
+
+
+def plain_sketch(text):
+    """The parse of one text, symbol by symbol."""
+    symbols, kept = [mix(b + 1) for b in text], set()
+    for level in f.LEVELS:
+        runs = [(s, len(list(same))) for s, same in itertools.groupby(symbols)]
+        if level > 1:
+            kept |= {s >> 32 for s, n in runs if n > 1}
+        own = [s if n == 1 else mix(s + n * 0xD6E8FEB86659FD93 & FULL) for s, n in runs]
+        names = own
+        for _ in range(3):
+            tossed = []
+            for left, name in zip([None, *names], names):
+                differ = 1 if left is None else left ^ name
+                place = (differ & -differ).bit_length() - 1
+                tossed.append((place << 1) | (name >> place & 1) if differ else 0)
+            names = [n + 64 * (i > 0 and n == tossed[i - 1]) for i, n in enumerate(tossed)]
+        phrases, here = [], []
+        for i, s in enumerate(own):
+            if 1 < i < len(own) - 1 and names[i - 1] < names[i] >= names[i + 1]:
+                phrases.append(here)
+                here = []
+            here.append(s)
+        phrases += [here] if here else []
+        weight = lambda i: mix((i + 1) * 0x9E3779B97F4A7C15 & FULL) | 1
+        symbols = [mix(sum(mix(s + 1 & FULL) * weight(i) for i, s in enumerate(p)) & FULL) for p in phrases]
+        kept |= {(s + level & FULL) >> 32 for s in symbols}
+    return sorted(kept)[: f.SKETCH]
+
+
+def test_parse_equals_a_plain_one():
+    random.seed(9)
+    texts = [b"", b"x", b"aa", b"ab", b"aaaaaaa", b"ab" * 50, bytes(range(256)), "é漢😀 \n".encode() * 9, b"z" * 5000]
+    texts += [bytes(random.choices(b"ab c"[: random.randint(2, 4)], k=random.randint(1, 300))) for _ in range(200)]
+    texts += ["".join(random.choices("abcdefghijklmnopqrstuvwxyz ", k=2000)).encode()]
+    for some in (texts, texts[::-1], *[[t] for t in texts[:12]]):
+        assert [x.tolist() for x in f.fingerprints(some)] == [plain_sketch(t) for t in some]
