@@ -12,15 +12,17 @@ Null and empty messages, and those without letters, have no entries and a null v
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hubbub.operators.language import letter_words
 from hubbub.operators.sums import summed
+from hubbub.session import saved
 
 BUCKETS = 4096
 #: Directions beyond the rank that the random subspace has.
@@ -38,10 +40,77 @@ def ngrams(text: Column) -> Column:
     return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
 
 
+def _counted(rows: DataFrame, key: str, alone: Callable[[DataFrame], DataFrame], merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``alone`` of the rows whose key is on no other row, and ``merged`` of the rest, which need a shuffle.
+
+    Keys are counted without their texts; one that repeats, null too, is one message.
+    """
+    numbers = rows.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
+    again = saved(numbers.where(F.col("_n") > 1).select("_again"))
+    if again.isEmpty():
+        return alone(rows)
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    return alone(rows.join(again, same, "left_anti")).unionByName(merged(rows.join(again, same, "left_semi")))
+
+
+def _counters(buckets: int):
+    """Functions for the workers, nested so that they need no copy of this package."""
+    step = ROWS_AT_ONCE
+
+    def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+        """Keys, all values, and the row of each value."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                some = batch.slice(at, step)
+                lengths = some.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                if lengths.any():
+                    yield some.column(0), some.column(1).flatten(), np.repeat(np.arange(len(some)), lengths)
+
+    def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, flat, row in slices(batches):
+            coded = flat.dictionary_encode()
+            names, word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+            kinds, next_to = len(names) + 1, row[1:] == row[:-1]
+            # A word is followed by 0, a pair's first word by 1 + the second.
+            owner, first = np.append(row, row[:-1][next_to]), np.append(word, word[:-1][next_to])
+            then = np.append(np.zeros(len(word), np.int64), 1 + word[1:][next_to])
+            found, count = np.unique((owner * kinds + first) * kinds + then, return_counts=True)
+            owner, first, then = found // kinds**2, found // kinds % kinds, found % kinds
+            for some, pair in ((then == 0, False), (then > 0, True)):
+                gram = names.take(pa.array(first[some]))
+                if pair:
+                    gram = pc.binary_join_element_wise(gram, names.take(pa.array(then[some] - 1)), " ")
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(owner[some])), gram, pa.array(count[some], pa.int64())], names=["_key", "gram", "count"]
+                )
+
+    def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, flat, row in slices(batches):
+            found, count = np.unique(row * buckets + flat.to_numpy(), return_counts=True)
+            owner, starts = np.unique(found // buckets, return_index=True)
+            own = pa.StructArray.from_arrays(
+                [pa.array(found % buckets, pa.int32()), pa.array(count, pa.int64())], names=["bucket", "count"]
+            )
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(found)), pa.int32()), own)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(owner)), lists], names=["_key", "entries"])
+
+    return grams, entries
+
+
 def ngram_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, gram, count`` of each message; ``key`` tells rows apart."""
-    grams = rows.select(key, F.explode(ngrams(F.col(text))).alias("gram"))
-    return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("count"))
+    """``key, gram, count`` of each message; a message's grams are counted where it is read."""
+    rows = rows.select(key, text)
+    kind = rows.schema[key].dataType.simpleString()
+
+    def alone(some: DataFrame) -> DataFrame:
+        words = some.select(key, letter_words(F.col(text)).alias("words"))
+        return words.mapInArrow(_counters(0)[0], f"_key {kind}, gram string, count long").withColumnRenamed("_key", key)
+
+    def merged(some: DataFrame) -> DataFrame:
+        grams = some.select(key, F.explode(ngrams(F.col(text))).alias("gram"))
+        return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("count"))
+
+    return _counted(rows, key, alone, merged)
 
 
 def bucket_counts(rows: DataFrame, key: str, text: str, buckets: int = BUCKETS) -> DataFrame:

@@ -80,3 +80,29 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a few words", 5)], "id long, message string, embedding int")
     row = vectors.text_vectors(some, model, "id", "message").first()
     assert row["embedding"] is None and row["message"] == "a few words"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_need_no_shuffle_of_grams(spark):
+    rows = spark.createDataFrame([(i, "one two two one two " * (i % 9)) for i in range(50)], "id long, message string")
+    assert "Exchange" not in plan_of(vectors.ngram_counts(rows, "id", "message"))
+
+
+def test_rows_with_one_key_are_one_message(spark):
+    rows = [(1, "the cat the"), (1, "the cat"), (2, "Zoë the cat"), (None, "a b"), (None, "b a b"), (3, None), (3, ""), (4, None), (5, "x")]
+    asked = spark.createDataFrame(rows, "id long, message string")
+    expected = {}
+    for key, message in rows:
+        expected.setdefault(key, Counter()).update(grams_of(message))
+    found = vectors.ngram_counts(asked, "id", "message").collect()
+    assert len(found) == len({(r["id"], r["gram"]) for r in found})
+    assert {(r["id"], r["gram"]): r["count"] for r in found} == {(k, g): n for k, c in expected.items() for g, n in c.items()}
+    hashed = spark.createDataFrame(found).withColumn("bucket", F.expr("cast(pmod(xxhash64(gram), 8) as int)"))
+    buckets = {(r["id"], r["bucket"]): r["n"] for r in hashed.groupBy("id", "bucket").agg(F.sum("count").alias("n")).collect()}
+    counted = vectors.bucket_counts(asked, "id", "message", 8)
+    assert counted.dtypes == [("id", "bigint"), ("entries", "array<struct<bucket:int,count:bigint>>")]
+    lists = {r["id"]: [tuple(e) for e in r["entries"]] for r in counted.collect()}
+    assert {(k, b): n for k, e in lists.items() for b, n in e} == buckets and all(e == sorted(e) for e in lists.values())
