@@ -115,14 +115,23 @@ def ngram_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
 
 def bucket_counts(rows: DataFrame, key: str, text: str, buckets: int = BUCKETS) -> DataFrame:
     """``key, entries``: the buckets of each message with their counts, at most ``buckets`` of them."""
-    number = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
-    return (
-        rows.select(key, F.explode(ngrams(F.col(text))).alias("gram"))
-        .groupBy(key, number.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("bucket", "count"))).alias("entries"))
-    )
+    rows = rows.select(key, text)
+    kind = rows.schema[key].dataType.simpleString()
+
+    def number(gram: Column) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+    def alone(some: DataFrame) -> DataFrame:
+        numbers = some.select(key, F.transform(ngrams(F.col(text)), number).alias("numbers"))
+        made = numbers.mapInArrow(_counters(buckets)[1], f"_key {kind}, entries array<struct<bucket:int,count:bigint>>")
+        return made.withColumnRenamed("_key", key)
+
+    def merged(some: DataFrame) -> DataFrame:
+        grams = some.select(key, F.explode(ngrams(F.col(text))).alias("gram"))
+        counts = grams.groupBy(key, number(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+        return counts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("bucket", "count"))).alias("entries"))
+
+    return _counted(rows, key, alone, merged)
 
 
 def bucket_rarity(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:

@@ -89,6 +89,7 @@ def plan_of(df):
 def test_counts_need_no_shuffle_of_grams(spark):
     rows = spark.createDataFrame([(i, "one two two one two " * (i % 9)) for i in range(50)], "id long, message string")
     assert "Exchange" not in plan_of(vectors.ngram_counts(rows, "id", "message"))
+    assert "Exchange" not in plan_of(vectors.bucket_counts(rows, "id", "message", 64))
 
 
 def test_rows_with_one_key_are_one_message(spark):
