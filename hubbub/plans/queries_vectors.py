@@ -41,7 +41,9 @@ def text_vectors(v):
     counts, model = _fitted(v)
     found = vectors.text_vectors(v.documents.select("doc_id", "text"), model, "doc_id", "text")
     weight = (1 + F.log("e.count")) * F.col("rarity")
-    entries = counts.select("doc_id", F.explode("entries").alias("e")).join(model, F.col("e.bucket") == F.col("bucket"))
+    # The model has one row per bucket at any number of texts: entries meet it where they are read.
+    exploded = counts.select("doc_id", F.explode("entries").alias("e"))
+    entries = exploded.join(F.broadcast(model), F.col("e.bucket") == F.col("bucket"))
     sums = [F.sum(weight * F.get("loadings", F.lit(i))).alias(f"s{i}") for i in range(_RANK)]
     own = entries.groupBy("doc_id").agg(F.array(*sums).alias("own"))
 

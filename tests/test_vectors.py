@@ -107,3 +107,15 @@ def test_rows_with_one_key_are_one_message(spark):
     assert counted.dtypes == [("id", "bigint"), ("entries", "array<struct<bucket:int,count:bigint>>")]
     lists = {r["id"]: [tuple(e) for e in r["entries"]] for r in counted.collect()}
     assert {(k, b): n for k, e in lists.items() for b, n in e} == buckets and all(e == sorted(e) for e in lists.values())
+
+
+def test_the_check_of_vectors_sends_the_model_to_the_entries(spark):
+    from hubbub.plans import catalog
+
+    least = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(least)
+    spark.conf.set(least, "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(catalog.queries()["text_vectors"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set(least, before)
