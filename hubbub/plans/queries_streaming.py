@@ -13,6 +13,8 @@ from hubbub.session import shared_dir
 from hubbub.streaming import topics as stream
 from hubbub.streaming.changelog import ChangeLog
 
+_PARTS = 3
+
 
 def _events(messages):
     """Messages as JSON change events."""
@@ -32,12 +34,14 @@ def _events(messages):
 def topic_stream(v):
     spark = v.spark
     folder = f"{shared_dir(spark)}/topic-stream-{uuid.uuid4()}"
-    # Several files of mixed dates, one per batch: later batches hold older messages too.
-    for part in range(3):
-        v.documents.where(F.col("doc_id") % 3 == part).write.mode("append").parquet(f"{folder}/in")
+    # Parts of mixed dates, one per batch: later batches hold older messages too. A part has as many
+    # files as its size asks for, so a batch takes a third of them, not one file each.
+    for part in range(_PARTS):
+        v.documents.where(F.col("doc_id") % _PARTS == part).write.mode("append").parquet(f"{folder}/in")
+    files = len(spark.read.schema(v.documents.schema).parquet(f"{folder}/in").inputFiles())
     documents = (
         spark.readStream.schema(v.documents.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", max(1, -(-files // _PARTS)))
         .parquet(f"{folder}/in")
     )
     messages = stream.event_messages(

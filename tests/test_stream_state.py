@@ -95,3 +95,17 @@ def test_state_rows_do_not_carry_texts(spark, tmp_path):
     news = stream.with_news(source, "content_id", source.select("content_id").where(F.lit(False)))
     plan = news._jdf.queryExecution().analyzed().toString()
     assert plan.count("Deduplicate [content_id") == 1
+
+
+def test_the_query_takes_three_batches_at_any_number_of_files(spark, monkeypatch):
+    from hubbub.plans import queries_streaming
+    from hubbub.plans.sample_views import Views
+    from hubbub.session import tune
+
+    numbers, write = set(), ChangeLog.write
+    monkeypatch.setattr(ChangeLog, "write", lambda self, rows, number: (numbers.add(number), write(self, rows, number)) and None)
+    views = Views(tune(spark), "/root/testdata/sf0.001")
+    expected = views.documents.count()
+    views._built["documents"] = views.documents.repartition(5)  # as large tables are: several files a part
+    assert queries_streaming.topic_stream(views).count() == expected
+    assert numbers == {0, 1, 2}
