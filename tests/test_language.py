@@ -60,3 +60,26 @@ def test_better_than_word_lists_on_held_out_rows(spark):
     lists = held.select("doc_id", text.language_tag(F.col("text")).alias("language"))
     trained = share(tagged)
     assert trained > 0.95 and trained > share(lists)
+
+
+def test_rare_trigrams_and_repeated_keys(spark, monkeypatch):
+    rows = [(1, "the dog the fox", "en"), (2, "der hund der fuchs", "de"), (3, "une été 𝒜𝒷 x", "fr")]
+    train = spark.createDataFrame(rows, "id long, message string, lang string")
+    weights, languages = language.trigram_weights(language.trigram_counts(train, "message", "lang").persist())
+    asked = [(i % 40, m) for i, m in enumerate(["the dog", "der fuchs der", "𝒜𝒷", "été", "zz qq", "", None, "dog hund der der"] * 10)]
+    asked = spark.createDataFrame([*asked, (None, "the fox")], "id long, message string")
+    tags = lambda: sorted(map(str, language.trained_language_tags(asked, weights, languages, "id", "message").collect()))
+    every = tags()
+    for some in (40, 1):  # few trigrams, and none, are common
+        monkeypatch.setattr(language, "COMMON", some)
+        assert tags() == every
+
+
+def test_common_words_are_not_shuffled_one_by_one(spark, monkeypatch):
+    rows = [(i, "the quick brown fox", "en") for i in range(40)] + [(i, "der schnelle fuchs", "de") for i in range(40, 80)]
+    train = spark.createDataFrame(rows, "id long, message string, lang string")
+    weights, languages = language.trigram_weights(language.trigram_counts(train, "message", "lang").persist())
+    kept, save = [], language.saved
+    monkeypatch.setattr(language, "saved", lambda df: kept.append(save(df)) or kept[-1])
+    language.trained_language_tags(train, weights, languages, "id", "message").collect()
+    assert kept[0].count() == 80 and kept[0].where("word IS NOT NULL").count() == 0
