@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from hubbub.session import saved
 
 BLOCK = 4096
+#: Scores that a task holds at once: fewer queries at a time meet a larger block.
+SCORES_AT_ONCE = 1 << 18
 
 
 def _by_length(items: DataFrame, block: int) -> DataFrame:
@@ -81,7 +83,7 @@ def best_products(queries: DataFrame, items: DataFrame, k: int, block: int = BLO
         (head.column("item").combine_chunks().to_numpy(), matrix(head.column("vector").combine_chunks()))
     )
     bounds = np.array(longest)
-    step = 1024
+    step = max(1, SCORES_AT_ONCE // block)
 
     def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, vectors = shared.value

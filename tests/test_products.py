@@ -122,3 +122,27 @@ def test_ten_thousand_labels(spark):
     fewer = topics.embedding_topics(vectors, frame.where("topic < 't05000' OR topic LIKE 'twin%'"))
     size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
     assert size(found) == size(fewer)
+
+
+def test_a_task_holds_a_bounded_number_of_scores(spark, monkeypatch):
+    most, make = products.SCORES_AT_ONCE, products._scorer
+
+    def watched():
+        matrix, best = make()
+
+        def counted(queries, items, *rest):
+            if len(queries) * len(items) > most:
+                raise ValueError(f"{len(queries)} x {len(items)} scores at once")
+            return best(queries, items, *rest)
+
+        return matrix, counted
+
+    monkeypatch.setattr(products, "_scorer", watched)
+    # Whole numbers, and many equal vectors: ties beyond the first block.
+    vectors = np.random.default_rng(5).integers(-3, 4, (40, 3)).astype(float)
+    queries = spark.createDataFrame([(i, vectors[i % 7].tolist()) for i in range(1500)], "query long, vector array<double>")
+    items = spark.createDataFrame([(i, vectors[i % 40].tolist()) for i in range(1200)], "item long, vector array<double>")
+    found = products.best_products(queries.coalesce(1), items, 5, block=1024).collect()
+    asked, offered = vectors[np.arange(1500) % 7], vectors[np.arange(1200) % 40]
+    places = np.argsort(-(asked @ offered.T), axis=1, kind="stable")[:, :5]
+    assert {(r["query"], r["item"]) for r in found} == {(i, int(j)) for i in range(1500) for j in places[i]}
